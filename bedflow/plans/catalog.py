@@ -110,6 +110,82 @@ def q_fuec_forecast(spark, sf):
     return fuec.fuec_forecast(_enc(spark, sf), date_dim(spark, P), holiday_dim(spark, P), P)
 
 
+def q_ensemble_union(spark, sf):
+    from bedflow.plans.ensemble import ensemble_union
+    return ensemble_union(q_cpc_model(spark, sf), q_edc_model(spark, sf))
+
+
+def q_ensemble_top_k(spark, sf):
+    from bedflow.plans.ensemble import ensemble_top_k
+    return ensemble_top_k(q_cpc_model(spark, sf), q_edc_model(spark, sf), k=10)
+
+
+# ---------------------------------------------------------------- FHIR ------
+def _parsed(spark, sf):
+    from bedflow.sources.json_docs import fhir_documents, parse_documents
+    return parse_documents(fhir_documents(spark, sf))
+
+
+def _resource(spark, sf, resource):
+    from bedflow.operators import fhir as H
+    parsed = _parsed(spark, sf)
+    cols = H.column_plan(H.resource_columns(parsed.where(F.col("resource_type") == resource)),
+                         "resource_type")[resource]
+    return parsed, cols
+
+
+def q_fhir_schema(spark, sf):
+    from bedflow.operators.fhir import infer_schema
+    return infer_schema(_parsed(spark, sf))
+
+
+def _resource_rows(spark, sf, resource):
+    from bedflow.operators import fhir as H
+    parsed, cols = _resource(spark, sf, resource)
+    scalar_or_object = [c for c in cols if c[1] != "ARRAY"]
+    return H.comparable(H.shred(parsed, resource, scalar_or_object))
+
+
+def q_fhir_resource_rows(spark, sf):
+    return _resource_rows(spark, sf, "Claim")
+
+
+def q_fhir_patient_rows(spark, sf):
+    return _resource_rows(spark, sf, "Patient")
+
+
+def q_fhir_encounter_rows(spark, sf):
+    return _resource_rows(spark, sf, "Encounter")
+
+
+def _child(spark, sf, resource, source_col):
+    from bedflow.operators import fhir as H
+    parsed, cols = _resource(spark, sf, resource)
+    built = H.child_table(H.shred(parsed, resource, cols), resource, cols, source_col)
+    return H.comparable(built[1])
+
+
+def q_fhir_child_rows(spark, sf):
+    return _child(spark, sf, "Claim", "ITEM")
+
+
+def q_fhir_address_rows(spark, sf):
+    return _child(spark, sf, "Patient", "ADDRESS")
+
+
+def q_fhir_participant_rows(spark, sf):
+    return _child(spark, sf, "Encounter", "PARTICIPANT")
+
+
+def q_fhir_child_schema(spark, sf):
+    from bedflow.operators import fhir as H
+    parsed, cols = _resource(spark, sf, "Claim")
+    prop = H.array_property(cols, "ITEM")
+    rows = H.shred(parsed, "Claim", cols)
+    elements = H.child_elements(rows, H.table_name("Claim"), prop, "ITEM")
+    return H.child_schema(elements).select(F.lit("FHIR_CLAIM_ITEM").alias("target_table"), "*")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
