@@ -186,6 +186,46 @@ def q_fhir_child_schema(spark, sf):
     return H.child_schema(elements).select(F.lit("FHIR_CLAIM_ITEM").alias("target_table"), "*")
 
 
+# ---------------------------------------------------------- monitoring ------
+def q_model_dictionary(spark, sf):
+    from bedflow.operators.monitor import model_dictionary
+    return model_dictionary(q_cpc_model(spark, sf).unionByName(q_edc_model(spark, sf)))
+
+
+def q_column_profile(spark, sf):
+    from bedflow.operators.monitor import column_profile
+    return column_profile(_enc(spark, sf))
+
+
+def q_forecast_accuracy(spark, sf):
+    from bedflow.operators.monitor import forecast_accuracy
+    e, cal, hol = _enc(spark, sf), date_dim(spark, P), holiday_dim(spark, P)
+    return forecast_accuracy(fuec.fuec_seasonal_mean(e, cal, hol, P), fuec.fuec_daily_arrivals(e, P),
+                             fuec.history_days(cal, hol, P), fuec.KEYS)
+
+
+def q_los_percentile_by_season(spark, sf):
+    from bedflow.operators.monitor import los_percentile_by_season
+    return los_percentile_by_season(_enc(spark, sf))
+
+
+# ------------------------------------------------- classifier, table model --
+def q_los_classifier(spark, sf):
+    from bedflow.operators import classify
+    model, test = classify.fit(_enc(spark, sf))
+    return classify.predictions(model, test)
+
+
+def q_classification_report(spark, sf):
+    from bedflow.operators import classify
+    return classify.classification_report(q_los_classifier(spark, sf))
+
+
+def q_table_model(spark, sf):
+    from bedflow.plans.table_model import table_model
+    return table_model(q_cpc_model(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
