@@ -1,0 +1,79 @@
+"""Properties of the model outputs on the fixture (blueprint section 5)."""
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from bedflow.config import FIXTURE_PARAMS as P
+from bedflow.operators.survival import curve_arrays, los_histogram, past_stays, survival_curve
+from bedflow.plans import cpc, edc, fuec
+from bedflow.sources.calendar import date_dim, holiday_dim
+from bedflow.sources.fixtures import cake_snapshot, encounters
+from tests.conftest import SF01
+
+HORIZON = dt.date(2000, 4, 15)
+
+
+@pytest.fixture(scope="module")
+def enc(spark):
+    return encounters(spark, SF01, P).cache()
+
+
+@pytest.fixture(scope="module")
+def cpc_rows(enc):
+    return cpc.cpc_model(enc, P).toPandas()
+
+
+def test_fixture_sizes(enc):
+    counts = {r["patient_type"]: r["count"] for r in enc.groupBy("patient_type").count().collect()}
+    assert counts == {"Past": 11283, "Current": 142}
+
+
+def test_rates_in_unit_interval_and_one_at_start(enc):
+    future = cpc.cpc_future(enc, P).toPandas()
+    assert ((future.stay_rate > 0) & (future.stay_rate <= 1)).all()
+    first = future.sort_values("stay_key_seq").groupby("stay_key").head(1)
+    assert (first.stay_rate == 1.0).all()
+
+
+def test_rates_fall_with_stay_day(enc):
+    future = cpc.cpc_future(enc, P).toPandas().sort_values(["stay_key", "stay_key_seq"])
+    for _, g in future.groupby("stay_key"):
+        assert (g.stay_rate.diff().dropna() <= 0).all()
+
+
+def test_sum_of_rates_from_day_one_is_mean_los(enc):
+    hist = los_histogram(past_stays(enc), ["service_code"])
+    arrays = curve_arrays(survival_curve(hist, ["service_code"]), ["service_code"]).toPandas()
+    mean = past_stays(enc).groupBy("service_code").agg(F.avg("beddeddays").alias("m")).toPandas()
+    j = arrays.merge(mean, on="service_code")
+    assert ((j.expected_los - j.m).abs() < 1e-12).all()
+
+
+def test_keys_unique_and_contiguous(cpc_rows):
+    assert not cpc_rows.duplicated(["stay_key", "stay_key_seq"]).any()
+    for _, g in cpc_rows.groupby("stay_key"):
+        seq = sorted(g.stay_key_seq)
+        assert seq == list(range(1, len(seq) + 1))  # N11: backfill meets the future part
+
+
+def test_dates_consistent_and_within_horizon(cpc_rows):
+    assert ((cpc_rows.stay_end_date - cpc_rows.stay_start_date).map(lambda d: d.days) == 1).all()
+    assert (cpc_rows.stay_start_date < HORIZON).all()
+
+
+def test_edc_tail_is_null_and_counts(enc, spark):
+    out = edc.edc_model(enc, P.with_(model_source="EDC"), snapshots=cake_snapshot(spark, SF01)).toPandas()
+    future = out[out.stay_rate.isna() | (out.stay_rate < 1) | (out.stay_key_seq >= 1)]
+    assert len(out) == 3760
+    assert out.stay_rate.isna().sum() == 3203
+    assert (out.num_of_patient.round(4) == 0.7333).all()
+    assert len(future) == len(out)
+
+
+def test_fuec_calendar_window(enc, spark):
+    f = fuec.fuec_forecast(enc, date_dim(spark, P), holiday_dim(spark, P), P).toPandas()
+    assert len(f) == 13097
+    assert (f.day >= P.as_of).all() and (f.day < HORIZON).all()
+    assert (f.patients > 0).all()
+    assert not f.duplicated(["stay_key", "stay_key_seq"]).any()
