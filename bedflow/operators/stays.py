@@ -1,10 +1,14 @@
-"""Per-patient stay days: future (rated) days and the backfill of past days.
+"""Per-patient stay days: the backfill of days already stayed (rate 1) and
+the future days with their survival rate.
 
-Both expand a patient into consecutive days with ``sequence`` + explode.
-``sequence(a, b)`` counts *down* when a > b, so every expansion is guarded
-by a filter on its bounds first, and every upper bound is capped by the
-horizon (or ``as_of``) before the explode, so long-stay outliers cannot
-inflate the row count.
+One patient row expands into both parts at once: two arrays (built with
+``sequence`` + ``transform``) concatenated and inlined by a single Generate,
+so the model is one join (patients x cohort curve) and one narrow expansion,
+not a union of two re-computed branches.
+
+``sequence(a, b)`` counts *down* when a > b, so every part is guarded by a
+condition on its bounds, and every upper bound is capped by the horizon (or
+``as_of``) first, so long-stay outliers cannot inflate the row count.
 """
 
 from __future__ import annotations
@@ -22,40 +26,34 @@ def horizon_last_day(p: Params, admit_date: Column) -> Column:
     return F.datediff(months_after(p.as_of, p.horizon_months), admit_date)
 
 
-def future_days(patients: DataFrame, last_day: Column, keep: list[str]) -> DataFrame:
+def _day(seq: Column, rate: Column, start: Column) -> Column:
+    return F.struct(seq.cast("int").alias("stay_key_seq"), rate.cast("double").alias("stay_rate"),
+                    start.alias("stay_start_date"))
+
+
+def stay_days(patients: DataFrame, last_day: Column, p: Params, keep: list[str],
+              future: bool = True, backfill: bool = True) -> DataFrame:
     """Rows (keep..., stay_key_seq, stay_rate, stay_start_date, stay_end_date).
 
-    ``patients`` carries stay_key, admit_date, beddeddays (days already
-    stayed, f) and the cohort curve ``s``.  Day d runs from f to ``last_day``.
-    """
-    f = F.col("beddeddays")
-    d = F.col("stay_key_seq")
-    return (patients.withColumn("_last", last_day)
-            .where(F.col("_last") >= f)
-            .select(*keep, "admit_date", "s", f,
-                    F.explode(F.sequence(f, F.col("_last"))).alias("stay_key_seq"))
-            .select(*keep, "admit_date", "stay_key_seq",
-                    rate_at(F.col("s"), d, f).alias("stay_rate"),
-                    F.date_add("admit_date", d - 1).alias("stay_start_date"),
-                    F.date_add("admit_date", d).alias("stay_end_date")))
-
-
-def backfill_days(stays: DataFrame, p: Params, keep: list[str]) -> DataFrame:
-    """Rate-1 rows for each calendar day in [admit_date, as_of - 1).
-
-    ``stays`` has one row per stay (stay_key, admit_date, keep...).  Days are
-    clipped to the calendar; ``stay_key_seq`` numbers them from 1 in day order
-    (the row_number of the original, from the explode position).
+    ``patients`` has one row per stay with admit_date, beddeddays (days
+    already stayed, f) and the cohort curve ``s``.  Future day d runs from f
+    to ``last_day`` with rate S(d)/S(f), starting admit_date + d - 1.  A stay
+    with at least one future day is backfilled over the calendar days in
+    [admit_date, as_of - 1) with rate 1, numbered from 1 in day order.
     """
-    start = F.greatest(F.col("admit_date"), lit_date(p.calendar_first_day))
-    end = F.least(F.date_sub(lit_date(p.as_of), 2), lit_date(p.calendar_end))
-    days = F.posexplode(F.sequence(F.col("_start"), F.col("_end")))
-    return (stays.where(F.col("admit_date") < F.date_sub(lit_date(p.as_of), 1))
-            .withColumn("_start", start).withColumn("_end", end)
-            .where(F.col("_end") >= F.col("_start"))
-            .select(*keep, days.alias("_pos", "stay_start_date"))
-            .select(*keep,
-                    (F.col("_pos") + 1).alias("stay_key_seq"),
-                    F.lit(1.0).alias("stay_rate"),
-                    "stay_start_date",
-                    F.date_add("stay_start_date", 1).alias("stay_end_date")))
+    f, admit, s = F.col("beddeddays"), F.col("admit_date"), F.col("s")
+    has_future = last_day >= f
+    parts = []
+    if backfill:
+        first = F.greatest(admit, lit_date(p.calendar_first_day))
+        last = F.least(F.date_sub(lit_date(p.as_of), 2), lit_date(p.calendar_end))
+        ok = has_future & (admit < F.date_sub(lit_date(p.as_of), 1)) & (last >= first)
+        parts.append(F.when(ok, F.transform(F.sequence(first, last),
+                                            lambda day, i: _day(i + 1, F.lit(1.0), day))))
+    if future:
+        parts.append(F.when(has_future, F.transform(
+            F.sequence(f, last_day), lambda d: _day(d, rate_at(s, d, f), F.date_add(admit, d - 1)))))
+    days = F.concat(*[F.coalesce(x, F.array()) for x in parts]) if len(parts) > 1 \
+        else F.coalesce(parts[0], F.array())
+    return (patients.select(*keep, F.inline(days))
+            .withColumn("stay_end_date", F.date_add("stay_start_date", 1)))

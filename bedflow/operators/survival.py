@@ -6,24 +6,24 @@ of past stays with LOS >= d.  The original SQL answers it with a scaffold of
 calendar days self-joined on ``>=`` (max LOS squared rows per cohort, or
 calendar squared for the pooled model) and three window sums.  Here:
 
-* the histogram is a map-side-combined ``groupBy(cohort, LOS).count()``;
-* S(d) is one descending running sum over a dense 1..max scaffold per cohort
-  (rows = cohorts x max LOS, independent of the number of stays);
-* a cohort's whole curve is packed into one array (length max LOS), so the
-  per-patient expansion is an array lookup instead of a second join.
+* the histogram is a map-side-combined ``groupBy(cohort, LOS).count()`` --
+  the only step whose input grows with the number of stays;
+* each cohort's histogram (one entry per distinct LOS value, so bounded by
+  the LOS range, not by the number of stays) is gathered into one row and
+  S(1..max) is computed there with JVM-side higher-order functions;
+* the per-patient expansion then looks rates up in that array, so no curve
+  table is ever joined to patient-day rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bedflow.config import PAST
 
-_ALL = "_cohort_all"
-
 
 def past_stays(encounters: DataFrame) -> DataFrame:
     return encounters.where((F.col("patient_type") == PAST) & (F.col("beddeddays") > 0))
@@ -48,52 +48,49 @@ def cohort_max(hist: DataFrame, cohort: Sequence[str]) -> DataFrame:
     return hist.groupBy(*cohort).agg(F.max("beddeddays").alias("max_los"))
 
 
-def survival_curve(hist: DataFrame, cohort: Sequence[str],
-                   max_los: DataFrame | None = None) -> DataFrame:
-    """(cohort..., stay_day, patients, at_risk, total) for stay_day = 1..max.
+def curve_arrays(hist: DataFrame, cohort: Sequence[str],
+                 max_los: DataFrame | None = None) -> DataFrame:
+    """(cohort..., max_los, s, total, expected_los): one row per cohort.
 
-    ``at_risk`` = S(stay_day), ``total`` = S(1).  ``max_los`` (cohort...,
-    max_los) bounds the scaffold; by default it is the histogram's own max.
-    A shorter published maximum truncates the curve exactly as a scaffold
-    left-joined to the histogram would.
+    ``s[d-1]`` = S(d) for d = 1..max_los; ``total`` = S(1); ``expected_los``
+    = sum_d S(d) / S(1) = the mean LOS = the sum of the day rates from day 1.
+    ``max_los`` (cohort..., max_los), e.g. the published LOS feature, bounds
+    the curve; stays longer than it are ignored, exactly as a calendar
+    scaffold left-joined to the histogram would ignore them.  With no cohort
+    this is a global aggregate: always one row (NULLs without history).
     """
     cohort = list(cohort)
-    keys = cohort or [_ALL]
-    h = hist if cohort else hist.withColumn(_ALL, F.lit(0))
-    m = (max_los if max_los is not None else cohort_max(hist, cohort))
-    if not cohort:
-        m = m.withColumn(_ALL, F.lit(0))
-    scaffold = (m.where(F.col("max_los") >= 1)
-                .select(*keys, F.explode(F.sequence(F.lit(1), F.col("max_los").cast("int")))
-                        .alias("stay_day")))
-    joined = scaffold.join(h.withColumnRenamed("beddeddays", "stay_day"),
-                           on=[*keys, "stay_day"], how="left")
-    down = (Window.partitionBy(*keys).orderBy(F.col("stay_day").desc())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*keys)
-    patients = F.coalesce(F.col("patients"), F.lit(0)).cast("long")
-    out = (joined.withColumn("patients", patients)
-           .withColumn("at_risk", F.sum("patients").over(down))
-           .withColumn("total", F.sum("patients").over(whole)))
-    return out.drop(_ALL) if not cohort else out
-
-
-def curve_arrays(curve: DataFrame, cohort: Sequence[str]) -> DataFrame:
-    """(cohort..., max_los, s, total, expected_los): one row per cohort.
+    entries = F.collect_list(F.struct(F.col("beddeddays").cast("int").alias("los"),
+                                      F.col("patients").cast("long").alias("n")))
+    g = hist.groupBy(*cohort) if cohort else hist
+    c = g.agg(entries.alias("_h"), F.max("beddeddays").cast("int").alias("max_los"))
+    if max_los is not None:
+        c = c.drop("max_los").join(max_los.select(*cohort, F.col("max_los").cast("int")), cohort)
+    m = F.col("max_los")
+    zero = F.lit(0).cast("long")
+
+    def at_risk(d: Column) -> Column:
+        return F.aggregate("_h", zero, lambda acc, e: acc + F.when(
+            (e["los"] >= d) & (e["los"] <= m), e["n"]).otherwise(zero))
+
+    s = F.when(m >= 1, F.transform(F.sequence(F.lit(1), m), at_risk))
+    return (c.select(*cohort, "max_los", s.alias("s"))
+            .withColumn("total", F.element_at("s", 1))
+            .withColumn("expected_los",
+                        F.aggregate("s", zero, lambda a, x: a + x) / F.col("total")))
 
-    ``s[d-1]`` = S(d).  The array length is the cohort's max LOS (days), so
-    it is bounded by the calendar, not by the number of stays.  With no
-    cohort this is a global aggregate: always exactly one row (NULLs when
-    there is no history).
-    """
-    pts = F.sort_array(F.collect_list(F.struct("stay_day", "at_risk")))
-    aggs = [F.max("stay_day").alias("max_los"),
-            pts.getField("at_risk").alias("s"),
-            F.max("total").alias("total"),
-            # sum_d S(d) / S(1) = mean LOS = sum of the daily rates from day 1
-            (F.sum("at_risk") / F.max("total")).alias("expected_los")]
-    g = curve.groupBy(*cohort) if cohort else curve
-    return g.agg(*aggs)
+
+def survival_curve(hist: DataFrame, cohort: Sequence[str],
+                   max_los: DataFrame | None = None) -> DataFrame:
+    """(cohort..., stay_day, patients, at_risk, total) for stay_day = 1..max:
+    the tabular form of ``curve_arrays`` (at_risk = S(stay_day))."""
+    cohort = list(cohort)
+    arr = curve_arrays(hist, cohort, max_los)
+    day = F.col("_pos") + 1
+    nxt = F.coalesce(F.try_element_at(F.col("s"), (day + 1).cast("int")), F.lit(0).cast("long"))
+    return (arr.select(*cohort, "s", "total", F.posexplode("s").alias("_pos", "at_risk"))
+            .select(*cohort, day.cast("int").alias("stay_day"),
+                    (F.col("at_risk") - nxt).alias("patients"), "at_risk", "total"))
 
 
 def rate_at(s: Column, day: Column, given: Column) -> Column:

@@ -27,8 +27,12 @@ def _enc(spark: SparkSession, sf: str) -> DataFrame:
     return encounters(spark, sf, P)
 
 
+def _cpc_hist(spark: SparkSession, sf: str) -> DataFrame:
+    return los_histogram(past_stays(_enc(spark, sf)), cpc.COHORT)
+
+
 def _cpc_curve(spark: SparkSession, sf: str) -> DataFrame:
-    return survival_curve(los_histogram(past_stays(_enc(spark, sf)), cpc.COHORT), cpc.COHORT)
+    return survival_curve(_cpc_hist(spark, sf), cpc.COHORT)
 
 
 def q_encounters_view(spark, sf):
@@ -52,11 +56,11 @@ def q_survival_curve(spark, sf):
 
 
 def q_conditional_stay_rate(spark, sf):
-    return conditional_rates(curve_arrays(_cpc_curve(spark, sf), cpc.COHORT), cpc.COHORT)
+    return conditional_rates(curve_arrays(_cpc_hist(spark, sf), cpc.COHORT), cpc.COHORT)
 
 
 def q_expected_los(spark, sf):
-    return curve_arrays(_cpc_curve(spark, sf), cpc.COHORT).select("service_code", "expected_los")
+    return curve_arrays(_cpc_hist(spark, sf), cpc.COHORT).select("service_code", "expected_los")
 
 
 def q_cpc_future(spark, sf):

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from bedflow.config import CPC_MODEL_NAME, CURRENT, EMERGENCY_CARE_CLASS, Params
 from bedflow.operators import stays as S
-from bedflow.operators.survival import (curve_arrays, los_histogram, past_stays,
-                                        survival_curve)
+from bedflow.operators.survival import curve_arrays, los_histogram, past_stays
 from bedflow.plans.common import common_format
 
 COHORT = ["service_code"]
@@ -28,12 +27,12 @@ def current_inpatients(encounters: DataFrame) -> DataFrame:
 
 
 def cpc_curves(encounters: DataFrame, los: DataFrame | None = None) -> DataFrame:
-    """Per-service curve arrays; ``los`` (the LOS feature) bounds the scaffold."""
+    """Per-service curve arrays; ``los`` (the LOS feature) bounds the curve."""
     hist = los_histogram(past_stays(encounters), COHORT)
     max_los = None
     if los is not None:
         max_los = los.select("service_code", F.col("max_bedded_day").alias("max_los"))
-    return curve_arrays(survival_curve(hist, COHORT, max_los), COHORT)
+    return curve_arrays(hist, COHORT, max_los)
 
 
 def _patients(encounters: DataFrame, curves: DataFrame) -> DataFrame:
@@ -45,30 +44,23 @@ def _patients(encounters: DataFrame, curves: DataFrame) -> DataFrame:
     return cur.join(curves.select("service_code", "s", "max_los"), "service_code")
 
 
-def _future(patients: DataFrame, p: Params) -> DataFrame:
-    last = F.least(F.col("max_los"), S.horizon_last_day(p, F.col("admit_date")))
-    return S.future_days(patients, last, ["stay_key", "patient_timeframe"])
-
-
-def _stays_with_future(patients: DataFrame, p: Params) -> DataFrame:
-    """One row per stay that has at least one future row (no shuffle: the
-    patient rows are already one per stay)."""
+def _rows(encounters: DataFrame, p: Params, los: DataFrame | None,
+          future: bool, backfill: bool) -> DataFrame:
+    pts = _patients(encounters, cpc_curves(encounters, los))
     last = F.least(F.col("max_los"), S.horizon_last_day(p, F.col("admit_date")))
-    return patients.where(last >= F.col("beddeddays")).select(
-        "stay_key", "admit_date", "patient_timeframe")
+    rows = S.stay_days(pts, last, p, ["stay_key", "patient_timeframe"], future, backfill)
+    return common_format(rows, p, CPC_MODEL_NAME, F.lit(1))
 
 
 def cpc_future(encounters: DataFrame, p: Params, los: DataFrame | None = None) -> DataFrame:
-    pts = _patients(encounters, cpc_curves(encounters, los))
-    return common_format(_future(pts, p), p, CPC_MODEL_NAME, F.lit(1))
+    return _rows(encounters, p, los, future=True, backfill=False)
 
 
 def cpc_backfill(encounters: DataFrame, p: Params, los: DataFrame | None = None) -> DataFrame:
-    pts = _patients(encounters, cpc_curves(encounters, los))
-    rows = S.backfill_days(_stays_with_future(pts, p), p, ["stay_key", "patient_timeframe"])
-    return common_format(rows, p, CPC_MODEL_NAME, F.lit(1))
+    return _rows(encounters, p, los, future=False, backfill=True)
 
 
 def cpc_model(encounters: DataFrame, p: Params, los: DataFrame | None = None) -> DataFrame:
-    """Backfill UNION ALL future rows, in the common format."""
-    return cpc_backfill(encounters, p, los).unionByName(cpc_future(encounters, p, los))
+    """Backfill and future rows of every current inpatient, in the common
+    format, from one join and one expansion."""
+    return _rows(encounters, p, los, future=True, backfill=True)

@@ -23,8 +23,7 @@ from bedflow.config import (CURRENT, ED_ADMIT_CATEGORY, ED_RECLASS_LOOKBACK_MONT
                             EMERGENCY_CARE_CLASS, SNAPSHOT_MODEL_NAME, Params)
 from bedflow.functions.dates import lit_date, months_after
 from bedflow.operators import stays as S
-from bedflow.operators.survival import (conditional_rates, curve_arrays, los_histogram,
-                                        past_stays, survival_curve)
+from bedflow.operators.survival import conditional_rates, curve_arrays, los_histogram, past_stays
 from bedflow.plans.common import common_format
 
 
@@ -56,8 +55,7 @@ def ed_reclassification_rate(snapshots: DataFrame, p: Params) -> DataFrame:
 
 def edc_curve(encounters: DataFrame) -> DataFrame:
     """Exactly one row: the pooled curve array ``s`` and ``max_los``."""
-    hist = los_histogram(past_stays(encounters), [])
-    return curve_arrays(survival_curve(hist, []), [])
+    return curve_arrays(los_histogram(past_stays(encounters), []), [])
 
 
 def edc_rates_pooled(encounters: DataFrame) -> DataFrame:
@@ -91,25 +89,25 @@ def _keep() -> list[str]:
     return ["stay_key", "patient_timeframe", "num_of_patient"]
 
 
-def edc_future(encounters: DataFrame, rate: DataFrame, p: Params) -> DataFrame:
-    rows = S.future_days(_patients(encounters, rate), _last_day(p), _keep())
+def _rows(encounters: DataFrame, rate: DataFrame, p: Params, future: bool, backfill: bool) -> DataFrame:
+    rows = S.stay_days(_patients(encounters, rate), _last_day(p), p, _keep(), future, backfill)
     return common_format(rows, p, EDC_MODEL_NAME, F.col("num_of_patient"))
 
 
+def edc_future(encounters: DataFrame, rate: DataFrame, p: Params) -> DataFrame:
+    return _rows(encounters, rate, p, future=True, backfill=False)
+
+
 def edc_backfill(encounters: DataFrame, rate: DataFrame, p: Params) -> DataFrame:
-    pts = _patients(encounters, rate)
-    with_future = pts.where(_last_day(p) >= F.col("beddeddays")).select(
-        "stay_key", "admit_date", "patient_timeframe", "num_of_patient")
-    rows = S.backfill_days(with_future, p, _keep())
-    return common_format(rows, p, EDC_MODEL_NAME, F.col("num_of_patient"))
+    return _rows(encounters, rate, p, future=False, backfill=True)
 
 
 def edc_model(encounters: DataFrame, p: Params, rate: DataFrame | None = None,
               snapshots: DataFrame | None = None) -> DataFrame:
-    """Backfill UNION ALL future rows.  ``rate`` overrides the freshly
-    computed reclassification rate (N4); otherwise ``snapshots`` is needed."""
+    """Backfill and future rows.  ``rate`` overrides the freshly computed
+    reclassification rate (N4); otherwise ``snapshots`` is needed."""
     if rate is None:
         if snapshots is None:
             raise ValueError("edc_model needs the snapshot table or a rate")
         rate = ed_reclassification_rate(snapshots, p)
-    return edc_backfill(encounters, rate, p).unionByName(edc_future(encounters, rate, p))
+    return _rows(encounters, rate, p, future=True, backfill=True)

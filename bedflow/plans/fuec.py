@@ -14,9 +14,10 @@ Rewrites of the original shape (results are equal, row for row):
   extra rows produced when several raw locations fold to one key on a day.
   Duplicate service-key rows (N5) multiply sum and count alike and cancel.
   Only positive means are kept: the forecast drops the rest (N8).
-* Global dense_rank (W6).  Ranked on the (day, key) rows before the curve
-  expansion: rank within a day + the number of keys on earlier days (a
-  <= horizon-days table).  No single-partition window over the output.
+* Global dense_rank (W6).  A day's keys are those of its (month, weekday
+  code) combo, so the rank = the rank within the combo (a window over the
+  seasonal-mean rows, partitioned by combo) + the keys on earlier days (a
+  cumulative sum over <= horizon-days rows).  No window over the output.
 * row_number over the LOS day (W5) is the scaffold day itself; the windowed
   sum of rates (W7) is the cohort's mean LOS, taken from the curve.
 """
@@ -29,10 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedflow.config import (FOLDED_LOCATION, FUEC_ADMIT_TYPES, FUEC_CARE_CLASSES,
-                            HOLIDAY_FLAG, KEPT_LOCATION, Params)
+                            HOLIDAY_DOW_CODE, HOLIDAY_FLAG, KEPT_LOCATION, Params)
 from bedflow.functions.dates import dow_code, lit_date, lit_ts_ntz, months_after
-from bedflow.operators.survival import (curve_arrays, los_histogram, past_stays,
-                                        survival_curve)
+from bedflow.operators.survival import curve_arrays, past_stays, survival_curve
 
 FEATURES = ["service_name", "month", "dayofweek", "admit_type", "location",
             "service_code", "site_desc"]
@@ -49,21 +49,46 @@ def urgent_past(encounters: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- curves ----
+def urgent_counts(encounters: DataFrame) -> DataFrame:
+    """Urgent past stays pre-aggregated by every attribute FUEC reads:
+    (admit_date, month/weekday of admit_dttm, holiday flag, raw keys, LOS, n).
+
+    Both the cohort curves and the daily arrivals are derived from this one
+    aggregate, so the encounter scan and its shuffle happen once (the
+    exchange is reused); its size is bounded by days x keys x LOS values.
+    """
+    required = F.lit(True)
+    for c in ["admit_date", "service_name", "admit_type", "service_code", "site_desc"]:
+        required = required & F.col(c).isNotNull()
+    # NULL keys or dates could never join a grid day or a cohort downstream.
+    return (urgent_past(encounters).where(required)
+            .groupBy("admit_date",
+                     F.month("admit_dttm").alias("dttm_month"),
+                     F.dayofweek("admit_dttm").alias("dttm_dow"),
+                     (F.col("observed_holiday_ind") == HOLIDAY_FLAG).alias("is_holiday"),
+                     "service_name", "admit_type", "location", "service_code", "site_desc",
+                     "beddeddays")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def fuec_histogram(encounters: DataFrame) -> DataFrame:
-    is_hol = F.col("observed_holiday_ind") == HOLIDAY_FLAG
-    stays = urgent_past(encounters).select(
+    pre = urgent_counts(encounters)
+    stays = pre.select(
         "service_name",
-        F.month("admit_dttm").alias("month"),
-        dow_code(F.col("admit_dttm"), is_hol).alias("dayofweek"),
+        F.col("dttm_month").alias("month"),
+        F.when(F.col("is_holiday"), F.lit(HOLIDAY_DOW_CODE)).otherwise(F.col("dttm_dow")).alias("dayofweek"),
         "admit_type",
         fold_location(F.col("location")).alias("location"),
-        "service_code", "site_desc", "beddeddays")
-    return los_histogram(stays, FEATURES)
+        "service_code", "site_desc", "beddeddays", "n")
+    return stays.groupBy(*FEATURES, "beddeddays").agg(F.sum("n").alias("patients"))
 
 
 def fuec_cohort_rates(encounters: DataFrame) -> DataFrame:
     """(features..., beddeddays, patients, running_patients, total_patients, stay_rate)."""
-    curve = survival_curve(fuec_histogram(encounters), FEATURES)
+    keep = F.lit(True)
+    for c in FEATURES:
+        keep = keep & F.col(c).isNotNull()
+    curve = survival_curve(fuec_histogram(encounters).where(keep), FEATURES)
     return curve.select(*FEATURES, F.col("stay_day").alias("beddeddays"), "patients",
                         F.col("at_risk").alias("running_patients"),
                         F.col("total").alias("total_patients"),
@@ -71,7 +96,7 @@ def fuec_cohort_rates(encounters: DataFrame) -> DataFrame:
 
 
 def fuec_curves(encounters: DataFrame) -> DataFrame:
-    return curve_arrays(survival_curve(fuec_histogram(encounters), FEATURES), FEATURES)
+    return curve_arrays(fuec_histogram(encounters), FEATURES)
 
 
 # ----------------------------------------------------------- arrivals -------
@@ -92,10 +117,10 @@ def fuec_daily_arrivals(encounters: DataFrame, p: Params) -> DataFrame:
     weight = (F.when(F.col("admit_date") < lit_date(p.uplift_before), F.lit(Decimal(p.uplift)))
               .otherwise(F.lit(Decimal(1))))
     loc = fold_location(F.col("location")) if p.fold_first else F.col("location")
-    g = (urgent_past(encounters)
+    g = (urgent_counts(encounters)
          .groupBy("admit_date", "service_name", "admit_type", loc.alias("location"),
                   "service_code", "site_desc")
-         .agg(F.sum(weight).alias("patients")))
+         .agg(F.sum(weight * F.col("n")).alias("patients")))
     return g.select("admit_date", "service_name", "admit_type",
                     fold_location(F.col("location")).alias("location"),
                     "service_code", "site_desc", "patients")
@@ -125,10 +150,7 @@ def fuec_seasonal_mean(encounters: DataFrame, date_dim: DataFrame, holidays: Dat
                        p: Params) -> DataFrame:
     """(keys..., month, dayofweek, patients): positive mean daily arrivals."""
     days = history_days(date_dim, holidays, p)   # <= 366 * history_years rows
-    not_null = F.lit(True)
-    for k in KEYS:
-        not_null = not_null & F.col(k).isNotNull()
-    arr = fuec_daily_arrivals(encounters, p).where(not_null)
+    arr = fuec_daily_arrivals(encounters, p)   # keys are non-NULL by construction
     per_day = (arr.join(F.broadcast(days.select("day", "month", "dayofweek")),
                         arr.admit_date == F.col("day"))
                .groupBy("day", "month", "dayofweek", *KEYS)
@@ -146,21 +168,34 @@ def fuec_seasonal_mean(encounters: DataFrame, date_dim: DataFrame, holidays: Dat
 def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFrame,
                   p: Params) -> DataFrame:
     """The 16 FUEC columns in working types (cast by ``sinks.conform``)."""
-    ep = fuec_seasonal_mean(encounters, date_dim, holidays, p)
-    days = forecast_days(date_dim, holidays, p)          # <= 31 * horizon_months rows
-    grid = ep.join(F.broadcast(days), ["month", "dayofweek"])
-    # Keys are unique within a day, so row_number == dense_rank there.
-    by_day = Window.partitionBy("day").orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])
-    grid = grid.withColumn("_r", F.row_number().over(by_day))
-    per_day = grid.groupBy("day").agg(F.count(F.lit(1)).alias("_n"))
+    curves = fuec_curves(encounters).select(*[F.col(c).alias(f"_c_{c}") for c in FEATURES],
+                                            "max_los", "s", "total", "expected_los")
+    # One seasonal-mean row per cohort; its curve joins 1:1 (NULL if none, N9).
+    # Null-safe equality: same result here (seasonal rows have no NULL key), but
+    # it infers no isnotnull filters, so the curve and arrival branches keep
+    # identical plans over the shared pre-aggregate and Spark reuses its exchange.
+    sm = fuec_seasonal_mean(encounters, date_dim, holidays, p)
+    on = [sm[c].eqNullSafe(curves[f"_c_{c}"]) for c in FEATURES]
+    ep = sm.join(curves, on, "left").drop(*[f"_c_{c}" for c in FEATURES])
+    # dense_rank over (day, keys) = keys on earlier days + rank within the
+    # day.  A day's keys are those of its (month, weekday code) combo, so the
+    # within-day rank is a window per combo over the seasonal-mean rows.
+    combo = Window.partitionBy("month", "dayofweek")
+    ep = (ep.withColumn("_r", F.row_number().over(
+        combo.orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])))
+          )
+    combo_n = (fuec_seasonal_mean(encounters, date_dim, holidays, p)
+               .groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n")))  # <= 96 rows
+    days = forecast_days(date_dim, holidays, p)                                # <= 31 * horizon rows
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_day.select("day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    grid = grid.join(F.broadcast(offsets), "day")      # one row per forecast day
+    offsets = (days.join(F.broadcast(combo_n), ["month", "dayofweek"], "left")
+               .select("day", "day_of_week", "month", "dayofweek",
+                       F.coalesce(F.sum(F.coalesce("_n", F.lit(0))).over(earlier), F.lit(0))
+                       .alias("_off")))
+    grid = ep.join(F.broadcast(offsets), ["month", "dayofweek"])              # (day, key) rows
 
-    curves = fuec_curves(encounters).select(*FEATURES, "max_los", "s", "total", "expected_los")
-    j = grid.join(curves, FEATURES, "left")
     d = F.col("beddeddays")
-    exploded = j.select("*", F.explode_outer(F.sequence(F.lit(1), F.col("max_los"))).alias("beddeddays"))
+    exploded = grid.select("*", F.explode_outer(F.sequence(F.lit(1), F.col("max_los"))).alias("beddeddays"))
     return exploded.select(
         "day",
         F.col("dayofweek").cast("int").alias("dayofweek"),
