@@ -207,7 +207,8 @@ def bulk_ingest(docs: DataFrame, target_dir: str, mapping: Mapping[str, Mapping[
     """
     spark = docs.sparkSession
     stage = f"{target_dir.rstrip('/')}/_staged_documents"
-    (parse_documents(docs, doc_col).where(F.col("resource_type").isNotNull())
+    (parse_documents(docs, doc_col, spark.sparkContext.defaultParallelism)
+     .where(F.col("resource_type").isNotNull())
      .write.mode("overwrite").partitionBy("resource_type").parquet(stage))
     staged = spark.read.parquet(stage)
     plan = column_plan(resource_columns(staged), "resource_type")

@@ -127,7 +127,7 @@ def q_ensemble_top_k(spark, sf):
 # ---------------------------------------------------------------- FHIR ------
 def _parsed(spark, sf):
     from bedflow.sources.json_docs import fhir_documents, parse_documents
-    return parse_documents(fhir_documents(spark, sf))
+    return parse_documents(fhir_documents(spark, sf), partitions=spark.sparkContext.defaultParallelism)
 
 
 def _resource(spark, sf, resource):

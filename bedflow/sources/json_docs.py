@@ -30,7 +30,9 @@ def claim_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
     # One array per order: the document *is* the order with its lines.
-    items = (li.groupBy("l_orderkey")
+    # collect_list gains nothing from a map-side partial aggregate, so the
+    # lines are hash-partitioned by order first and grouped in parallel.
+    items = (li.repartition("l_orderkey").groupBy("l_orderkey")
              .agg(F.array_sort(F.collect_list(F.struct(
                  F.col("l_linenumber").alias("sequence"),
                  _money("l_quantity").alias("quantity"),
@@ -85,8 +87,15 @@ def fhir_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(encounter_documents(spark, sf_dir)))
 
 
-def parse_documents(docs: DataFrame, col: str = DOC_COL) -> DataFrame:
-    """(file_row, doc VARIANT, resource_type); malformed text gives NULL doc."""
+def parse_documents(docs: DataFrame, col: str = DOC_COL, partitions: int | None = None) -> DataFrame:
+    """(file_row, doc VARIANT, resource_type); malformed text gives NULL doc.
+
+    Parsing is CPU-heavy per document; when the raw text arrives in few large
+    unsplittable files, ``partitions`` spreads the documents round-robin (an
+    even shuffle, no key to skew on) before parsing.
+    """
+    if partitions:
+        docs = docs.repartition(partitions)
     v = F.try_parse_json(F.col(col))
     return (docs.select(F.col(col), v.alias("doc"))
             .withColumn("resource_type", F.try_variant_get("doc", "$.resourceType", "string")))
