@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from bedflow.config import Params
 from bedflow.functions.dates import lit_date, months_after
-from bedflow.operators.survival import rate_at
 
 
 def horizon_last_day(p: Params, admit_date: Column) -> Column:
@@ -26,11 +25,6 @@ def horizon_last_day(p: Params, admit_date: Column) -> Column:
     return F.datediff(months_after(p.as_of, p.horizon_months), admit_date)
 
 
-def _day(seq: Column, rate: Column, start: Column) -> Column:
-    return F.struct(seq.cast("int").alias("stay_key_seq"), rate.cast("double").alias("stay_rate"),
-                    start.alias("stay_start_date"))
-
-
 def stay_days(patients: DataFrame, last_day: Column, p: Params, keep: list[str],
               future: bool = True, backfill: bool = True) -> DataFrame:
     """Rows (keep..., stay_key_seq, stay_rate, stay_start_date, stay_end_date).
@@ -41,19 +35,22 @@ def stay_days(patients: DataFrame, last_day: Column, p: Params, keep: list[str],
     with at least one future day is backfilled over the calendar days in
     [admit_date, as_of - 1) with rate 1, numbered from 1 in day order.
     """
-    f, admit, s = F.col("beddeddays"), F.col("admit_date"), F.col("s")
-    has_future = last_day >= f
+    as_of = p.as_of.isoformat()
+    pts = patients.withColumn("_last", last_day)
+    has_future = "_last >= beddeddays"
+    day = ("named_struct('stay_key_seq', CAST({seq} AS INT), 'stay_rate', CAST({rate} AS DOUBLE), "
+           "'stay_start_date', {start})")
     parts = []
     if backfill:
-        first = F.greatest(admit, lit_date(p.calendar_first_day))
-        last = F.least(F.date_sub(lit_date(p.as_of), 2), lit_date(p.calendar_end))
-        ok = has_future & (admit < F.date_sub(lit_date(p.as_of), 1)) & (last >= first)
-        parts.append(F.when(ok, F.transform(F.sequence(first, last),
-                                            lambda day, i: _day(i + 1, F.lit(1.0), day))))
+        first = f"greatest(admit_date, DATE'{p.calendar_first_day.isoformat()}')"
+        last = f"least(DATE'{as_of}' - 2, DATE'{p.calendar_end.isoformat()}')"
+        ok = f"{has_future} AND admit_date < DATE'{as_of}' - 1 AND {last} >= {first}"
+        parts.append(f"IF({ok}, transform(sequence({first}, {last}), (day, i) -> "
+                     + day.format(seq="i + 1", rate="1.0", start="day") + "), array())")
     if future:
-        parts.append(F.when(has_future, F.transform(
-            F.sequence(f, last_day), lambda d: _day(d, rate_at(s, d, f), F.date_add(admit, d - 1)))))
-    days = F.concat(*[F.coalesce(x, F.array()) for x in parts]) if len(parts) > 1 \
-        else F.coalesce(parts[0], F.array())
-    return (patients.select(*keep, F.inline(days))
+        rate = "try_element_at(s, d) / try_element_at(s, beddeddays)"
+        parts.append(f"IF({has_future}, transform(sequence(beddeddays, _last), d -> "
+                     + day.format(seq="d", rate=rate, start="date_add(admit_date, d - 1)") + "), array())")
+    days = F.expr(parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})")
+    return (pts.select(*keep, F.inline(days))
             .withColumn("stay_end_date", F.date_add("stay_start_date", 1)))

@@ -66,18 +66,12 @@ def curve_arrays(hist: DataFrame, cohort: Sequence[str],
     c = g.agg(entries.alias("_h"), F.max("beddeddays").cast("int").alias("max_los"))
     if max_los is not None:
         c = c.drop("max_los").join(max_los.select(*cohort, F.col("max_los").cast("int")), cohort)
-    m = F.col("max_los")
-    zero = F.lit(0).cast("long")
-
-    def at_risk(d: Column) -> Column:
-        return F.aggregate("_h", zero, lambda acc, e: acc + F.when(
-            (e["los"] >= d) & (e["los"] <= m), e["n"]).otherwise(zero))
-
-    s = F.when(m >= 1, F.transform(F.sequence(F.lit(1), m), at_risk))
+    # S(d) for d = 1..max_los: sum of the histogram entries with d <= LOS <= max.
+    s = F.expr("IF(max_los >= 1, transform(sequence(1, max_los), d -> aggregate(_h, 0L, "
+               "(acc, e) -> acc + IF(e.los >= d AND e.los <= max_los, e.n, 0L))), NULL)")
     return (c.select(*cohort, "max_los", s.alias("s"))
             .withColumn("total", F.element_at("s", 1))
-            .withColumn("expected_los",
-                        F.aggregate("s", zero, lambda a, x: a + x) / F.col("total")))
+            .withColumn("expected_los", F.expr("aggregate(s, 0L, (a, x) -> a + x) / total")))
 
 
 def survival_curve(hist: DataFrame, cohort: Sequence[str],
