@@ -131,10 +131,12 @@ def _parsed(spark, sf):
 
 
 def _resource(spark, sf, resource):
+    """Parsed documents of one resource, materialised once with a reliable
+    checkpoint (spark.checkpoint.dir): the column-plan pass and the shredding
+    pass then read it instead of re-building and re-parsing the export."""
     from bedflow.operators import fhir as H
-    parsed = _parsed(spark, sf)
-    cols = H.column_plan(H.resource_columns(parsed.where(F.col("resource_type") == resource)),
-                         "resource_type")[resource]
+    parsed = _parsed(spark, sf).where(F.col("resource_type") == resource).checkpoint(eager=True)
+    cols = H.column_plan(H.resource_columns(parsed), "resource_type")[resource]
     return parsed, cols
 
 

@@ -12,6 +12,32 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Starting point for a large cluster (100 TB inputs, ~1000 executors).  AQE
+# sizes the shuffles at run time: many initial partitions, coalesced to the
+# advisory size; skewed join partitions are split; small measured sides
+# become broadcasts.  Checkpoint files are removed when no longer referenced.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Apply the runtime SQL settings of ``CLUSTER_CONF`` to a live session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "bedflow") -> SparkSession:
     builder = (
@@ -26,6 +52,7 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BEDFLOW_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
