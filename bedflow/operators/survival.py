@@ -99,7 +99,12 @@ def conditional_rates(arrays: DataFrame, cohort: Sequence[str]) -> DataFrame:
     build it, they look rates up per patient.
     """
     f = F.explode(F.sequence(F.lit(1), F.col("max_los"))).alias("days_stayed")
-    base = arrays.where(F.col("max_los") >= 1).select(*cohort, "s", "max_los", f)
+    # The arrays come from a small aggregate (few partitions after AQE) but
+    # expand to max^2/2 rows per cohort: spread the first level over the
+    # cluster's cores before the second explode.
+    parallelism = arrays.sparkSession.sparkContext.defaultParallelism
+    base = (arrays.where(F.col("max_los") >= 1).select(*cohort, "s", "max_los", f)
+            .repartition(parallelism, *cohort, "days_stayed"))
     d = F.explode(F.sequence(F.col("days_stayed"), F.col("max_los"))).alias("stay_day")
     return (base.select(*cohort, "s", "days_stayed", d)
             .select(*cohort, "days_stayed", "stay_day",

@@ -192,6 +192,9 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
                .select("day", "day_of_week", "month", "dayofweek",
                        F.coalesce(F.sum(F.coalesce("_n", F.lit(0))).over(earlier), F.lit(0))
                        .alias("_off")))
+    # ep is a small aggregate (AQE keeps few partitions), but each row expands
+    # to ~days x max LOS output rows: spread it over the cluster's cores first.
+    ep = ep.repartition(encounters.sparkSession.sparkContext.defaultParallelism, *KEYS)
     grid = ep.join(F.broadcast(offsets), ["month", "dayofweek"])              # (day, key) rows
 
     d = F.col("beddeddays")

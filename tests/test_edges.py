@@ -145,3 +145,13 @@ def test_sequence_never_counts_down(make_encounters):
     rows = [enc_row(1, "1999-01-01", "Past", 200),
             enc_row(2, "1999-12-01", "Current", 150)]
     assert cpc.cpc_future(make_encounters(rows), P).count() == 0
+
+
+def test_published_max_truncates_curve(make_encounters):
+    """A published max LOS below the data's max bounds the curve exactly as
+    a scaffold of 1..max left-joined to the histogram would."""
+    rows = [enc_row(i, "1999-01-01", "Past", los) for i, los in enumerate([1, 2, 2, 3, 6])]
+    enc = make_encounters(rows)
+    feature = enc.sparkSession.createDataFrame([("SURG", 3)], "service_code string, max_los int")
+    arr = curve_arrays(los_histogram(past_stays(enc), ["service_code"]), ["service_code"], feature).collect()[0]
+    assert arr.max_los == 3 and arr.s == [4, 3, 1]
