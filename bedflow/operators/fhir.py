@@ -72,6 +72,7 @@ TYPE_NAMES = {
 SCALAR_HEADS = ("STRING", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN",
                 "DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "BINARY")
 PARENT_COLUMNS = ("PARENT_RESOURCE", "SOURCE_COL", "PARENT_ID")
+PRIMITIVE_COLUMN = "value"
 
 
 def table_name(resource: str) -> str:
@@ -164,23 +165,38 @@ def child_elements(resource_rows: DataFrame, parent_table: str, array_col: str,
         elems.alias("element"))
 
 
+def element_properties(elements: DataFrame) -> DataFrame:
+    """(property, value) of array elements: the properties of object
+    elements, and the element itself as ``value`` for primitive ones (H5)."""
+    is_object = F.try_variant_get(F.col("element"), "$", "map<string,variant>").isNotNull()
+    objects = properties(elements.where(is_object), "element", [])
+    scalars = elements.where(~is_object).select(F.lit(PRIMITIVE_COLUMN).alias("property"),
+                                                F.col("element").alias("value"))
+    return objects.unionByName(scalars)
+
+
 def child_schema(elements: DataFrame) -> DataFrame:
-    """(property, col_type) of the element objects, after the three fixed
-    parent columns (H4)."""
+    """(property, col_type) of the elements, after the three fixed parent
+    columns (H4)."""
     fixed = elements.sparkSession.createDataFrame(
         [(c, "TEXT") for c in PARENT_COLUMNS], "property string, col_type string")
-    props = properties(elements, "element", [])
+    props = element_properties(elements)
     found = props.select("property", type_name(F.col("value")).alias("col_type")).distinct()
     return fixed.unionByName(found)
 
 
 def shred_children(elements: DataFrame, cols: list[tuple[str, str, str]]) -> DataFrame:
-    return elements.select(*PARENT_COLUMNS, *[
-        F.try_variant_get("element", json_path(p), t).alias(p) for p, _, t in cols])
+    is_object = F.try_variant_get(F.col("element"), "$", "map<string,variant>").isNotNull()
+
+    def column(p: str, t: str) -> Column:
+        if p == PRIMITIVE_COLUMN:
+            return F.when(~is_object, F.try_variant_get("element", "$", t)).alias(p)
+        return F.try_variant_get("element", json_path(p), t).alias(p)
+    return elements.select(*PARENT_COLUMNS, *[column(p, t) for p, _, t in cols])
 
 
 def child_columns(elements: DataFrame) -> list[tuple[str, str, str]]:
-    props = properties(elements, "element", [])
+    props = element_properties(elements)
     return column_plan(_column_types(props.withColumn("_k", F.lit(0)), ["_k"]), "_k").get(0, [])
 
 
@@ -207,10 +223,10 @@ def bulk_ingest(docs: DataFrame, target_dir: str, mapping: Mapping[str, Mapping[
     """
     spark = docs.sparkSession
     stage = f"{target_dir.rstrip('/')}/_staged_documents"
-    (parse_documents(docs, doc_col, spark.sparkContext.defaultParallelism)
-     .where(F.col("resource_type").isNotNull())
-     .write.mode("overwrite").partitionBy("resource_type").parquet(stage))
-    staged = spark.read.parquet(stage)
+    parsed = (parse_documents(docs, doc_col, spark.sparkContext.defaultParallelism)
+              .where(F.col("resource_type").isNotNull()))
+    parsed.write.mode("overwrite").partitionBy("resource_type").parquet(stage)
+    staged = spark.read.schema(parsed.schema).parquet(stage)  # schema given: empty input reads empty
     plan = column_plan(resource_columns(staged), "resource_type")
     written: dict[str, str] = {}
     children: dict[str, list[DataFrame]] = {}

@@ -71,7 +71,9 @@ def current_emergencies(encounters: DataFrame) -> DataFrame:
 
 def _patients(encounters: DataFrame, rate: DataFrame) -> DataFrame:
     curve = edc_curve(encounters).select(F.struct("s", "max_los")).scalar()
-    return current_emergencies(encounters).select(
+    # The rate is a one-row table attached as a scalar; an empty rate table
+    # yields no rows at all (as a cross join with it would).
+    return current_emergencies(encounters).where(rate.exists()).select(
         F.col("contact_serial_number").alias("stay_key"), "admit_date", "beddeddays",
         F.col("patient_type").alias("patient_timeframe"),
         curve.getField("s").alias("s"), curve.getField("max_los").alias("max_los"),

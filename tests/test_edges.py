@@ -155,3 +155,11 @@ def test_published_max_truncates_curve(make_encounters):
     feature = enc.sparkSession.createDataFrame([("SURG", 3)], "service_code string, max_los int")
     arr = curve_arrays(los_histogram(past_stays(enc), ["service_code"]), ["service_code"], feature).collect()[0]
     assert arr.max_los == 3 and arr.s == [4, 3, 1]
+
+
+def test_empty_rate_table_gives_no_edc_rows(make_encounters, spark):
+    rows = [enc_row(1, "1999-01-01", "Past", 3),
+            enc_row(2, AS_OF - dt.timedelta(days=2), "Current", 2, care_class="Emergency")]
+    empty = spark.createDataFrame([], "ed_reclassification_rate double")
+    assert edc.edc_model(make_encounters(rows), P, rate=empty).count() == 0
+    assert edc.edc_model(make_encounters(rows), P, rate=_rate_df(spark, 0.5)).count() > 0

@@ -66,3 +66,20 @@ def test_bulk_ingest_writes_tables(spark, tmp_path):
     assert spark.read.parquet(written["FHIR_CLAIM"]).count() == 3
     assert spark.read.parquet(written["FHIR_CLAIM_ITEM"]).count() == 2
     assert spark.read.parquet(written["FHIR_ADDRESS"]).count() == 1
+
+
+def test_primitive_array_children(spark):
+    docs = spark.createDataFrame([('{"resourceType":"Patient","id":"p","communication":["en","fr"]}',)],
+                                 "file_row string")
+    parsed = parse_documents(docs)
+    plan = H.column_plan(H.resource_columns(parsed), "resource_type")
+    rows = H.shred(parsed, "Patient", plan["Patient"])
+    target, child = H.child_table(rows, "Patient", plan["Patient"], "COMMUNICATION")
+    assert target == "FHIR_PATIENT_COMMUNICATION"
+    assert sorted(r.value for r in child.collect()) == ["en", "fr"]
+
+
+def test_empty_input_gives_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([], "file_row string")
+    assert H.infer_schema(parse_documents(docs)).count() == 0
+    assert H.bulk_ingest(docs, str(tmp_path)) == {}
