@@ -184,8 +184,7 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
     ep = (ep.withColumn("_r", F.row_number().over(
         combo.orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])))
           )
-    combo_n = (fuec_seasonal_mean(encounters, date_dim, holidays, p)
-               .groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n")))  # <= 96 rows
+    combo_n = sm.groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n"))  # <= 96 rows
     days = forecast_days(date_dim, holidays, p)                                # <= 31 * horizon rows
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (days.join(F.broadcast(combo_n), ["month", "dayofweek"], "left")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bedflow.config import CURRENT, KEPT_LOCATION, PAST, SNAPSHOT_MODEL_NAME, Params
-from bedflow.functions.dates import lit_date, lit_ts_ntz
+from bedflow.functions.dates import lit_ts_ntz
 from bedflow.sources.calendar import holiday_dim
 from bedflow.sources.tables import read_table
 
@@ -35,37 +35,28 @@ def encounters(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
     # Holidays: three per calendar year, bounded by the calendar.
     hol = holiday_dim(spark, p).select(F.col("date").alias("hol_date"))
 
-    admit_date = F.to_date("o_orderdate")
-    is_current = admit_date >= F.date_sub(lit_date(p.as_of), CURRENT_WINDOW_DAYS)
-    key = F.col("o_orderkey")
-    care_class = F.element_at(
-        F.array(*[F.lit(c) for c in CARE_CLASS_BY_KEY_MOD4]), (key % 4 + 1).cast("int"))
-    loc_mod = key % 10
-    return (
-        orders.join(cust, orders.o_custkey == cust.c_custkey)
-        .join(F.broadcast(hol), admit_date == hol.hol_date, "left")
-        .select(
-            key.cast("string").alias("contact_serial_number"),
-            admit_date.alias("admit_date"),
-            F.timestamp_add("HOUR", key % 24, F.col("o_orderdate")).alias("admit_dttm"),
-            F.when(is_current, F.lit(CURRENT)).otherwise(F.lit(PAST)).alias("patient_type"),
-            F.when(is_current, F.datediff(lit_date(p.as_of), admit_date))
-            .otherwise(((7 * key + 3 * F.col("o_custkey")) % PAST_LOS_MODULUS).cast("int"))
-            .alias("beddeddays"),
-            F.substring("c_mktsegment", 1, 4).alias("service_code"),
-            F.col("c_mktsegment").alias("service_name"),
-            F.when(F.col("o_orderpriority").isin(*URGENT_PRIORITIES), F.lit("Urgent"))
-            .when(F.col("o_orderpriority") == EMERGENCY_PRIORITY, F.lit("Emergency"))
-            .otherwise(F.lit("Elective")).alias("admit_type"),
-            care_class.alias("care_class"),
-            F.when(loc_mod == 0, F.lit(KEPT_LOCATION))
-            .when(loc_mod <= 4, F.lit("Ward A"))
-            .otherwise(F.lit("Ward B")).alias("location"),
-            F.when(F.col("n_regionkey") < MAIN_SITE_MAX_REGION, F.lit("Main"))
-            .otherwise(F.lit("Satellite")).alias("site_desc"),
-            F.when(F.col("hol_date").isNotNull(), F.lit("Y")).otherwise(F.lit("N"))
-            .alias("observed_holiday_ind"),
-        )
+    as_of = f"DATE'{p.as_of.isoformat()}'"
+    current = f"to_date(o_orderdate) >= {as_of} - {CURRENT_WINDOW_DAYS}"
+    urgent = ", ".join(f"'{x}'" for x in URGENT_PRIORITIES)
+    care = ", ".join(f"'{x}'" for x in CARE_CLASS_BY_KEY_MOD4)
+    joined = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+              .join(F.broadcast(hol), F.to_date("o_orderdate") == hol.hol_date, "left"))
+    return joined.selectExpr(
+        "CAST(o_orderkey AS STRING) AS contact_serial_number",
+        "to_date(o_orderdate) AS admit_date",
+        "timestampadd(HOUR, o_orderkey % 24, o_orderdate) AS admit_dttm",
+        f"IF({current}, '{CURRENT}', '{PAST}') AS patient_type",
+        f"IF({current}, datediff({as_of}, to_date(o_orderdate)), "
+        f"CAST((7 * o_orderkey + 3 * o_custkey) % {PAST_LOS_MODULUS} AS INT)) AS beddeddays",
+        "substring(c_mktsegment, 1, 4) AS service_code",
+        "c_mktsegment AS service_name",
+        f"CASE WHEN o_orderpriority IN ({urgent}) THEN 'Urgent' "
+        f"WHEN o_orderpriority = '{EMERGENCY_PRIORITY}' THEN 'Emergency' ELSE 'Elective' END AS admit_type",
+        f"element_at(array({care}), CAST(o_orderkey % 4 + 1 AS INT)) AS care_class",
+        f"CASE WHEN o_orderkey % 10 = 0 THEN '{KEPT_LOCATION}' WHEN o_orderkey % 10 <= 4 THEN 'Ward A' "
+        "ELSE 'Ward B' END AS location",
+        f"IF(n_regionkey < {MAIN_SITE_MAX_REGION}, 'Main', 'Satellite') AS site_desc",
+        "IF(hol_date IS NOT NULL, 'Y', 'N') AS observed_holiday_ind",
     )
 
 
