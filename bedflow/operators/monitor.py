@@ -63,6 +63,31 @@ def column_profile(df: DataFrame) -> DataFrame:
                     "min_value", "max_value"))
 
 
+def column_distribution(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Per numeric column (and group): n, mean, sample stddev, min, exact
+    quartiles (linear interpolation), max; moments rounded to 9 places.
+    Exact percentiles keep a value -> count map per group, so their memory
+    follows the number of distinct values, not of rows."""
+    by = by or []
+    parts = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        parts.append(df.groupBy(*by).agg(
+            F.lit(c).alias("column_name"),
+            F.count(x).alias("n"),
+            (F.round(F.avg(x), 9) + 0.0).alias("mean"),
+            (F.round(F.stddev_samp(x), 9) + 0.0).alias("stddev"),
+            F.min(x).alias("min"),
+            F.percentile(x, F.lit(0.25)).alias("p25"),
+            F.percentile(x, F.lit(0.5)).alias("p50"),
+            F.percentile(x, F.lit(0.75)).alias("p75"),
+            F.max(x).alias("max")))
+    out = parts[0]
+    for extra in parts[1:]:
+        out = out.unionByName(extra)
+    return out
+
+
 def los_percentile_by_season(encounters: DataFrame, q: float = 0.6) -> DataFrame:
     """Rounded exact percentile (linear interpolation, as percentile_cont)
     of LOS by service, month and weekday of urgent past stays.  Spark's exact

@@ -212,6 +212,16 @@ def q_forecast_accuracy(spark, sf):
                              fuec.history_days(cal, hol, P), fuec.KEYS)
 
 
+def q_column_distribution(spark, sf):
+    from bedflow.operators.monitor import column_distribution
+    return column_distribution(_enc(spark, sf), ["beddeddays"], by=["patient_type", "service_code"])
+
+
+def q_table_model_sample(spark, sf):
+    from bedflow.plans.table_model import sample_input
+    return sample_input(q_cpc_model(spark, sf), 5)
+
+
 def q_los_percentile_by_season(spark, sf):
     from bedflow.operators.monitor import los_percentile_by_season
     return los_percentile_by_season(_enc(spark, sf))

@@ -40,3 +40,12 @@ def _batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def table_model(model_output: DataFrame) -> DataFrame:
     return model_output.select(*COMMON_COLUMNS).mapInPandas(_batches, OUTPUT_SCHEMA)
+
+
+SAMPLE_ORDER = ["stay_key", "stay_key_seq", "stay_start_date"]
+
+
+def sample_input(model_output: DataFrame, n: int = 5) -> DataFrame:
+    """The head sample a table-function model is registered with (L3), in a
+    fixed order so it is reproducible; planned as a distributed take-ordered."""
+    return model_output.select(*COMMON_COLUMNS).orderBy(*SAMPLE_ORDER).limit(n)
