@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bedflow.config import FUEC_ADMIT_TYPES, Params
+from bedflow.config import FUEC_ADMIT_TYPES
 from bedflow.operators.survival import past_stays
 
 # Care classes of the commented-out percentile estimate.

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bedflow.config import Params
-from bedflow.functions.dates import lit_date, months_after
+from bedflow.functions.dates import months_after
 
 
 def horizon_last_day(p: Params, admit_date: Column) -> Column:
