@@ -131,13 +131,13 @@ def _parsed(spark, sf):
 
 
 def _resource(spark, sf, resource):
-    """Parsed documents of one resource, materialised once with a reliable
-    checkpoint (spark.checkpoint.dir): the column-plan pass and the shredding
-    pass then read it instead of re-building and re-parsing the export."""
+    """Parsed documents of one resource, staged once as parquet in the shared
+    checkpoint folder: the column-plan pass and the shredding pass then read
+    it instead of re-building and re-parsing the export."""
     from bedflow.operators import fhir as H
-    from bedflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    parsed = _parsed(spark, sf).where(F.col("resource_type") == resource).checkpoint(eager=True)
+    from bedflow.sources.sinks import stage
+    parsed = stage(_parsed(spark, sf).where(F.col("resource_type") == resource)
+                   .select("doc", "resource_type"), f"fhir_{resource}")
     cols = H.column_plan(H.resource_columns(parsed), "resource_type")[resource]
     return parsed, cols
 

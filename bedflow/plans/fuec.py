@@ -33,6 +33,7 @@ from bedflow.config import (FOLDED_LOCATION, FUEC_ADMIT_TYPES, FUEC_CARE_CLASSES
                             HOLIDAY_DOW_CODE, HOLIDAY_FLAG, KEPT_LOCATION, Params)
 from bedflow.functions.dates import dow_code, lit_date, lit_ts_ntz, months_after
 from bedflow.operators.survival import curve_arrays, past_stays, survival_curve
+from bedflow.sources.sinks import stage
 
 FEATURES = ["service_name", "month", "dayofweek", "admit_type", "location",
             "service_code", "site_desc"]
@@ -177,6 +178,11 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
     sm = fuec_seasonal_mean(encounters, date_dim, holidays, p)
     on = [sm[c].eqNullSafe(curves[f"_c_{c}"]) for c in FEATURES]
     ep = sm.join(curves, on, "left").drop(*[f"_c_{c}" for c in FEATURES])
+    # ep (keys x combos, with curves) feeds both the grid and the per-combo
+    # counts; it is small, so it is materialised once in the shared
+    # checkpoint folder: the encounters are read once for it, and a lost
+    # executor later recomputes from here, not from the scans.
+    ep = stage(ep, "fuec_seasonal_curves")
     # dense_rank over (day, keys) = keys on earlier days + rank within the
     # day.  A day's keys are those of its (month, weekday code) combo, so the
     # within-day rank is a window per combo over the seasonal-mean rows.
@@ -184,7 +190,7 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
     ep = (ep.withColumn("_r", F.row_number().over(
         combo.orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])))
           )
-    combo_n = sm.groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n"))  # <= 96 rows
+    combo_n = ep.groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n"))  # <= 96 rows
     days = forecast_days(date_dim, holidays, p)                                # <= 31 * horizon rows
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (days.join(F.broadcast(combo_n), ["month", "dayofweek"], "left")

@@ -54,6 +54,29 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Materialise ``df`` once and cut its lineage at the shared checkpoint
+    folder (``spark.checkpoint.dir``).
+
+    A reliable ``checkpoint()`` alone computes its input twice (once for the
+    eager count, once to write the files); persisting first makes the count
+    fill the cache and the checkpoint write read from it.  The cache is
+    dropped as soon as the files exist.  ``label`` names the job.
+    """
+    from pyspark import StorageLevel
+
+    from bedflow.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    spark.sparkContext.setJobDescription(f"stage {label}")
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+        spark.sparkContext.setJobDescription(None)
+
+
 def common_format_text(model: DataFrame) -> DataFrame:
     """The stringified projection the table-function model serves: test
     constants, timestamps and dates as text."""
