@@ -44,3 +44,10 @@ def test_fuec_rank_window_is_per_day(models):
     key runs on the per-day counts (<= horizon days rows)."""
     plan = models["fuec"]._jdf.queryExecution().optimizedPlan().toString()
     assert "dense_rank" not in plan
+
+
+@pytest.mark.parametrize("name", ["cpc", "edc"])
+def test_models_need_no_window(models, name):
+    """Rates come from array lookups and days from explode positions: no
+    Window operator (hence no sort/shuffle by patient) in CP(C) or ED(C)."""
+    assert "Window" not in _plan(models[name])
