@@ -172,9 +172,8 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
     curves = fuec_curves(encounters).select(*[F.col(c).alias(f"_c_{c}") for c in FEATURES],
                                             "max_los", "s", "total", "expected_los")
     # One seasonal-mean row per cohort; its curve joins 1:1 (NULL if none, N9).
-    # Null-safe equality: same result here (seasonal rows have no NULL key), but
-    # it infers no isnotnull filters, so the curve and arrival branches keep
-    # identical plans over the shared pre-aggregate and Spark reuses its exchange.
+    # Null-safe equality gives the same result here (seasonal rows have no
+    # NULL key) and infers no extra isnotnull filters into the curve branch.
     sm = fuec_seasonal_mean(encounters, date_dim, holidays, p)
     on = [sm[c].eqNullSafe(curves[f"_c_{c}"]) for c in FEATURES]
     ep = sm.join(curves, on, "left").drop(*[f"_c_{c}" for c in FEATURES])
@@ -186,11 +185,9 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
     # dense_rank over (day, keys) = keys on earlier days + rank within the
     # day.  A day's keys are those of its (month, weekday code) combo, so the
     # within-day rank is a window per combo over the seasonal-mean rows.
-    combo = Window.partitionBy("month", "dayofweek")
-    ep = (ep.withColumn("_r", F.row_number().over(
-        combo.orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])))
-          )
     combo_n = ep.groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n"))  # <= 96 rows
+    combo = Window.partitionBy("month", "dayofweek").orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])
+    ep = ep.withColumn("_r", F.row_number().over(combo))
     days = forecast_days(date_dim, holidays, p)                                # <= 31 * horizon rows
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (days.join(F.broadcast(combo_n), ["month", "dayofweek"], "left")
