@@ -45,11 +45,16 @@ def run_daily(spark: SparkSession, inputs: DailyInputs, p: Params, out_dir: str,
     if feature_version is not None:
         publish_feature(spark, los, feature_version)
         los = read_feature(spark, feature_version)
+    # The one-row reclassification rate replaces its table (S8) and the model
+    # reads that fresh value back (N4), not a stale copy.
+    rate_path = f"{out_dir.rstrip('/')}/ed_reclassification_rate"
+    sinks.replace_table(edc.ed_reclassification_rate(inputs.snapshots, p), rate_path)
+    rate = spark.read.parquet(rate_path)
     paths = {
+        "ed_reclassification_rate": rate_path,
         "cpc": _write(cpc.cpc_model(inputs.encounters, p.with_(model_source="CPC"), los=los),
                       out_dir, "cpc_model_common_format", COMMON_FORMAT, "CP(C)", p),
-        "edc": _write(edc.edc_model(inputs.encounters, p.with_(model_source="EDC"),
-                                    snapshots=inputs.snapshots),
+        "edc": _write(edc.edc_model(inputs.encounters, p.with_(model_source="EDC"), rate=rate),
                       out_dir, "edc_model_common_format", COMMON_FORMAT, "ED(C)", p),
         "fuec": _write(fuec.fuec_forecast(inputs.encounters, inputs.date_dim, inputs.holidays, p),
                        out_dir, "fuec_model_common_format", FUEC_FORMAT, "FUEC", p),

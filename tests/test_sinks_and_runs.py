@@ -67,6 +67,7 @@ def test_daily_run(spark, enc, tmp_path):
     counts = {k: spark.read.parquet(v).count() for k, v in paths.items()}
     assert counts["cpc"] == 70 and counts["fuec"] == 1376
     assert counts["ensemble"] == counts["cpc"] + counts["edc"]
+    assert counts["ed_reclassification_rate"] == 1
     run_daily(spark, inputs, P, str(tmp_path))  # rerun replaces the day
     assert spark.read.parquet(paths["cpc"]).count() == 70
 
