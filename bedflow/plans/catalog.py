@@ -131,9 +131,10 @@ def _parsed(spark, sf):
 
 
 def _resource(spark, sf, resource):
-    """Parsed documents of one resource, staged once as parquet in the shared
-    checkpoint folder: the column-plan pass and the shredding pass then read
-    it instead of re-building and re-parsing the export."""
+    """Parsed documents of one resource, staged once (``sinks.stage``: a
+    reliable checkpoint in the shared folder): the column-plan pass and the
+    shredding pass then read it instead of re-building and re-parsing the
+    export."""
     from bedflow.operators import fhir as H
     from bedflow.sources.sinks import stage
     parsed = stage(_parsed(spark, sf).where(F.col("resource_type") == resource)
