@@ -114,14 +114,21 @@ def q_fuec_forecast(spark, sf):
     return fuec.fuec_forecast(_enc(spark, sf), date_dim(spark, P), holiday_dim(spark, P), P)
 
 
+def _cpc_and_edc(spark, sf):
+    """Both current-patient models over one encounter view (built once)."""
+    e = _enc(spark, sf)
+    return (cpc.cpc_model(e, P, los=los_feature(e)),
+            edc.edc_model(e, EDC_PARAMS, snapshots=cake_snapshot(spark, sf)))
+
+
 def q_ensemble_union(spark, sf):
     from bedflow.plans.ensemble import ensemble_union
-    return ensemble_union(q_cpc_model(spark, sf), q_edc_model(spark, sf))
+    return ensemble_union(*_cpc_and_edc(spark, sf))
 
 
 def q_ensemble_top_k(spark, sf):
     from bedflow.plans.ensemble import ensemble_top_k
-    return ensemble_top_k(q_cpc_model(spark, sf), q_edc_model(spark, sf), k=10)
+    return ensemble_top_k(*_cpc_and_edc(spark, sf), k=10)
 
 
 # ---------------------------------------------------------------- FHIR ------
@@ -198,7 +205,8 @@ def q_fhir_child_schema(spark, sf):
 # ---------------------------------------------------------- monitoring ------
 def q_model_dictionary(spark, sf):
     from bedflow.operators.monitor import model_dictionary
-    return model_dictionary(q_cpc_model(spark, sf).unionByName(q_edc_model(spark, sf)))
+    cpc_rows, edc_rows = _cpc_and_edc(spark, sf)
+    return model_dictionary(cpc_rows.unionByName(edc_rows))
 
 
 def q_column_profile(spark, sf):
