@@ -15,7 +15,10 @@ def lit_date(d: dt.date) -> Column:
 
 
 def lit_ts_ntz(d: dt.date | dt.datetime) -> Column:
-    return F.lit(d).cast("timestamp_ntz") if isinstance(d, dt.datetime) else F.lit(d).cast("date").cast("timestamp_ntz")
+    """A TIMESTAMP_NTZ literal, independent of the session and Python time
+    zones (a Python datetime literal would pass through an instant)."""
+    text = d.isoformat(sep=" ") if isinstance(d, dt.datetime) else f"{d.isoformat()} 00:00:00"
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def months_after(d: dt.date, months: int) -> Column:

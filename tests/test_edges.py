@@ -163,3 +163,14 @@ def test_empty_rate_table_gives_no_edc_rows(make_encounters, spark):
     empty = spark.createDataFrame([], "ed_reclassification_rate double")
     assert edc.edc_model(make_encounters(rows), P, rate=empty).count() == 0
     assert edc.edc_model(make_encounters(rows), P, rate=_rate_df(spark, 0.5)).count() > 0
+
+
+def test_run_timestamp_ignores_session_time_zone(spark, make_encounters):
+    from bedflow.functions.dates import lit_ts_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = spark.range(1).select(lit_ts_ntz(dt.datetime(2000, 1, 15, 4, 0)).alias("t")).first().t
+        assert got == dt.datetime(2000, 1, 15, 4, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
