@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bedflow.llm.common import BROADCAST_IDS, map_arrow, stage
+from bedflow.llm.common import BROADCAST_IDS, map_arrow, stage, without_ids
 
 #: Digests a filter holds on average; sets the number of buckets.
 BUCKET_DIGESTS = 40_000
@@ -227,7 +227,6 @@ def drop_exact_duplicates(docs: DataFrame, in_snapshot=None) -> DataFrame:
         # rows without an id of their own: told apart by their text instead
         return _drop_by_text(docs, found)
     gone = stage(found.where("not kept").select("doc_id"), "dedup-gone")
-    from bedflow.llm.common import without_ids
     return without_ids(docs, gone)
 
 
