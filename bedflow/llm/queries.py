@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bedflow.llm import exact_dedup, language_id, packing, simhash, toxicity
+from bedflow.llm import chat, exact_dedup, language_id, packing, sharding, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_chats(chat.planted(table(spark, sf_dir, "conversations"))))
+
+
+def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.reshard(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(language_id.page_rows(table(spark, sf_dir, "pages")), ["page_id"])
 
@@ -36,7 +44,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op2_packing, op3_toxicity, op8_language_id, op9_exact_dedup)}
+        op1_simhash, op2_packing, op3_toxicity, op6_chat_format, op7_resharding,
+        op8_language_id, op9_exact_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": """
