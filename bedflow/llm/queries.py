@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bedflow.llm import chat, exact_dedup, language_id, packing, sharding, simhash, toxicity
+from bedflow.llm import (
+    chat, exact_dedup, language_id, packing, pieces, sharding, simhash, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(chat.planted(table(spark, sf_dir, "conversations"))))
 
@@ -44,7 +49,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op2_packing, op3_toxicity, op6_chat_format, op7_resharding,
+        op1_simhash, op2_packing, op3_toxicity, op5_sentencepiece, op6_chat_format, op7_resharding,
         op8_language_id, op9_exact_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
