@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bedflow.llm import (
-    chat, exact_dedup, language_id, packing, pieces, sharding, simhash, toxicity)
+    chat, exact_dedup, language_id, neighbours, packing, pieces, sharding, simhash, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), neighbours.every())
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash, op2_packing, op3_toxicity, op5_sentencepiece, op6_chat_format, op7_resharding,
+        op1_simhash, op2_packing, op3_toxicity, op4_nearest, op5_sentencepiece, op6_chat_format, op7_resharding,
         op8_language_id, op9_exact_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
