@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bedflow.llm import (
-    chat, exact_dedup, language_id, neighbours, packing, pieces, sharding, simhash, toxicity)
+    chat, exact_dedup, language_id, line_dedup, neighbours, packing, pieces, sharding, simhash, toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,10 +52,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash, op2_packing, op3_toxicity, op4_nearest, op5_sentencepiece, op6_chat_format, op7_resharding,
-        op8_language_id, op9_exact_dedup)}
+        op8_language_id, op9_exact_dedup, op10_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": """
