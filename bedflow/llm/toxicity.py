@@ -32,6 +32,8 @@ from bedflow.llm.common import map_arrow, stage, without_ids
 MAX_TRAIN = 24_000
 #: Lexicon entries at most.
 MAX_LEXICON = 400
+#: How many times commoner in toxic texts an entry must be.
+LEAST_ODDS = 5
 THRESHOLD = 0.3
 NEAR = 5
 PREFIXES = (4, 5, 6)
@@ -103,7 +105,7 @@ def learn_lexicon(train: DataFrame, max_entries: int = MAX_LEXICON) -> dict[str,
             - F.log((F.col("every") - F.col("tox") + 0.5) / (n - n_tox + 1.0)))
     # an entry must be seen in enough toxic texts not to be there by chance
     least = max(5, math.ceil(0.01 * n_tox))
-    top = (counts.where(F.col("tox") >= least).withColumn("odds", odds).where(F.col("odds") > math.log(10))
+    top = (counts.where(F.col("tox") >= least).withColumn("odds", odds).where(F.col("odds") > math.log(LEAST_ODDS))
            .orderBy(F.desc(F.col("odds") * F.sqrt("tox")), "entry").limit(max_entries))
     return {r["entry"]: float(r["odds"]) for r in top.collect()}
 
