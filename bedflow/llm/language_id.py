@@ -50,13 +50,14 @@ def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     spaces are left out."""
     joined = "   ".join(texts).lower() + "   "
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-    owner = np.repeat(np.arange(len(texts)), [len(t.lower()) + 3 for t in texts])
+    sizes = [n for t in texts for n in (len(t.lower()), 3)]
+    owner = np.repeat([n for i in range(len(texts)) for n in (i, -1)], sizes)  # -1: between two texts
     low = code < 0xC0
     letter = ~low | ((code >= 97) & (code <= 122))
     code = np.where(letter, code, 32).astype(np.uint32)
     mixed = (code[:-2] * np.uint32(0x9E3779B1) ^ code[1:-1] * np.uint32(0x85EBCA77) ^ code[2:] * np.uint32(0xC2B2AE3D))
     use = letter[:-2] | letter[1:-1] | letter[2:]
-    use &= owner[:-2] == owner[2:]
+    use &= (owner[:-2] == owner[2:]) & (owner[:-2] >= 0)
     return ((mixed ^ (mixed >> np.uint32(15))) & np.uint32(CLASSES - 1))[use], owner[:-2][use]
 
 

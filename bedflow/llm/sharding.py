@@ -90,6 +90,8 @@ def solve(blocks: dict[int, list[tuple[int, int]]], shards: int = SHARDS) -> lis
     """Transfers from ``blocks`` (old shard -> (rows, bytes) of its blocks,
     smallest rows first) to shards 0 .. shards - 1.  The rows that stay have
     the highest ranks."""
+    if not blocks:
+        return []
     have = {i: sum(n for n, _ in b) for i, b in blocks.items()}
     total = sum(have.values())
     least, spare = divmod(total, shards)
@@ -164,7 +166,7 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, shards: int = SHAR
     layout: dict[int, list[tuple[int, int]]] = {}
     for r in sorted(summed.collect()):  # old shards x blocks rows at most
         layout.setdefault(r[0], []).append((r["n"], r["bytes"]))
-    moves = solve(layout, shards) if layout else []
+    moves = solve(layout, shards)
     spark: SparkSession = docs.sparkSession
     plan = F.broadcast(spark.createDataFrame([(m.old, m.first, m.n, m.shard, m.slot) for m in moves],
                                              "old int, first long, n long, shard int, from_slot long"))
