@@ -4,7 +4,7 @@ Public entry points live in ``bedflow.plans`` (models) and
 ``bedflow.operators`` (the building blocks they compose).
 """
 
-from bedflow.config import FIXTURE_PARAMS, Params
+from bedflow.config import Params
 
-__all__ = ["Params", "FIXTURE_PARAMS"]
+__all__ = ["Params"]
 __version__ = "0.1.0"

@@ -6,7 +6,7 @@ Every operator takes an explicit ``Params``; nothing reads the wall clock.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Literals the bed-demand models must reproduce exactly.
@@ -22,7 +22,6 @@ FUEC_CARE_CLASSES = (
     "Surgery Admit",
     "Extended Recovery",
 )
-KEPT_LOCATION = "PACU Mandell"
 FOLDED_LOCATION = "Occupied Bed"
 HOLIDAY_DOW_CODE = 9
 HOLIDAY_FLAG = "Y"
@@ -30,7 +29,6 @@ HOLIDAY_FLAG = "Y"
 CPC_MODEL_NAME = "CP(C)"
 EDC_MODEL_NAME = "ED(C)"
 MODEL_OUTPUT = "Fractional Stay"
-MODEL_SOURCE_DATA = "CONS_PROD"
 SIMULATED_PATIENT_TYPE = "Simulated Aggregate"
 PATIENT_STRATA = "Current Patients Cardboard"
 
@@ -47,21 +45,25 @@ DEFAULT_UPLIFT = "1.14"
 
 @dataclass(frozen=True)
 class Params:
-    """Explicit inputs of one model run (the reference read them from the
-    clock or hard-coded them in SQL)."""
+    """Explicit inputs of one model run.  Dates and site values have no
+    defaults: a run that leaves one out fails instead of taking another's."""
 
-    as_of: dt.date = dt.date(2000, 1, 15)
-    run_ts: dt.datetime = dt.datetime(2000, 1, 15, 4, 0, 0)
+    as_of: dt.date
+    run_ts: dt.datetime
+    # FUEC weights admissions before this date by `uplift`.
+    uplift_before: dt.date
+    # ED reclassification: snapshots strictly after this date count.
+    snapshots_from: dt.date
+    # Bounds of a generated calendar: day_key 1 is calendar_start.  CP(C) and
+    # ED(C) need no calendar; FUEC checks that its calendar is long enough.
+    calendar_start: dt.date
+    calendar_end: dt.date
+    # The location FUEC keeps apart; all others are folded into one.
+    kept_location: str
+    model_source_data: str
     horizon_months: int = HORIZON_MONTHS
     history_years: int = FUEC_HISTORY_YEARS
-    # FUEC weights admissions before this date by `uplift`.
-    uplift_before: dt.date = dt.date(1999, 7, 1)
     uplift: str = DEFAULT_UPLIFT  # decimal text keeps the sum exact
-    # ED reclassification: snapshots strictly after this date count.
-    snapshots_from: dt.date = dt.date(1995, 1, 1)
-    # Calendar (date dimension) bounds: day_key 1 is calendar_start.
-    calendar_start: dt.date = dt.date(1995, 1, 1)
-    calendar_end: dt.date = dt.date(2002, 12, 31)
     calendar_first_key: int = -1
     model_source: str = "CPC"
     model_sequence: int = 1
@@ -69,7 +71,6 @@ class Params:
     keep_unrated_tail: bool = True
     # N5: FUEC groups service keys and daily arrivals by the raw location.
     fold_first: bool = False
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
@@ -82,6 +83,3 @@ class Params:
     def calendar_days(self) -> int:
         """Number of day_key values >= 1."""
         return (self.calendar_end - self.calendar_start).days + 1
-
-
-FIXTURE_PARAMS = Params()

@@ -1,47 +1,51 @@
 """Length-of-stay feature (max / min / avg LOS of past stays per service)
-and its versioned publication as a view."""
+and its versioned publication as a table in storage."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bedflow.operators.survival import past_stays
+from bedflow.operators.survival import stay_histogram
 
 FEATURE_NAME = "los_ex_fv"
 ENTITY_KEY = "service_code"
 
 
-def los_feature(encounters: DataFrame) -> DataFrame:
-    return (past_stays(encounters)
+def los_feature(encounters: DataFrame, hist: DataFrame | None = None) -> DataFrame:
+    """From a ``stay_histogram``, the one given or that of ``encounters``."""
+    n, los = F.col("patients"), F.col("beddeddays")
+    return ((stay_histogram(encounters) if hist is None else hist)
             .groupBy(ENTITY_KEY)
-            .agg(F.max("beddeddays").alias("max_bedded_day"),
-                 F.min("beddeddays").alias("min_bedded_day"),
-                 F.avg("beddeddays").alias("avg_bedded_day")))
+            .agg(F.max(los).alias("max_bedded_day"),
+                 F.min(los).alias("min_bedded_day"),
+                 (F.sum(los * n).cast("double") / F.sum(n)).alias("avg_bedded_day")))
 
 
-def feature_view_name(version: str | int, name: str = FEATURE_NAME) -> str:
-    return f"{name}_v{version}"
+def feature_path(root: str, version: str | int, name: str = FEATURE_NAME) -> str:
+    return f"{root.rstrip('/')}/{name}_v{version}"
 
 
-def publish_feature(spark: SparkSession, feature: DataFrame, version: str | int,
+def publish_feature(feature: DataFrame, root: str, version: str | int,
                     name: str = FEATURE_NAME, key: str = ENTITY_KEY) -> str:
-    """Register ``feature`` as view ``<name>_v<version>``.
+    """Write ``feature`` once as version ``version`` under ``root``.
 
-    Like a feature store without refresh: the view is recomputed on read, an
-    existing version is never overwritten, and the entity key must be unique.
-    The uniqueness check is a small aggregation (one row per duplicated key,
-    at most one fetched), never a collect of the data.
+    Other jobs and sessions read the same rows.  A version is immutable:
+    publishing equal rows again changes nothing, other rows raise.  The entity
+    key must be unique.  The checks are small aggregations.
     """
-    view = feature_view_name(version, name)
-    if spark.catalog.tableExists(view):
-        raise ValueError(f"feature view {view} already exists")
-    dup = feature.groupBy(key).count().where(F.col("count") > 1).limit(1)
-    if dup.count() > 0:
+    spark, path = feature.sparkSession, feature_path(root, version, name)
+    if feature.groupBy(key).count().where("count > 1").limit(1).count():
         raise ValueError(f"entity key {key} is not unique in feature {name}")
-    feature.createTempView(view)
-    return view
-
-
-def read_feature(spark: SparkSession, version: str | int, name: str = FEATURE_NAME) -> DataFrame:
-    return spark.table(feature_view_name(version, name))
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+        old = spark.read.parquet(path).select(*feature.columns)
+        if old.exceptAll(feature).limit(1).count() or feature.exceptAll(old).limit(1).count():
+            raise ValueError(f"feature {name} version {version} exists with other rows")
+        return path
+    feature.write.parquet(path)
+    return path
+
+
+def read_feature(spark: SparkSession, root: str, version: str | int, name: str = FEATURE_NAME) -> DataFrame:
+    return spark.read.parquet(feature_path(root, version, name))

@@ -100,9 +100,10 @@ def los_percentile_by_season(encounters: DataFrame, q: float = 0.6) -> DataFrame
             .agg(F.round(F.percentile("beddeddays", F.lit(q)), 0).alias("beddeddays")))
 
 
-def forecast_accuracy(seasonal_mean: DataFrame, daily_arrivals: DataFrame,
+def seasonal_fit(seasonal_mean: DataFrame, daily_arrivals: DataFrame,
                       history_days: DataFrame, keys: list[str]) -> DataFrame:
-    """Fit of the FUEC seasonal mean to the realised daily arrivals, per key.
+    """Fit of the FUEC seasonal mean to the very arrivals it was averaged from,
+    per key: a goodness of fit, not the accuracy of a forecast.
 
     Cells are (history day, key); the prediction for a cell is the key's mean
     for the day's (month, weekday code), 0 if it has none; the actual is the

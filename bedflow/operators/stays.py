@@ -31,9 +31,10 @@ def stay_days(patients: DataFrame, last_day: Column, p: Params, keep: list[str],
 
     ``patients`` has one row per stay with admit_date, beddeddays (days
     already stayed, f) and the cohort curve ``s``.  Future day d runs from f
-    to ``last_day`` with rate S(d)/S(f), starting admit_date + d - 1.  A stay
-    with at least one future day is backfilled over the calendar days in
-    [admit_date, as_of - 1) with rate 1, numbered from 1 in day order.
+    to ``last_day`` with rate S(d)/S(f), starting admit_date + d - 1; the rate
+    is NULL where the curve has no survivors.  A stay with at least one future
+    day is backfilled over every day in [admit_date, as_of - 1) with rate 1,
+    numbered from 1 in day order.  No calendar bounds either part.
     """
     as_of = p.as_of.isoformat()
     pts = patients.withColumn("_last", last_day)
@@ -42,10 +43,8 @@ def stay_days(patients: DataFrame, last_day: Column, p: Params, keep: list[str],
            "'stay_start_date', {start})")
     parts = []
     if backfill:
-        first = f"greatest(admit_date, DATE'{p.calendar_first_day.isoformat()}')"
-        last = f"least(DATE'{as_of}' - 2, DATE'{p.calendar_end.isoformat()}')"
-        ok = f"{has_future} AND admit_date < DATE'{as_of}' - 1 AND {last} >= {first}"
-        parts.append(f"IF({ok}, transform(sequence({first}, {last}), (day, i) -> "
+        ok = f"{has_future} AND admit_date < DATE'{as_of}' - 1"
+        parts.append(f"IF({ok}, transform(sequence(admit_date, DATE'{as_of}' - 2), (day, i) -> "
                      + day.format(seq="i + 1", rate="1.0", start="day") + "), array())")
     if future:
         rate = "try_element_at(s, d) / try_element_at(s, beddeddays)"

@@ -29,6 +29,13 @@ def past_stays(encounters: DataFrame) -> DataFrame:
     return encounters.where((F.col("patient_type") == PAST) & (F.col("beddeddays") > 0))
 
 
+def require_unique(rows: DataFrame, key: str) -> None:
+    """Raise if a ``key`` occurs twice (one row of counts reaches the driver)."""
+    twice = rows.groupBy(key).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{key} is not unique, e.g. {twice[0][0]!r}")
+
+
 def los_histogram(stays: DataFrame, cohort: Sequence[str]) -> DataFrame:
     """(cohort..., beddeddays, patients): count of past stays per LOS.
 
@@ -44,47 +51,58 @@ def los_histogram(stays: DataFrame, cohort: Sequence[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("patients")))
 
 
-def cohort_max(hist: DataFrame, cohort: Sequence[str]) -> DataFrame:
-    return hist.groupBy(*cohort).agg(F.max("beddeddays").alias("max_los"))
+def stay_histogram(encounters: DataFrame) -> DataFrame:
+    """(service_code, beddeddays, patients) of all past stays, services
+    without a code included: the one history scan from which the LOS feature
+    and the curves of CP(C) and ED(C) derive."""
+    return (past_stays(encounters).groupBy("service_code", "beddeddays")
+            .agg(F.count(F.lit(1)).alias("patients")))
 
 
 def curve_arrays(hist: DataFrame, cohort: Sequence[str],
                  max_los: DataFrame | None = None) -> DataFrame:
     """(cohort..., max_los, s, total, expected_los): one row per cohort.
 
-    ``s[d-1]`` = S(d) for d = 1..max_los; ``total`` = S(1); ``expected_los``
-    = sum_d S(d) / S(1) = the mean LOS = the sum of the day rates from day 1.
-    ``max_los`` (cohort..., max_los), e.g. the published LOS feature, bounds
-    the curve; stays longer than it are ignored, exactly as a calendar
-    scaffold left-joined to the histogram would ignore them.  With no cohort
-    this is a global aggregate: always one row (NULLs without history).
+    ``s[d-1]`` = S(d) for d = 1..max_los, NULL where no stay reached d;
+    ``total`` = S(1); ``expected_los`` = sum_d S(d) / S(1) = the mean LOS = the
+    sum of the day rates from day 1.  ``max_los`` (cohort..., max_los), e.g. a
+    published LOS feature, bounds the curve: stays longer than it are ignored,
+    days beyond the longest stay have no survivors.  With no cohort this is a
+    global aggregate: always one row (NULLs without history).
     """
     cohort = list(cohort)
     entries = F.collect_list(F.struct(F.col("beddeddays").cast("int").alias("los"),
                                       F.col("patients").cast("long").alias("n")))
     g = hist.groupBy(*cohort) if cohort else hist
-    c = g.agg(entries.alias("_h"), F.max("beddeddays").cast("int").alias("max_los"))
+    c = g.agg(F.array_sort(entries).alias("_h"), F.max("beddeddays").cast("int").alias("max_los"))
     if max_los is not None:
         c = c.drop("max_los").join(max_los.select(*cohort, F.col("max_los").cast("int")), cohort)
-    # S(d) for d = 1..max_los: sum of the histogram entries with d <= LOS <= max.
-    s = F.expr("IF(max_los >= 1, transform(sequence(1, max_los), d -> aggregate(_h, 0L, "
-               "(acc, e) -> acc + IF(e.los >= d AND e.los <= max_los, e.n, 0L))), NULL)")
-    return (c.select(*cohort, "max_los", s.alias("s"))
+    # one step per distinct LOS: how many stays are at least that long
+    c = c.withColumn("_h", F.expr("filter(_h, e -> e.los <= max_los)"))
+    at_least = ("aggregate(_h, named_struct('left', aggregate(_h, 0L, (a, e) -> a + e.n), 'out', "
+                "CAST(array() AS ARRAY<BIGINT>)), (a, e) -> named_struct('left', a.left - e.n, "
+                "'out', array_append(a.out, a.left)), a -> a.out)")
+    # each value holds from the day after the next shorter LOS
+    reached = ("flatten(transform(_h, (e, i) -> array_repeat(_r[i], "
+               "e.los - IF(i = 0, 0, try_element_at(_h, i).los))))")
+    full = F.expr(f"IF(max_los >= 1, concat({reached}, array_repeat(CAST(NULL AS BIGINT), "
+                  f"max_los - coalesce(try_element_at(_h, -1).los, 0))), NULL)")
+    return (c.withColumn("_r", F.expr(at_least)).select(*cohort, "max_los", full.alias("s"))
             .withColumn("total", F.element_at("s", 1))
-            .withColumn("expected_los", F.expr("aggregate(s, 0L, (a, x) -> a + x) / total")))
+            .withColumn("expected_los", F.expr("aggregate(s, 0L, (a, x) -> a + coalesce(x, 0L)) / total")))
 
 
 def survival_curve(hist: DataFrame, cohort: Sequence[str],
                    max_los: DataFrame | None = None) -> DataFrame:
     """(cohort..., stay_day, patients, at_risk, total) for stay_day = 1..max:
-    the tabular form of ``curve_arrays`` (at_risk = S(stay_day))."""
+    the tabular form of ``curve_arrays`` (at_risk = S(stay_day), NULL at zero)."""
     cohort = list(cohort)
     arr = curve_arrays(hist, cohort, max_los)
     day = F.col("_pos") + 1
     nxt = F.coalesce(F.try_element_at(F.col("s"), (day + 1).cast("int")), F.lit(0).cast("long"))
     return (arr.select(*cohort, "s", "total", F.posexplode("s").alias("_pos", "at_risk"))
             .select(*cohort, day.cast("int").alias("stay_day"),
-                    (F.col("at_risk") - nxt).alias("patients"), "at_risk", "total"))
+                    (F.coalesce("at_risk", F.lit(0).cast("long")) - nxt).alias("patients"), "at_risk", "total"))
 
 
 def rate_at(s: Column, day: Column, given: Column) -> Column:

@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bedflow.config import FIXTURE_PARAMS as P
 from bedflow.operators.features import los_feature
 from bedflow.operators.survival import (conditional_rates, curve_arrays, los_histogram,
-                                        past_stays, survival_curve)
+                                        past_stays, stay_histogram, survival_curve)
 from bedflow.plans import cpc, edc, fuec
 from bedflow.sources.calendar import date_dim, holiday_dim
-from bedflow.sources.fixtures import cake_snapshot, encounters
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
+from bedflow.sources.fixtures import LATER_DAYS, LATER_PARAMS, cake_snapshot, encounters
+from bedflow.sources.sinks import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 EDC_PARAMS = P.with_(model_source="EDC")
@@ -72,8 +73,33 @@ def q_cpc_backfill(spark, sf):
 
 
 def q_cpc_model(spark, sf):
+    return cpc.cpc_model(_enc(spark, sf), P)
+
+
+def _later(spark, sf):
+    return encounters(spark, sf, LATER_PARAMS, LATER_DAYS)
+
+
+def q_cpc_backfill_later(spark, sf):
+    """The same orders in another decade: no calendar bounds the model."""
+    return cpc.cpc_backfill(_later(spark, sf), LATER_PARAMS)
+
+
+def q_cpc_model_later(spark, sf):
+    return cpc.cpc_model(_later(spark, sf), LATER_PARAMS)
+
+
+def q_edc_model_later(spark, sf):
+    return edc.edc_model(_later(spark, sf), LATER_PARAMS.with_(model_source="EDC"),
+                         snapshots=cake_snapshot(spark, sf, LATER_DAYS))
+
+
+def q_cpc_model_published_feature(spark, sf):
+    """With a published feature whose longest stay lies three days beyond the
+    history: days without survivors have a NULL rate."""
     e = _enc(spark, sf)
-    return cpc.cpc_model(e, P, los=los_feature(e))
+    los = los_feature(e).withColumn("max_bedded_day", F.col("max_bedded_day") + 3)
+    return cpc.cpc_model(e, P, los=los)
 
 
 def q_common_format_text(spark, sf):
@@ -107,7 +133,7 @@ def q_fuec_seasonal_mean(spark, sf):
 
 
 def q_fuec_cohort_rates(spark, sf):
-    return fuec.fuec_cohort_rates(_enc(spark, sf))
+    return fuec.fuec_cohort_rates(_enc(spark, sf), P)
 
 
 def q_fuec_forecast(spark, sf):
@@ -115,10 +141,11 @@ def q_fuec_forecast(spark, sf):
 
 
 def _cpc_and_edc(spark, sf):
-    """Both current-patient models over one encounter view (built once)."""
+    """Both current-patient models from one staged history histogram."""
     e = _enc(spark, sf)
-    return (cpc.cpc_model(e, P, los=los_feature(e)),
-            edc.edc_model(e, EDC_PARAMS, snapshots=cake_snapshot(spark, sf)))
+    hist = stage(stay_histogram(e), "stay-histogram")
+    return (cpc.cpc_model(e, P, hist=hist),
+            edc.edc_model(e, EDC_PARAMS, snapshots=cake_snapshot(spark, sf), hist=hist))
 
 
 def q_ensemble_union(spark, sf):
@@ -143,7 +170,6 @@ def _resource(spark, sf, resource):
     shredding pass then read it instead of re-building and re-parsing the
     export."""
     from bedflow.operators import fhir as H
-    from bedflow.sources.sinks import stage
     parsed = stage(_parsed(spark, sf).where(F.col("resource_type") == resource)
                    .select("doc", "resource_type"), f"fhir_{resource}")
     cols = H.column_plan(H.resource_columns(parsed), "resource_type")[resource]
@@ -214,10 +240,10 @@ def q_column_profile(spark, sf):
     return column_profile(_enc(spark, sf))
 
 
-def q_forecast_accuracy(spark, sf):
-    from bedflow.operators.monitor import forecast_accuracy
+def q_seasonal_fit(spark, sf):
+    from bedflow.operators.monitor import seasonal_fit
     e, cal, hol = _enc(spark, sf), date_dim(spark, P), holiday_dim(spark, P)
-    return forecast_accuracy(fuec.fuec_seasonal_mean(e, cal, hol, P), fuec.fuec_daily_arrivals(e, P),
+    return seasonal_fit(fuec.fuec_seasonal_mean(e, cal, hol, P), fuec.fuec_daily_arrivals(e, P),
                              fuec.history_days(cal, hol, P), fuec.KEYS)
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedflow.config import (MODEL_OUTPUT, MODEL_SOURCE_DATA, PATIENT_STRATA,
-                            SIMULATED_PATIENT_TYPE, Params)
+from bedflow.config import MODEL_OUTPUT, PATIENT_STRATA, SIMULATED_PATIENT_TYPE, Params
 from bedflow.functions.dates import lit_ts_ntz
 
 
@@ -21,7 +20,7 @@ def common_format(rows: DataFrame, p: Params, model_name: str,
         F.lit(p.model_source).alias("model_source"),
         F.lit(p.model_sequence).cast("long").alias("model_sequence"),
         lit_ts_ntz(p.run_ts).alias("model_timestamp"),
-        F.lit(MODEL_SOURCE_DATA).alias("model_source_data"),
+        F.lit(p.model_source_data).alias("model_source_data"),
         F.lit(model_name).alias("model_name"),
         F.lit(MODEL_OUTPUT).alias("model_output"),
         F.lit(SIMULATED_PATIENT_TYPE).alias("patient_type"),

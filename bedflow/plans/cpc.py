@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bedflow.config import CPC_MODEL_NAME, CURRENT, EMERGENCY_CARE_CLASS, Params
 from bedflow.operators import stays as S
-from bedflow.operators.survival import curve_arrays, los_histogram, past_stays
+from bedflow.operators.survival import curve_arrays, stay_histogram
 from bedflow.plans.common import common_format
 
 COHORT = ["service_code"]
@@ -26,13 +26,13 @@ def current_inpatients(encounters: DataFrame) -> DataFrame:
                             & (F.col("care_class") != EMERGENCY_CARE_CLASS))
 
 
-def cpc_curves(encounters: DataFrame, los: DataFrame | None = None) -> DataFrame:
-    """Per-service curve arrays; ``los`` (the LOS feature) bounds the curve."""
-    hist = los_histogram(past_stays(encounters), COHORT)
+def cpc_curves(hist: DataFrame, los: DataFrame | None = None) -> DataFrame:
+    """Per-service curve arrays of a ``stay_histogram``; ``los`` (a published
+    LOS feature) bounds the curve, else the histogram's own maximum."""
     max_los = None
     if los is not None:
         max_los = los.select("service_code", F.col("max_bedded_day").alias("max_los"))
-    return curve_arrays(hist, COHORT, max_los)
+    return curve_arrays(hist.where(F.col("service_code").isNotNull()), COHORT, max_los)
 
 
 def _patients(encounters: DataFrame, curves: DataFrame) -> DataFrame:
@@ -44,23 +44,27 @@ def _patients(encounters: DataFrame, curves: DataFrame) -> DataFrame:
     return cur.join(curves.select("service_code", "s", "max_los"), "service_code")
 
 
-def _rows(encounters: DataFrame, p: Params, los: DataFrame | None,
+def _rows(encounters: DataFrame, p: Params, los: DataFrame | None, hist: DataFrame | None,
           future: bool, backfill: bool) -> DataFrame:
-    pts = _patients(encounters, cpc_curves(encounters, los))
+    pts = _patients(encounters, cpc_curves(stay_histogram(encounters) if hist is None else hist, los))
     last = F.least(F.col("max_los"), S.horizon_last_day(p, F.col("admit_date")))
     rows = S.stay_days(pts, last, p, ["stay_key", "patient_timeframe"], future, backfill)
     return common_format(rows, p, CPC_MODEL_NAME, F.lit(1))
 
 
-def cpc_future(encounters: DataFrame, p: Params, los: DataFrame | None = None) -> DataFrame:
-    return _rows(encounters, p, los, future=True, backfill=False)
+def cpc_future(encounters: DataFrame, p: Params, los: DataFrame | None = None,
+               hist: DataFrame | None = None) -> DataFrame:
+    return _rows(encounters, p, los, hist, future=True, backfill=False)
 
 
-def cpc_backfill(encounters: DataFrame, p: Params, los: DataFrame | None = None) -> DataFrame:
-    return _rows(encounters, p, los, future=False, backfill=True)
+def cpc_backfill(encounters: DataFrame, p: Params, los: DataFrame | None = None,
+                 hist: DataFrame | None = None) -> DataFrame:
+    return _rows(encounters, p, los, hist, future=False, backfill=True)
 
 
-def cpc_model(encounters: DataFrame, p: Params, los: DataFrame | None = None) -> DataFrame:
+def cpc_model(encounters: DataFrame, p: Params, los: DataFrame | None = None,
+              hist: DataFrame | None = None) -> DataFrame:
     """Backfill and future rows of every current inpatient, in the common
-    format, from one join and one expansion."""
-    return _rows(encounters, p, los, future=True, backfill=True)
+    format, from one join and one expansion.  ``hist`` is a staged
+    ``stay_histogram``, where several models share it."""
+    return _rows(encounters, p, los, hist, future=True, backfill=True)

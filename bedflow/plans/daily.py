@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from bedflow.config import Params
 from bedflow.operators.features import los_feature, publish_feature, read_feature
+from bedflow.operators.survival import require_unique, stay_histogram
 from bedflow.plans import cpc, edc, fuec
 from bedflow.plans.ensemble import ensemble_union
 from bedflow.schemas import COMMON_COLUMNS, COMMON_FORMAT, FUEC_FORMAT
@@ -41,10 +42,13 @@ def _write(df: DataFrame, out_dir: str, table: str, schema, model: str, p: Param
 def run_daily(spark: SparkSession, inputs: DailyInputs, p: Params, out_dir: str,
               feature_version: str | int | None = None) -> dict[str, str]:
     """Compute and write every model for ``p.as_of``; returns table paths."""
-    los = los_feature(inputs.encounters)
+    require_unique(inputs.encounters, "contact_serial_number")
+    # one history scan: the feature and both curves come from this histogram
+    hist = sinks.stage(stay_histogram(inputs.encounters), "stay-histogram")
+    los = None
     if feature_version is not None:
-        publish_feature(spark, los, feature_version)
-        los = read_feature(spark, feature_version)
+        publish_feature(los_feature(inputs.encounters, hist), out_dir, feature_version)
+        los = read_feature(spark, out_dir, feature_version)
     # The one-row reclassification rate replaces its table (S8) and the model
     # reads that fresh value back (N4), not a stale copy.
     rate_path = f"{out_dir.rstrip('/')}/ed_reclassification_rate"
@@ -52,9 +56,9 @@ def run_daily(spark: SparkSession, inputs: DailyInputs, p: Params, out_dir: str,
     rate = spark.read.parquet(rate_path)
     paths = {
         "ed_reclassification_rate": rate_path,
-        "cpc": _write(cpc.cpc_model(inputs.encounters, p.with_(model_source="CPC"), los=los),
+        "cpc": _write(cpc.cpc_model(inputs.encounters, p.with_(model_source="CPC"), los=los, hist=hist),
                       out_dir, "cpc_model_common_format", COMMON_FORMAT, "CP(C)", p),
-        "edc": _write(edc.edc_model(inputs.encounters, p.with_(model_source="EDC"), rate=rate),
+        "edc": _write(edc.edc_model(inputs.encounters, p.with_(model_source="EDC"), rate=rate, hist=hist),
                       out_dir, "edc_model_common_format", COMMON_FORMAT, "ED(C)", p),
         "fuec": _write(fuec.fuec_forecast(inputs.encounters, inputs.date_dim, inputs.holidays, p),
                        out_dir, "fuec_model_common_format", FUEC_FORMAT, "FUEC", p),

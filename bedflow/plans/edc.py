@@ -4,11 +4,10 @@ and weighted by the ED reclassification rate.
 Differences from CP(C) that must be kept:
 
 * one global curve (no cohort);
-* the original scaffold spans every calendar day_key >= 1, so a patient
-  also gets rows *past* the observed max LOS (and rows for every day when
-  f itself is past the max), all with a NULL rate, up to the horizon (N2).
-  We emit them per patient with a bounded ``sequence`` instead of the
-  calendar-squared self-join;
+* the original scaffold spans the whole calendar, so a patient also gets
+  rows *past* the observed max LOS (and rows for every day when f itself is
+  past the max), all with a NULL rate, up to the horizon (N2).  We emit them
+  per patient with a ``sequence`` that ends at the horizon, without a calendar;
 * ``num_of_patient`` is the reclassification rate (a one-row result,
   attached as a scalar subquery; no cross join).
 """
@@ -23,7 +22,7 @@ from bedflow.config import (CURRENT, ED_ADMIT_CATEGORY, ED_RECLASS_LOOKBACK_MONT
                             EMERGENCY_CARE_CLASS, SNAPSHOT_MODEL_NAME, Params)
 from bedflow.functions.dates import lit_date, months_after
 from bedflow.operators import stays as S
-from bedflow.operators.survival import conditional_rates, curve_arrays, los_histogram, past_stays
+from bedflow.operators.survival import conditional_rates, curve_arrays, stay_histogram
 from bedflow.plans.common import common_format
 
 
@@ -53,14 +52,16 @@ def ed_reclassification_rate(snapshots: DataFrame, p: Params) -> DataFrame:
                       .cast("double").alias("ed_reclassification_rate"))
 
 
-def edc_curve(encounters: DataFrame) -> DataFrame:
-    """Exactly one row: the pooled curve array ``s`` and ``max_los``."""
-    return curve_arrays(los_histogram(past_stays(encounters), []), [])
+def edc_curve(hist: DataFrame) -> DataFrame:
+    """Exactly one row: the pooled curve array ``s`` and ``max_los`` of a
+    ``stay_histogram``."""
+    pooled = hist.groupBy("beddeddays").agg(F.sum("patients").alias("patients"))
+    return curve_arrays(pooled, [])
 
 
 def edc_rates_pooled(encounters: DataFrame) -> DataFrame:
     """(days_stayed, stay_day, stay_rate) of the pooled curve."""
-    return conditional_rates(edc_curve(encounters), [])
+    return conditional_rates(edc_curve(stay_histogram(encounters)), [])
 
 
 def current_emergencies(encounters: DataFrame) -> DataFrame:
@@ -69,30 +70,36 @@ def current_emergencies(encounters: DataFrame) -> DataFrame:
                             & (F.col("care_class") == EMERGENCY_CARE_CLASS))
 
 
-def _patients(encounters: DataFrame, rate: DataFrame) -> DataFrame:
-    curve = edc_curve(encounters).select(F.struct("s", "max_los")).scalar()
-    # The rate is a one-row table attached as a scalar; an empty rate table
-    # yields no rows at all (as a cross join with it would).
-    return current_emergencies(encounters).where(rate.exists()).select(
+def _patients(encounters: DataFrame, hist: DataFrame, rate: DataFrame, computed: bool) -> DataFrame:
+    curve = edc_curve(hist).select(F.struct("s", "max_los")).scalar()
+    current = current_emergencies(encounters)
+    if not computed:
+        # an empty rate table yields no rows at all (as a cross join with it would)
+        current = current.where(rate.exists())
+    rows = current.select(
         F.col("contact_serial_number").alias("stay_key"), "admit_date", "beddeddays",
-        F.col("patient_type").alias("patient_timeframe"),
-        curve.getField("s").alias("s"), curve.getField("max_los").alias("max_los"),
+        F.col("patient_type").alias("patient_timeframe"), curve.alias("_curve"),
         rate.select("ed_reclassification_rate").scalar().alias("num_of_patient"))
+    return rows.withColumn("s", F.col("_curve.s")).withColumn("max_los", F.col("_curve.max_los"))
 
 
 def _last_day(p: Params) -> Column:
+    """The last stay day: the horizon, or the longest past stay before it.
+    Without history no patient has a day inside the observed range."""
     horizon = S.horizon_last_day(p, F.col("admit_date"))
     if p.keep_unrated_tail:
-        return F.least(F.lit(p.calendar_days), horizon)
-    return F.least(F.col("max_los"), horizon)
+        return horizon
+    return F.least(F.coalesce("max_los", F.lit(0)), horizon)
 
 
 def _keep() -> list[str]:
     return ["stay_key", "patient_timeframe", "num_of_patient"]
 
 
-def _rows(encounters: DataFrame, rate: DataFrame, p: Params, future: bool, backfill: bool) -> DataFrame:
-    rows = S.stay_days(_patients(encounters, rate), _last_day(p), p, _keep(), future, backfill)
+def _rows(encounters: DataFrame, rate: DataFrame, p: Params, future: bool, backfill: bool,
+          hist: DataFrame | None = None, computed: bool = False) -> DataFrame:
+    patients = _patients(encounters, stay_histogram(encounters) if hist is None else hist, rate, computed)
+    rows = S.stay_days(patients, _last_day(p), p, _keep(), future, backfill)
     return common_format(rows, p, EDC_MODEL_NAME, F.col("num_of_patient"))
 
 
@@ -105,11 +112,13 @@ def edc_backfill(encounters: DataFrame, rate: DataFrame, p: Params) -> DataFrame
 
 
 def edc_model(encounters: DataFrame, p: Params, rate: DataFrame | None = None,
-              snapshots: DataFrame | None = None) -> DataFrame:
+              snapshots: DataFrame | None = None, hist: DataFrame | None = None) -> DataFrame:
     """Backfill and future rows.  ``rate`` overrides the freshly computed
-    reclassification rate (N4); otherwise ``snapshots`` is needed."""
-    if rate is None:
+    reclassification rate (N4); otherwise ``snapshots`` is needed.  ``hist``
+    is a staged ``stay_histogram``, where several models share it."""
+    computed = rate is None
+    if computed:
         if snapshots is None:
             raise ValueError("edc_model needs the snapshot table or a rate")
-        rate = ed_reclassification_rate(snapshots, p)
-    return _rows(encounters, rate, p, future=True, backfill=True)
+        rate = ed_reclassification_rate(snapshots, p)  # always one row
+    return _rows(encounters, rate, p, True, True, hist, computed)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedflow.config import (FOLDED_LOCATION, FUEC_ADMIT_TYPES, FUEC_CARE_CLASSES,
-                            HOLIDAY_DOW_CODE, HOLIDAY_FLAG, KEPT_LOCATION, Params)
+                            HOLIDAY_DOW_CODE, HOLIDAY_FLAG, Params)
 from bedflow.functions.dates import dow_code, lit_date, lit_ts_ntz, months_after
 from bedflow.operators.survival import curve_arrays, past_stays, survival_curve
 from bedflow.sources.sinks import stage
@@ -40,8 +40,8 @@ FEATURES = ["service_name", "month", "dayofweek", "admit_type", "location",
 KEYS = ["service_name", "admit_type", "location", "service_code", "site_desc"]
 
 
-def fold_location(c: Column) -> Column:
-    return F.when(c == KEPT_LOCATION, c).otherwise(F.lit(FOLDED_LOCATION))
+def fold_location(c: Column, p: Params) -> Column:
+    return F.when(c == p.kept_location, c).otherwise(F.lit(FOLDED_LOCATION))
 
 
 def urgent_past(encounters: DataFrame) -> DataFrame:
@@ -72,32 +72,32 @@ def urgent_counts(encounters: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def fuec_histogram(encounters: DataFrame) -> DataFrame:
+def fuec_histogram(encounters: DataFrame, p: Params) -> DataFrame:
     pre = urgent_counts(encounters)
     stays = pre.select(
         "service_name",
         F.col("dttm_month").alias("month"),
         F.when(F.col("is_holiday"), F.lit(HOLIDAY_DOW_CODE)).otherwise(F.col("dttm_dow")).alias("dayofweek"),
         "admit_type",
-        fold_location(F.col("location")).alias("location"),
+        fold_location(F.col("location"), p).alias("location"),
         "service_code", "site_desc", "beddeddays", "n")
     return stays.groupBy(*FEATURES, "beddeddays").agg(F.sum("n").alias("patients"))
 
 
-def fuec_cohort_rates(encounters: DataFrame) -> DataFrame:
+def fuec_cohort_rates(encounters: DataFrame, p: Params) -> DataFrame:
     """(features..., beddeddays, patients, running_patients, total_patients, stay_rate)."""
     keep = F.lit(True)
     for c in FEATURES:
         keep = keep & F.col(c).isNotNull()
-    curve = survival_curve(fuec_histogram(encounters).where(keep), FEATURES)
+    curve = survival_curve(fuec_histogram(encounters, p).where(keep), FEATURES)
     return curve.select(*FEATURES, F.col("stay_day").alias("beddeddays"), "patients",
                         F.col("at_risk").alias("running_patients"),
                         F.col("total").alias("total_patients"),
                         (F.col("at_risk") / F.col("total")).alias("stay_rate"))
 
 
-def fuec_curves(encounters: DataFrame) -> DataFrame:
-    return curve_arrays(fuec_histogram(encounters), FEATURES)
+def fuec_curves(encounters: DataFrame, p: Params) -> DataFrame:
+    return curve_arrays(fuec_histogram(encounters, p), FEATURES)
 
 
 # ----------------------------------------------------------- arrivals -------
@@ -105,10 +105,10 @@ def fuec_service_keys(encounters: DataFrame, p: Params) -> DataFrame:
     """Service keys of past stays; grouped by the raw location unless
     ``fold_first`` (N5), so a folded key repeats once per raw location."""
     past = encounters.where(F.col("patient_type") == "Past")
-    loc = fold_location(F.col("location")) if p.fold_first else F.col("location")
+    loc = fold_location(F.col("location"), p) if p.fold_first else F.col("location")
     g = past.select("service_name", "admit_type", loc.alias("location"),
                     "service_code", "site_desc").distinct()
-    return g.select("service_name", "admit_type", fold_location(F.col("location")).alias("location"),
+    return g.select("service_name", "admit_type", fold_location(F.col("location"), p).alias("location"),
                     "service_code", "site_desc")
 
 
@@ -117,26 +117,37 @@ def fuec_daily_arrivals(encounters: DataFrame, p: Params) -> DataFrame:
     key; admissions before ``uplift_before`` weigh ``uplift`` (exact decimal)."""
     weight = (F.when(F.col("admit_date") < lit_date(p.uplift_before), F.lit(Decimal(p.uplift)))
               .otherwise(F.lit(Decimal(1))))
-    loc = fold_location(F.col("location")) if p.fold_first else F.col("location")
+    loc = fold_location(F.col("location"), p) if p.fold_first else F.col("location")
     g = (urgent_counts(encounters)
          .groupBy("admit_date", "service_name", "admit_type", loc.alias("location"),
                   "service_code", "site_desc")
          .agg(F.sum(weight * F.col("n")).alias("patients")))
     return g.select("admit_date", "service_name", "admit_type",
-                    fold_location(F.col("location")).alias("location"),
+                    fold_location(F.col("location"), p).alias("location"),
                     "service_code", "site_desc", "patients")
 
 
 def _coded_days(date_dim: DataFrame, holidays: DataFrame, lo: Column, hi: Column) -> DataFrame:
     """Calendar days in [lo, hi) with month and weekday code.  Both inputs
     are calendar-sized, so the result is bounded by the window length."""
-    hol = holidays.select(F.col("date").alias("_hol")).distinct()
+    hol = (holidays.where((F.col("date") >= lo) & (F.col("date") < hi))
+           .select(F.col("date").alias("_hol")).distinct())  # at most the window's days
     days = date_dim.where((F.col("day") >= lo) & (F.col("day") < hi))
     return (days.join(F.broadcast(hol), days.day == hol._hol, "left")
             .select("day", "day_of_week", F.month("day").alias("month"),
                     dow_code(F.col("day"), F.col("_hol").isNotNull()).alias("dayofweek")))
 
 
+def require_calendar(date_dim: DataFrame, p: Params) -> None:
+    """Raise if the calendar does not hold every day of the history and the
+    horizon: FUEC would lose days without a trace."""
+    lo, hi = months_after(p.as_of, -12 * p.history_years), months_after(p.as_of, p.horizon_months)
+    inside = F.when((F.col("day") >= lo) & (F.col("day") < hi), F.col("day"))
+    have, want = date_dim.agg(F.count_distinct(inside), F.first(F.datediff(hi, lo))).first()
+    if not want or have < want:
+        raise ValueError(f"the calendar holds {have} of the {want} days that FUEC needs around {p.as_of}")
+
+
 def history_days(date_dim: DataFrame, holidays: DataFrame, p: Params) -> DataFrame:
     return _coded_days(date_dim, holidays, months_after(p.as_of, -12 * p.history_years),
                        lit_date(p.as_of))
@@ -169,7 +180,8 @@ def fuec_seasonal_mean(encounters: DataFrame, date_dim: DataFrame, holidays: Dat
 def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFrame,
                   p: Params) -> DataFrame:
     """The 16 FUEC columns in working types (cast by ``sinks.conform``)."""
-    curves = fuec_curves(encounters).select(*[F.col(c).alias(f"_c_{c}") for c in FEATURES],
+    require_calendar(date_dim, p)
+    curves = fuec_curves(encounters, p).select(*[F.col(c).alias(f"_c_{c}") for c in FEATURES],
                                             "max_los", "s", "total", "expected_los")
     # One seasonal-mean row per cohort; its curve joins 1:1 (NULL if none, N9).
     # Null-safe equality gives the same result here (seasonal rows have no

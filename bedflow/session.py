@@ -12,32 +12,6 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-# Starting point for a large cluster (100 TB inputs, ~1000 executors).  AQE
-# sizes the shuffles at run time: many initial partitions, coalesced to the
-# advisory size; skewed join partitions are split; small measured sides
-# become broadcasts.  Checkpoint files are removed when no longer referenced.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-}
-
-
-def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
-    """Apply the runtime SQL settings of ``CLUSTER_CONF`` to a live session."""
-    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
-
-
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "bedflow") -> SparkSession:
     builder = (
@@ -56,25 +30,18 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
-
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we pick a scratch folder of our own.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if current:
-        return current
-    local = tempfile.mkdtemp(prefix="bedflow-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, named by the session in
+    ``spark.checkpoint.dir``.  Only a local session without one gets a scratch
+    folder; a cluster without one fails here instead of writing to local disks."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
+        folder = tempfile.mkdtemp(prefix="bedflow-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")

@@ -3,11 +3,13 @@ append/replace, and the stringified view of the common format (S7-S11)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bedflow.schemas import COMMON_FORMAT
+from bedflow.session import shared_dir
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,26 +57,13 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Materialise ``df`` once and cut its lineage at the shared checkpoint
-    folder (``spark.checkpoint.dir``).
-
-    A reliable ``checkpoint()`` alone computes its input twice (once for the
-    eager count, once to write the files); persisting first makes the count
-    fill the cache and the checkpoint write read from it.  The cache is
-    dropped as soon as the files exist.  ``label`` names the job.
-    """
-    from pyspark import StorageLevel
-
-    from bedflow.session import ensure_checkpoint_dir
+    """Write ``df`` once as Parquet to the shared folder
+    (``spark.checkpoint.dir``) and read it back: later jobs and lost executors
+    start from the table, which can be pruned by column."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    spark.sparkContext.setJobDescription(f"stage {label}")
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
-        spark.sparkContext.setJobDescription(None)
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def common_format_text(model: DataFrame) -> DataFrame:
@@ -92,5 +81,3 @@ def common_format_text(model: DataFrame) -> DataFrame:
         F.date_format("stay_end_date", "yyyy-MM-dd").alias("stay_end_date"),
     )
 
-
-COMMON = COMMON_FORMAT

@@ -1,37 +1,13 @@
 """Readers for the driver's parquet tables, with explicit column lists so the
-scan's ReadSchema holds only what the plan uses.
-
-Each table is resolved once per session into a temporary view (file listing
-and footer schema read once, as a metastore table would be) and looked up by
-name afterwards.  Like a catalog table, a view does not see files added
-later: call ``refresh_tables`` after new data lands.
-"""
+scan's ReadSchema holds only what the plan uses.  Every read lists the files
+anew, so appended data is seen by the next query."""
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region nation customer supplier part orders lineitem events "
-          "documents embeddings pages benchmark labels conversations").split()
-
-
-def _view_name(sf_dir: str, name: str) -> str:
-    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return f"bedflow_{digest}_{name}"
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
-    view = _view_name(sf_dir, name)
-    if not spark.catalog.tableExists(view):
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(view)
-    df = spark.table(view)
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
-
-
-def refresh_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Forget the resolved views of ``sf_dir`` so the next read re-lists files."""
-    for name in TABLES:
-        spark.catalog.dropTempView(_view_name(sf_dir, name))

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from bedflow.operators.fhir import CHILD_TABLES, bulk_ingest
-from bedflow.session import ensure_checkpoint_dir
+from bedflow.session import shared_dir
 
 
 def start_landing_ingest(spark: SparkSession, landing_dir: str, target_dir: str,
                          name: str = "fhir_landing", available_now: bool = True,
                          max_files_per_trigger: int = 1000) -> StreamingQuery:
-    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    checkpoint = f"{shared_dir(spark)}/streams/{name}"
     docs = (spark.readStream.format("text")
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .load(landing_dir)

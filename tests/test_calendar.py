@@ -1,7 +1,7 @@
 """Generated date and holiday dimensions (FIXTURES.md)."""
 import datetime as dt
 
-from bedflow.config import FIXTURE_PARAMS as P
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from bedflow.sources.calendar import date_dim, holiday_dim
 
 

@@ -5,14 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bedflow.config import Params
 from bedflow.operators.survival import (conditional_rates, curve_arrays, los_histogram,
                                         past_stays, survival_curve)
 from bedflow.plans import cpc, edc, fuec
 from bedflow.sources.calendar import date_dim, holiday_dim
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from tests.conftest import enc_row
 
-P = Params()
 AS_OF = P.as_of
 
 
@@ -174,3 +173,70 @@ def test_run_timestamp_ignores_session_time_zone(spark, make_encounters):
         assert got == dt.datetime(2000, 1, 15, 4, 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("as_of, admit, days", [(dt.date(2026, 1, 15), dt.date(2026, 1, 5), 9),
+                                                (dt.date(2000, 1, 15), dt.date(1994, 6, 1), 2053)])
+def test_no_calendar_bounds_the_backfill(make_encounters, as_of, admit, days):
+    p = P.with_(as_of=as_of)
+    rows = [enc_row(1, "1993-01-01", "Past", 4000),
+            enc_row(2, admit, "Current", (as_of - admit).days),
+            enc_row(3, admit, "Current", (as_of - admit).days, care_class="Emergency")]
+    enc = make_encounters(rows)
+    got = cpc.cpc_backfill(enc, p).orderBy("stay_key_seq").collect()
+    assert len(got) == days and got[0].stay_start_date == admit
+    assert got[-1].stay_start_date == as_of - dt.timedelta(days=2) and got[-1].stay_key_seq == days
+    spark = enc.sparkSession
+    assert edc.edc_backfill(enc, _rate_df(spark, 0.5), p).count() == days
+    assert edc.edc_future(enc, _rate_df(spark, 0.5), p).count() > 80
+
+
+def test_no_survivors_give_null_rates(make_encounters):
+    """A published maximum beyond the history: NULL, not 0 and no error."""
+    rows = [enc_row(i, "1999-01-01", "Past", los) for i, los in enumerate([2, 4, 10])]
+    rows += [enc_row(10, AS_OF - dt.timedelta(days=5), "Current", 5),
+             enc_row(11, AS_OF - dt.timedelta(days=12), "Current", 12)]
+    enc = make_encounters(rows)
+    los = enc.sparkSession.createDataFrame([("SURG", 20)], "service_code string, max_bedded_day int")
+    got = {(r.stay_key, r.stay_key_seq): r.stay_rate for r in cpc.cpc_future(enc, P, los=los).collect()}
+    assert got == {("10", d): 1.0 if d <= 10 else None for d in range(5, 21)} | {("11", d): None for d in range(12, 21)}
+
+
+def test_unrated_tail_off_without_history_gives_no_rows(make_encounters, spark):
+    rows = [enc_row(1, AS_OF - dt.timedelta(days=2), "Current", 2, care_class="Emergency")]
+    p = P.with_(keep_unrated_tail=False)
+    assert edc.edc_model(make_encounters(rows), p, rate=_rate_df(spark, 0.5)).count() == 0
+
+
+def test_curve_of_gaps_and_limits(make_encounters):
+    rng = random.Random(3)
+    for _ in range(5):
+        los = [rng.choice([1, 2, 5, 9, 9, 30]) for _ in range(rng.randint(1, 12))]
+        enc = make_encounters([enc_row(i, "1999-01-01", "Past", x) for i, x in enumerate(los)])
+        hist = los_histogram(past_stays(enc), ["service_code"])
+        for top in (1, 4, 9, 40):
+            feature = enc.sparkSession.createDataFrame([("SURG", top)], "service_code string, max_los int")
+            got = curve_arrays(hist, ["service_code"], feature).first()
+            kept = [x for x in los if x <= top]
+            assert got.s == [sum(x >= d for x in kept) or None for d in range(1, top + 1)]
+            if kept:
+                assert got.expected_los == pytest.approx(sum(kept) / len(kept))
+
+
+def test_short_calendar_is_told(make_encounters, spark):
+    p = P.with_(as_of=dt.date(2010, 5, 1))
+    with pytest.raises(ValueError, match="calendar"):
+        fuec.fuec_forecast(make_encounters([]), date_dim(spark, P), holiday_dim(spark, P), p)
+
+
+def test_dates_and_site_have_no_defaults():
+    from bedflow.config import Params
+    with pytest.raises(TypeError):
+        Params()
+
+
+def test_repeated_serial_numbers_are_told(make_encounters):
+    from bedflow.operators.survival import require_unique
+    rows = [enc_row(1, "1999-01-01", "Past", 2), enc_row(1, "1999-01-02", "Past", 3)]
+    with pytest.raises(ValueError, match="not unique"):
+        require_unique(make_encounters(rows), "contact_serial_number")

@@ -6,11 +6,10 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from bedflow.config import Params
 from bedflow.plans import cpc
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from tests.conftest import enc_row
 
-P = Params()
 HORIZON = dt.date(2000, 4, 15)
 
 past = st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 40)), min_size=1, max_size=40)
@@ -51,7 +50,7 @@ def brute_edc(past_rows, current_rows):
     for i, (_, f) in enumerate(current_rows):
         admit = P.as_of - dt.timedelta(days=f)
         d = f
-        while d <= P.calendar_days and admit + dt.timedelta(days=d - 1) < HORIZON:
+        while admit + dt.timedelta(days=d - 1) < HORIZON:
             out[(str(2000 + i), d)] = (sum(x >= d for x in los) / sum(x >= f for x in los)
                                        if d <= mx and f <= mx else None)
             d += 1

@@ -8,6 +8,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from bedflow import oracle
+from bedflow.plans.catalog import QUERIES
 from tests.conftest import SF01
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -40,17 +42,17 @@ def _norm(df: pd.DataFrame):
     return sorted(out, key=lambda x: tuple("" if v is None else v for v in x))
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.queries()))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF01).toPandas()
-    want = duck.execute(E.oracle_sql()[name]).df()
+    want = duck.execute(oracle.queries()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _norm(got) == _norm(want)
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(QUERIES) - set(oracle.queries())
     assert rows_only == {"los_classifier", "classification_report"}
 
 

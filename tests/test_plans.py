@@ -2,7 +2,7 @@
 column pruning reach the parquet scan."""
 import pytest
 
-from bedflow.config import FIXTURE_PARAMS as P
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from bedflow.plans import cpc, edc, fuec
 from bedflow.sources.calendar import date_dim, holiday_dim
 from bedflow.sources.fixtures import cake_snapshot, encounters
@@ -51,3 +51,24 @@ def test_models_need_no_window(models, name):
     """Rates come from array lookups and days from explode positions: no
     Window operator (hence no sort/shuffle by patient) in CP(C) or ED(C)."""
     assert "Window" not in _plan(models[name])
+
+
+def _initial(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_encounters_are_scanned_once_for_history_and_once_for_patients(spark):
+    """One history scan and one scan of current patients a model; the ensemble
+    shares a staged histogram (snapshots apart: one orders and one lineitem scan)."""
+    from bedflow.plans.catalog import QUERIES
+    assert _initial(QUERIES["cpc_model"](spark, SF001)).count("o_custkey") > 0
+    scans = {q: _plan(QUERIES[q](spark, SF001)).count("FileScan parquet [o_orderkey")
+             for q in ("cpc_model", "ensemble_union", "edc_model")}
+    assert scans["cpc_model"] <= 2
+    assert scans["ensemble_union"] <= 3 + 1
+
+
+def test_snapshots_are_aggregated_once(models):
+    assert _initial(models["edc"]).count("l_linenumber#") > 0
+    plan = models["edc"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_returnflag") and sum("Relation [l_orderkey" in x for x in plan.splitlines()) == 1

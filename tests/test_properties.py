@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from bedflow.config import FIXTURE_PARAMS as P
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from bedflow.operators.survival import curve_arrays, los_histogram, past_stays, survival_curve
 from bedflow.plans import cpc, edc, fuec
 from bedflow.sources.calendar import date_dim, holiday_dim

@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from bedflow.config import FIXTURE_PARAMS as P
+from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from bedflow.operators import classify
 from bedflow.operators.features import los_feature, publish_feature, read_feature
 from bedflow.plans.cpc import cpc_model
@@ -51,14 +51,23 @@ def test_replace_run_is_idempotent(spark, enc, tmp_path):
     assert back.where(F.col("as_of") == "2000-01-15").count() == 70
 
 
-def test_feature_publication(spark, enc):
-    publish_feature(spark, los_feature(enc), "t1")
-    assert read_feature(spark, "t1").count() == 5
-    with pytest.raises(ValueError):
-        publish_feature(spark, los_feature(enc), "t1")
-    dup = los_feature(enc).unionByName(los_feature(enc))
-    with pytest.raises(ValueError):
-        publish_feature(spark, dup, "t2")
+def test_feature_publication(spark, enc, tmp_path):
+    root, los = str(tmp_path), los_feature(enc)
+    publish_feature(los, root, "t1")
+    publish_feature(los, root, "t1")  # the same rows again: nothing changes
+    assert read_feature(spark.newSession(), root, "t1").count() == 5
+    with pytest.raises(ValueError, match="other rows"):
+        publish_feature(los.withColumn("max_bedded_day", F.col("max_bedded_day") + 1), root, "t1")
+    with pytest.raises(ValueError, match="not unique"):
+        publish_feature(los.unionByName(los), root, "t2")
+
+
+def test_tables_are_listed_anew(spark, tmp_path):
+    from bedflow.sources.tables import read_table
+    spark.range(5).write.parquet(str(tmp_path / "region.parquet"))
+    assert read_table(spark, str(tmp_path), "region").count() == 5
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "region.parquet"))
+    assert read_table(spark, str(tmp_path), "region").count() == 10
 
 
 def test_daily_run(spark, enc, tmp_path):
@@ -68,7 +77,7 @@ def test_daily_run(spark, enc, tmp_path):
     assert counts["cpc"] == 70 and counts["fuec"] == 1376
     assert counts["ensemble"] == counts["cpc"] + counts["edc"]
     assert counts["ed_reclassification_rate"] == 1
-    run_daily(spark, inputs, P, str(tmp_path))  # rerun replaces the day
+    run_daily(spark, inputs, P, str(tmp_path), feature_version="daily1")  # rerun replaces the day
     assert spark.read.parquet(paths["cpc"]).count() == 70
 
 
