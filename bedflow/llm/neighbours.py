@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by collision-counting hashing (query-aware).
 
 Inner products are searched as distances: every vector gets one more
-coordinate that brings it to the norm of the largest one, queries get zero
-there, and the nearest by distance is then the largest by inner product.  Each
+coordinate that brings it to the norm of the largest one; queries get zero
+there and are scaled to that norm, which changes no order.  The nearest by
+distance is then the largest by inner product.  Each
 hash function is one random projection, kept as a sorted array.  A query's
 window on an array is centred on its own projection; virtual rehashing widens
 all windows by a factor round after round.  A vector inside the windows of at
@@ -28,13 +29,13 @@ from bedflow.llm.common import stage
 
 K = 20
 QUERY_EVERY = 20
-PROJECTIONS = 96
+PROJECTIONS = 80
 #: Share of the arrays whose windows must hold a candidate.
 THRESHOLD = 0.7
 #: Vectors of a block, about.
 BLOCK = 4096
 #: A query verifies at least k plus this share of a block, and at least LEAST vectors of it.
-SHARE = 0.17
+SHARE = 0.15
 LEAST = 600
 #: Growth of the windows a round.
 GROWTH = 1.15
@@ -55,7 +56,7 @@ class Block:
     """Sorted projections of one block's vectors."""
 
     def __init__(self, vectors: np.ndarray, norm: float, projections: int = PROJECTIONS, seed: int = SEED) -> None:
-        self.vectors = vectors
+        self.vectors, self.norm = vectors, norm
         n, dims = vectors.shape
         rng = np.random.default_rng(seed)
         self.axes = rng.standard_normal((dims + 1, projections))
@@ -67,7 +68,7 @@ class Block:
         self.reach = float(np.abs(at).max(initial=0.0)) + norm * float(np.abs(self.axes).sum(0).max()) + 1.0
         self.shift = 4 * self.reach * np.arange(projections)
         self.sorted, self.order = (sorted_at + self.shift[:, None]).ravel(), order.ravel()
-        # half a window's width at first; later queries start a little below what the last one needed
+        # half a window's width at first; later queries start one step below what the last one needed
         self.half = max(float(at.std(axis=0).mean()), 1e-9) / math.sqrt(max(n, 1))
 
     def candidates(self, query: np.ndarray, wanted: int) -> np.ndarray:
@@ -75,7 +76,7 @@ class Block:
         n, m = len(self.vectors), len(self.shift)
         if n <= wanted:
             return np.arange(n)
-        at = query @ self.axes[:-1] + self.shift
+        at = query * (self.norm / math.sqrt(query @ query)) @ self.axes[:-1] + self.shift
         need = max(1, math.ceil(THRESHOLD * m))
         hits = np.zeros(n, np.int64)
         low = high = np.searchsorted(self.sorted, at)
@@ -85,13 +86,15 @@ class Block:
             lo = np.minimum(np.searchsorted(self.sorted, at - half), low)
             hi = np.maximum(np.searchsorted(self.sorted, at + half, "right"), high)
             # only what the widened windows gain; a vector is in an array once
-            gained = [self.order[a:b] for a, b in zip((*lo, *high), (*low, *hi)) if a < b]
-            if gained:
-                hits += np.bincount(np.concatenate(gained), minlength=n)
+            if low is high:
+                gained = [self.order[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+            else:
+                gained = [self.order[a:b] for a, b in zip(lo.tolist() + high.tolist(), low.tolist() + hi.tolist())]
+            hits += np.bincount(np.concatenate(gained), minlength=n)
             low, high = lo, hi
             found = np.flatnonzero(hits >= need)
             if len(found) >= wanted or half >= 2 * self.reach:
-                self.half = half / GROWTH ** 2
+                self.half = half / GROWTH
                 return found
             half *= GROWTH
 
@@ -133,14 +136,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK
     asked = queries.select("query_id", "query", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def search(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        asks, ids, scores = [], [], []
         if len(own) and len(ask):
             index = Block(_matrix(own["embedding"]), norm)
-            ids = own["vec_id"].to_numpy()
+            own_ids = own["vec_id"].to_numpy()
             for q, vec in zip(ask["query_id"].to_numpy(), _matrix(ask["query"])):
-                got, score = index.nearest(vec, ids, q, k)
-                out.append(pd.DataFrame({"query_id": q, "vec_id": got, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                got, score = index.nearest(vec, own_ids, q, k)
+                asks.append(np.full(len(got), q))
+                ids.append(got)
+                scores.append(score)
+        return pd.DataFrame({c: np.concatenate(x) if x else [] for c, x in (
+            ("query_id", asks), ("vec_id", ids), ("score", scores))})
 
     found = dealt.select("block", "vec_id", "embedding").groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(
         search, "query_id long, vec_id long, score double")
