@@ -14,8 +14,9 @@ first, gives just the pair).  With that rule exactly one path reaches each
 position, and it is the library's own encoding.
 
 Where no piece has a word mark after another sign, every start of a word is a
-boundary on which all paths converge.  A word is then a unit of its own, and
-units are remembered per task (bounded).  Signs without a piece fall back to
+boundary on which all paths converge; so is every step between letters and
+other signs if no piece joins them.  What lies between is a unit of its own,
+and units are remembered per task (bounded).  Signs without a piece fall back to
 their bytes' pieces.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from bedflow.llm.common import map_arrow
 
 MARK = "▁"
-#: Units remembered per task; the store is emptied when full.
+#: Units remembered per task: as many recent ones, and as many from before them.
 MAX_KNOWN = 400_000
 #: Longer units are searched anew each time.
 MAX_UNIT = 64
@@ -47,6 +48,10 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _letter(c: str) -> bool:
+    return c.isalnum() and not c.isdecimal()
+
+
 class Codec:
     """Pieces and scores of a SentencePiece model file."""
 
@@ -69,13 +74,25 @@ class Codec:
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)
                                              or model.is_unused(i))]
         self.piece = {self.text_of[i]: (i, model.get_score(i)) for i in plain}
+        #: Every beginning of a piece: where a longer piece can still follow.
+        self.heads = {p[:k] for p in self.piece for k in range(1, len(p) + 1)}
         self.max_piece = max(map(len, self.piece), default=1)
         self.unknown = min((s for _, s in self.piece.values()), default=0.0) - UNKNOWN_PENALTY
-        spans = any(MARK in p.lstrip(MARK) for p in self.piece)
-        #: One unit: word marks and the signs up to the next mark; the whole text if pieces span words.
-        self.unit = None if spans else re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+", re.S)
+        #: One unit; None if pieces span words.  Marks go with the signs after them; letters
+        #: and other signs are units of their own if no piece joins the two.
+        self.unit = None
+        if not any(MARK in p.lstrip(MARK) for p in self.piece):
+            joined: set[str] = set()  # letters that some piece joins to other signs: counted as such
+            while more := {c for p in self.piece if len({_letter(c) and c not in joined for c in p.lstrip(MARK)}) > 1
+                           for c in p if _letter(c) and c not in joined}:
+                joined |= more
+            letter = f"(?![{re.escape(''.join(sorted(joined)))}])[^\\W\\d_]" if joined else r"[^\W\d_]"
+            other = rf"(?!{MARK}|{letter})."
+            self.unit = re.compile(rf"{MARK}*(?:(?:{letter})+|(?:{other})+)|{MARK}+", re.S)
         self.known: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.older: dict[str, list[int]] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
         self.most_kept = 0  # positions held at once by the last search
 
     @classmethod
@@ -100,14 +117,18 @@ class Codec:
             parts[-at:2 - at] = [parts[-at] + parts[1 - at]]
         return parts
 
-    def _apart(self, left: str, right: str) -> bool:
+    def _apart(self, left: str, right: str, row: dict | None = None) -> bool:
         """Whether merging leaves ``left`` and ``right`` as they are."""
-        pair = (left, right)
-        found = self.pairs.get(pair)
+        if row is None:
+            row = self.pairs.setdefault(left, {})
+        found = row.get(right)
         if found is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[pair] = self.merged(left + right) == ([left, right] if left else [right])
+            self.n_pairs += 1
+            if self.n_pairs >= MAX_PAIRS:
+                for kept in self.pairs.values():
+                    kept.clear()
+                self.n_pairs = 0
+            found = row[right] = self.merged(left + right) == ([left, right] if left else [right])
         return found
 
     def search(self, text: str):
@@ -140,28 +161,37 @@ class Codec:
             yield self._walk(text, back, done, len(text))
 
     def short(self, text: str) -> list[int]:
-        """``search`` of one unit by merges, in one go: its paths need no window."""
-        piece, pairs, longest = self.piece, self.pairs, self.max_piece
+        """``search`` of one unit by merges, in one go: its paths need no
+        window.  Each position is reached by one piece only, so pieces are
+        pushed forward and a position that was reached is not tried again."""
+        piece, heads, pairs = self.piece, self.heads, self.pairs
         size = len(text)
-        start, last = [0] * (size + 1), [""] * (size + 1)
-        for end in range(1, size + 1):
-            for s in range(end - longest if end > longest else 0, end):
-                right = text[s:end]
-                if right in piece or s == end - 1:
-                    left = last[s]
-                    apart = pairs.get((left, right)) if s < end - 1 else True
-                    if apart is None:
-                        apart = self._apart(left, right)
-                    if apart:
-                        start[end], last[end] = s, right
-                        break
+        last: list = [None] * (size + 1)  # the piece that ends at a position
+        last[0] = ""
+        for s in range(size):
+            left = last[s]
+            if left is None:
+                left = last[s] = text[s - 1]  # no piece got here: one sign
+            row = pairs.setdefault(left, {})
+            for e in range(s + 1, size + 1):
+                right = text[s:e]
+                if right not in heads:
+                    break
+                if last[e] is None and right in piece:
+                    apart = row.get(right)
+                    if self._apart(left, right, row) if apart is None else apart:
+                        last[e] = right
+        if last[size] is None:
+            last[size] = text[-1]
         parts, end = [], size
         while end:
             parts.append(last[end])
-            end = start[end]
-        if all(p in piece for p in parts):
-            return [piece[p][0] for p in reversed(parts)]
-        return [i for p in reversed(parts) for i in self._ids(p)]
+            end -= len(last[end])
+        parts.reverse()
+        try:
+            return [piece[p][0] for p in parts]
+        except KeyError:
+            return [i for p in parts for i in self._ids(p)]
 
     def _by_merges(self, text, end, done, last, back, score) -> int:
         piece = self.piece
@@ -198,21 +228,27 @@ class Codec:
         if self.unit is None:
             return [i for part in self.search(marked) for i in part]
         out: list[int] = []
-        known = self.known
+        known, add = self.known, self._unit_ids
         for unit in self.unit.findall(marked):
-            ids = known.get(unit)
-            if ids is None:
-                if self.by_merges and len(unit) <= MAX_UNIT:
-                    ids = self.short(unit)
-                else:
-                    ids = [i for part in self.search(unit) for i in part]
-                if len(unit) <= MAX_UNIT:
-                    if len(known) >= MAX_KNOWN:
-                        known.clear()
-                    known[unit] = ids
-            out += ids
+            out += known.get(unit) or add(unit)
         return out
 
+    def _unit_ids(self, unit: str) -> list[int]:
+        """Ids of a unit that is not among the recent ones."""
+        ids = self.older.get(unit)
+        if ids is None:
+            if self.by_merges and len(unit) <= MAX_UNIT:
+                ids = self.short(unit)
+            else:
+                ids = [i for part in self.search(unit) for i in part]
+        if len(unit) <= MAX_UNIT:
+            self.known[unit] = ids
+            if len(self.known) >= MAX_KNOWN:
+                # the recent ones become the older ones; the same dict goes on being the recent ones
+                self.older = dict(self.known)
+                self.known.clear()
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``.  Byte pieces are joined to signs, bytes that form
         none become U+FFFD; control ids have no text."""
