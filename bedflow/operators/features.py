@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bedflow.operators.survival import stay_histogram
+from bedflow.sources.sinks import path_exists
 
 FEATURE_NAME = "los_ex_fv"
 ENTITY_KEY = "service_code"
@@ -37,8 +38,7 @@ def publish_feature(feature: DataFrame, root: str, version: str | int,
     spark, path = feature.sparkSession, feature_path(root, version, name)
     if feature.groupBy(key).count().where("count > 1").limit(1).count():
         raise ValueError(f"entity key {key} is not unique in feature {name}")
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+    if path_exists(spark, path):
         old = spark.read.parquet(path).select(*feature.columns)
         if old.exceptAll(feature).limit(1).count() or feature.exceptAll(old).limit(1).count():
             raise ValueError(f"feature {name} version {version} exists with other rows")

@@ -1,23 +1,30 @@
 """Bulk FHIR ingest: infer a schema per resource type, shred each resource
 into a typed table, and explode mapped array columns into child tables.
 
-Everything data-sized stays in Spark.  The only driver round trip is the
-column plan: one row per (resource, property), bounded by the number of
-distinct property names, never by the number of documents or values.
-Documents are parsed once into VARIANT; ``bulk_ingest`` writes them to a
-staging table partitioned by resource type, so each resource's projection
-reads only its own partition (and lineage is cut at the staged table).
+Everything data-sized stays in Spark.  The only driver round trips are the
+column plans: one row per (resource, property) and one per (resource, child
+column, property), bounded by the number of distinct property names, never by
+the number of documents or values.  Documents are parsed once into VARIANT and
+staged, partitioned by resource type, in the shared folder; each resource's
+projection then reads only its own partition.
+
+Every table is written as one partition per batch (``ingest_batch``), which a
+repeated batch replaces.  A column keeps the type of its first batch; values of
+a later batch that has another type go to a column of their own,
+``name__type``, so every file stays readable.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bedflow.sources.json_docs import parse_documents
+from bedflow.sources.json_docs import parse_documents, rejects
+from bedflow.sources.sinks import path_exists, stage
 
 # Resource table -> {array property: child table}.
 CHILD_TABLES: dict[str, dict[str, str]] = {
@@ -73,6 +80,10 @@ SCALAR_HEADS = ("STRING", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN",
                 "DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "BINARY")
 PARENT_COLUMNS = ("PARENT_RESOURCE", "SOURCE_COL", "PARENT_ID")
 PRIMITIVE_COLUMN = "value"
+BATCH_COLUMN = "ingest_batch"
+REJECTS_TABLE = "FHIR_REJECTS"
+#: Tables written at the same time.
+WRITERS = 4
 
 
 def table_name(resource: str) -> str:
@@ -115,13 +126,16 @@ def infer_schema(parsed: DataFrame) -> DataFrame:
 
 def _column_types(props: DataFrame, keys: list[str]) -> DataFrame:
     """One merged Spark type per property: nulls dropped, numerics widened,
-    other conflicts VARIANT (N14); objects and arrays stay VARIANT."""
+    other conflicts VARIANT (N14); objects and arrays stay VARIANT.  A property
+    that holds an array in any document counts as ARRAY: the gate looks at
+    values, not at the merged type."""
     merged = F.schema_of_variant_agg("value")
+    arrays = F.bool_or(F.try_variant_get("value", "$", "array<variant>").isNotNull())
     spark_type = (F.when(head_type(F.col("_merged")).isin(*SCALAR_HEADS), F.lower("_merged"))
                   .otherwise(F.lit("variant")))
-    return (props.groupBy(*keys, "property").agg(merged.alias("_merged"))
-            .select(*keys, "property", head_type(F.col("_merged")).alias("variant_type"),
-                    spark_type.alias("spark_type")))
+    return (props.groupBy(*keys, "property").agg(merged.alias("_merged"), arrays.alias("_arrays"))
+            .select(*keys, "property", F.when(F.col("_arrays"), "ARRAY").otherwise(head_type(F.col("_merged")))
+                    .alias("variant_type"), spark_type.alias("spark_type")))
 
 
 def resource_columns(parsed: DataFrame) -> DataFrame:
@@ -156,22 +170,28 @@ def array_property(cols: list[tuple[str, str, str]], name: str) -> str | None:
 
 def child_elements(resource_rows: DataFrame, parent_table: str, array_col: str,
                    source_col: str, id_col: str = "id") -> DataFrame:
-    """One row per array element (H2); empty or NULL arrays give no row."""
+    """One row per array element (H2); empty or NULL arrays, and values that
+    are no arrays, give no row.  Resources without an id have a NULL parent."""
     elems = F.explode(F.try_variant_get(F.col(array_col), "$", "array<variant>"))
+    parent = F.col(id_col).cast("string") if id_col in resource_rows.columns else F.lit(None).cast("string")
     return resource_rows.select(
         F.lit(parent_table).alias("PARENT_RESOURCE"),
         F.lit(source_col).alias("SOURCE_COL"),
-        F.col(id_col).cast("string").alias("PARENT_ID"),
+        parent.alias("PARENT_ID"),
         elems.alias("element"))
 
 
-def element_properties(elements: DataFrame) -> DataFrame:
-    """(property, value) of array elements: the properties of object
-    elements, and the element itself as ``value`` for primitive ones (H5)."""
-    is_object = F.try_variant_get(F.col("element"), "$", "map<string,variant>").isNotNull()
-    objects = properties(elements.where(is_object), "element", [])
-    scalars = elements.where(~is_object).select(F.lit(PRIMITIVE_COLUMN).alias("property"),
-                                                F.col("element").alias("value"))
+def _is_object(element: str = "element") -> Column:
+    return F.try_variant_get(F.col(element), "$", "map<string,variant>").isNotNull()
+
+
+def element_properties(elements: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """(keep..., property, value) of array elements: the properties of object
+    elements, and the element itself as ``value`` for primitive ones (H5).  An
+    object's own ``value`` property shares that column."""
+    objects = properties(elements.where(_is_object()), "element", list(keep))
+    scalars = elements.where(~_is_object()).select(*keep, F.lit(PRIMITIVE_COLUMN).alias("property"),
+                                                   F.col("element").alias("value"))
     return objects.unionByName(scalars)
 
 
@@ -186,12 +206,11 @@ def child_schema(elements: DataFrame) -> DataFrame:
 
 
 def shred_children(elements: DataFrame, cols: list[tuple[str, str, str]]) -> DataFrame:
-    is_object = F.try_variant_get(F.col("element"), "$", "map<string,variant>").isNotNull()
-
     def column(p: str, t: str) -> Column:
+        own = F.try_variant_get("element", json_path(p), t)
         if p == PRIMITIVE_COLUMN:
-            return F.when(~is_object, F.try_variant_get("element", "$", t)).alias(p)
-        return F.try_variant_get("element", json_path(p), t).alias(p)
+            own = F.when(_is_object(), own).otherwise(F.try_variant_get("element", "$", t))
+        return own.alias(p)
     return elements.select(*PARENT_COLUMNS, *[column(p, t) for p, _, t in cols])
 
 
@@ -204,7 +223,7 @@ def child_table(resource_rows: DataFrame, resource: str, cols: list[tuple[str, s
                 source_col: str, mapping: Mapping[str, Mapping[str, str]] = CHILD_TABLES,
                 id_col: str = "id") -> tuple[str, DataFrame] | None:
     """Shredded child table for one mapped array column, or None when the
-    column is missing or not an array (H7, H8)."""
+    column is missing or holds no array (H7, H8)."""
     parent = table_name(resource)
     target = mapping.get(parent, {}).get(source_col)
     prop = array_property(cols, source_col)
@@ -214,41 +233,102 @@ def child_table(resource_rows: DataFrame, resource: str, cols: list[tuple[str, s
     return target, shred_children(elements, child_columns(elements))
 
 
+def all_child_columns(staged: DataFrame, plan: Mapping[str, list[tuple[str, str, str]]],
+                      mapping: Mapping[str, Mapping[str, str]]) -> dict[str, list[tuple[str, str, str]]]:
+    """Child table -> columns, for all resources in one aggregation.  Columns
+    of a child table that several resources share are merged."""
+    wanted = []  # one entry per mapped array column
+    for resource, cols in plan.items():
+        for source_col, target in mapping.get(table_name(resource), {}).items():
+            prop = array_property(cols, source_col)
+            if prop is not None:
+                wanted.append((resource, prop, target))
+    if not wanted:
+        return {}
+    per_resource = F.array(*[F.when(F.col("resource_type") == r, F.struct(
+        F.lit(t).alias("target"), F.try_variant_get("doc", json_path(p), "array<variant>").alias("elements")))
+        for r, p, t in wanted])
+    found = staged.select(F.explode(F.filter(per_resource, lambda x: x["elements"].isNotNull())).alias("x"))
+    elements = found.select("x.target", F.explode("x.elements").alias("element"))
+    return column_plan(_column_types(element_properties(elements, ["target"]), ["target"]), "target")
+
+
+def versioned(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with the columns whose type differs from the table's renamed
+    to ``name__type``, so that files of all batches can be read together."""
+    spark = rows.sparkSession
+    if not path_exists(spark, path):
+        return rows
+    have = {f.name: f.dataType for f in read_ingested(spark, path).schema.fields}
+    names = []
+    for f in rows.schema.fields:
+        kind = f.dataType.simpleString().split("(")[0]
+        same = f.name not in have or have[f.name] == f.dataType
+        names.append(F.col(f"`{f.name}`").alias(f.name if same else f"{f.name}__{kind}"))
+    return rows.select(*names)
+
+
+def read_ingested(spark: SparkSession, path: str) -> DataFrame:
+    """An ingested table with the columns of all its batches."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _canonical(cols: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    """Decimals of one width, so that a batch with longer numbers has no other type."""
+    def width(t: str) -> str:
+        if not t.startswith("decimal"):
+            return t
+        scale = int(t.rstrip(")").split(",")[1])
+        return "decimal(38,9)" if scale <= 9 else "double"
+    return [(p, vt, width(t)) for p, vt, t in cols]
+
+
 def bulk_ingest(docs: DataFrame, target_dir: str, mapping: Mapping[str, Mapping[str, str]] = CHILD_TABLES,
-                doc_col: str = "file_row", mode: str = "append") -> dict[str, str]:
-    """Parse, stage, shred and write every resource and mapped child table.
+                doc_col: str = "file_row", batch_id: str | int = 0) -> dict[str, str]:
+    """Parse, stage, shred and write every resource and mapped child table, and
+    the rejected documents with the reason (N15).
 
-    Returns {table name: path}.  Child tables shared by several resources
+    Returns {table name: path}.  The rows of batch ``batch_id`` replace those
+    of an earlier run of the same batch; other batches stay.  Children come
+    from this batch's documents only.  Child tables shared by several resources
     (FHIR_ADDRESS, ...) receive the union of their rows, by column name.
     """
-    spark = docs.sparkSession
-    stage = f"{target_dir.rstrip('/')}/_staged_documents"
-    parsed = (parse_documents(docs, doc_col, spark.sparkContext.defaultParallelism)
-              .where(F.col("resource_type").isNotNull()))
-    parsed.write.mode("overwrite").partitionBy("resource_type").parquet(stage)
-    staged = spark.read.schema(parsed.schema).parquet(stage)  # schema given: empty input reads empty
-    plan = column_plan(resource_columns(staged), "resource_type")
-    written: dict[str, str] = {}
+    spark, root = docs.sparkSession, target_dir.rstrip("/")
+    parsed = parse_documents(docs, doc_col)
+    folder = stage(parsed.withColumn("resource_type", F.coalesce("resource_type", F.lit(""))), "fhir-documents",
+                   partition_by=["resource_type"])
+    staged = folder.where("resource_type <> ''")
+    plan = {r: _canonical(c) for r, c in column_plan(resource_columns(staged), "resource_type").items()}
+    child_plan = {t: _canonical(c) for t, c in all_child_columns(staged, plan, mapping).items()}
+    tables: dict[str, DataFrame] = {}
     children: dict[str, list[DataFrame]] = {}
     for resource, cols in plan.items():
         table = table_name(resource)
-        path = f"{target_dir.rstrip('/')}/{table}"
-        rows = shred(staged, resource, cols)
-        rows.write.mode(mode).parquet(path)
-        written[table] = path
-        resource_rows = spark.read.parquet(path)
-        for source_col in mapping.get(table, {}):
-            built = child_table(resource_rows, resource, cols, source_col, mapping)
-            if built is not None:
-                children.setdefault(built[0], []).append(built[1])
+        tables[table] = shred(staged, resource, cols)
+        for source_col, target in mapping.get(table, {}).items():
+            prop = array_property(cols, source_col)
+            if prop is not None:
+                elements = child_elements(tables[table], table, prop, source_col)
+                children.setdefault(target, []).append(shred_children(elements, child_plan.get(target, [])))
     for target, parts in children.items():
         out = parts[0]
         for extra in parts[1:]:
-            out = out.unionByName(extra, allowMissingColumns=True)
-        path = f"{target_dir.rstrip('/')}/{target}"
-        out.write.mode(mode).parquet(path)
-        written[target] = path
-    return written
+            out = out.unionByName(extra)
+        tables[target] = out
+    bad = rejects(folder.withColumn("resource_type", F.nullif("resource_type", F.lit(""))), doc_col)
+    if bad.limit(1).count():
+        tables[REJECTS_TABLE] = bad
+
+    def write(name: str) -> tuple[str, str]:
+        path = f"{root}/{name}"
+        (versioned(tables[name], path).withColumn(BATCH_COLUMN, F.lit(str(batch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COLUMN).parquet(path))
+        return name, path
+
+    # one write a table: they have different columns and run side by side
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(pool.map(write, tables))
 
 
 def comparable(df: DataFrame) -> DataFrame:

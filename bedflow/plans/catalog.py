@@ -161,18 +161,18 @@ def q_ensemble_top_k(spark, sf):
 # ---------------------------------------------------------------- FHIR ------
 def _parsed(spark, sf):
     from bedflow.sources.json_docs import fhir_documents, parse_documents
-    return parse_documents(fhir_documents(spark, sf), partitions=spark.sparkContext.defaultParallelism)
+    return parse_documents(fhir_documents(spark, sf))
 
 
 def _resource(spark, sf, resource):
-    """Parsed documents of one resource, staged once (``sinks.stage``: a
-    reliable checkpoint in the shared folder): the column-plan pass and the
-    shredding pass then read it instead of re-building and re-parsing the
-    export."""
+    """Parsed documents of one resource, staged once: the column-plan pass and
+    the shredding pass read the staged table.  Only this resource's part of the
+    export is built."""
     from bedflow.operators import fhir as H
-    parsed = stage(_parsed(spark, sf).where(F.col("resource_type") == resource)
-                   .select("doc", "resource_type"), f"fhir_{resource}")
-    cols = H.column_plan(H.resource_columns(parsed), "resource_type")[resource]
+    from bedflow.sources.json_docs import RESOURCE_DOCUMENTS, parse_documents
+    parsed = stage(parse_documents(RESOURCE_DOCUMENTS[resource](spark, sf))
+                   .where(F.col("resource_type") == resource).select("doc", "resource_type"), f"fhir-{resource}")
+    cols = H.column_plan(H.resource_columns(parsed), "resource_type").get(resource, [])
     return parsed, cols
 
 
@@ -228,6 +228,23 @@ def q_fhir_child_schema(spark, sf):
     return H.child_schema(elements).select(F.lit("FHIR_CLAIM_ITEM").alias("target_table"), "*")
 
 
+def q_fhir_rejects(spark, sf):
+    """Documents of a messy export that are no resources, with the reason."""
+    from bedflow.sources.json_docs import messy_documents, parse_documents, rejects
+    return rejects(parse_documents(messy_documents(spark, sf)))
+
+
+def q_fhir_mixed_child_rows(spark, sf):
+    """Children of claims whose item is an array in some documents only, with
+    object and primitive elements."""
+    from bedflow.operators import fhir as H
+    from bedflow.sources.json_docs import messy_documents, parse_documents
+    parsed = stage(parse_documents(messy_documents(spark, sf)).select("doc", "resource_type"), "fhir-messy")
+    cols = H.column_plan(H.resource_columns(parsed), "resource_type").get("Claim", [])
+    built = H.child_table(H.shred(parsed, "Claim", cols), "Claim", cols, "ITEM")
+    return H.comparable(built[1])
+
+
 # ---------------------------------------------------------- monitoring ------
 def q_model_dictionary(spark, sf):
     from bedflow.operators.monitor import model_dictionary

@@ -87,21 +87,36 @@ def fhir_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(encounter_documents(spark, sf_dir)))
 
 
-def parse_documents(docs: DataFrame, col: str = DOC_COL, partitions: int | None = None) -> DataFrame:
+#: Builders of the export, by the resource they write.
+RESOURCE_DOCUMENTS = {"Claim": claim_documents, "Patient": patient_documents, "Encounter": encounter_documents}
+
+
+def messy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export as it comes: claims whose item is now an array, now an object,
+    now absent, extensions with a property called ``value``, elements of mixed
+    kinds, missing ids, and text that is no document."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    k, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    doc = F.concat(
+        F.lit('{"resourceType":"Claim"'),
+        F.when(k % 5 != 0, F.concat(F.lit(',"id":"'), text, F.lit('"'))).otherwise(""),
+        F.when(k % 3 == 0, F.concat(F.lit(',"item":[{"sequence":"1","value":"'), F.col("o_orderstatus"),
+                                    F.lit('"},{"sequence":"2"},'), text, F.lit("]")))
+        .when(k % 3 == 1, F.concat(F.lit(',"item":{"sequence":"'), text, F.lit('"}'))).otherwise(""),
+        F.lit("}"))
+    bad = F.when(k % 10 == 7, F.substring(doc, 1, 20)).when(k % 10 == 8, F.concat(F.lit('{"id":"'), text, F.lit('"}')))
+    return orders.select(F.coalesce(bad, doc).alias(DOC_COL))
+
+
+def parse_documents(docs: DataFrame, col: str = DOC_COL) -> DataFrame:
     """(file_row, doc VARIANT, resource_type); malformed text gives NULL doc.
-
-    Parsing is CPU-heavy per document; when the raw text arrives in few large
-    unsplittable files, ``partitions`` spreads the documents round-robin (an
-    even shuffle, no key to skew on) before parsing.
-    """
-    if partitions:
-        docs = docs.repartition(partitions)
+    Documents are parsed where their input split is read."""
     v = F.try_parse_json(F.col(col))
     return (docs.select(F.col(col), v.alias("doc"))
             .withColumn("resource_type", F.try_variant_get("doc", "$.resourceType", "string")))
 
 
-def rejects(parsed: DataFrame) -> DataFrame:
-    """Documents that are not JSON objects with a resourceType."""
-    return parsed.where(F.col(DOC_COL).isNotNull()
-                        & (F.col("doc").isNull() | F.col("resource_type").isNull()))
+def rejects(parsed: DataFrame, col: str = DOC_COL) -> DataFrame:
+    """(text, reason) of documents that are not JSON objects with a resourceType."""
+    bad = parsed.where(F.col(col).isNotNull() & (F.col("doc").isNull() | F.col("resource_type").isNull()))
+    return bad.select(F.col(col), F.when(F.col("doc").isNull(), "not JSON").otherwise("no resourceType").alias("reason"))

@@ -56,13 +56,20 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in the store that its scheme names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder
     (``spark.checkpoint.dir``) and read it back: later jobs and lost executors
-    start from the table, which can be pruned by column."""
+    start from the table, which can be pruned by column and partition."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,11 +2,11 @@
 
 New text files (one JSON document per line) are picked up by a Structured
 Streaming file source; each micro-batch is shredded by the batch ingest
-(``operators.fhir.bulk_ingest``) and appended to the resource and child
-tables.  The streaming checkpoint records which files are done, so a
+(``operators.fhir.bulk_ingest``) into its own partition of the resource and
+child tables.  The streaming checkpoint records which files are done, so a
 restarted or failed query resumes without re-ingesting them.  It lives in
 the shared folder the cluster names in ``spark.checkpoint.dir``.  A batch
-that fails half-way is replayed whole, so table appends are at-least-once.
+that fails half-way is replayed under the same id and replaces what it wrote.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def start_landing_ingest(spark: SparkSession, landing_dir: str, target_dir: str,
             .withColumnRenamed("value", "file_row"))
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        bulk_ingest(batch, target_dir, CHILD_TABLES, mode="append")
+        bulk_ingest(batch, target_dir, CHILD_TABLES, batch_id=f"{name}-{batch_id}")
 
     writer = docs.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(ingest)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -83,3 +83,52 @@ def test_empty_input_gives_nothing(spark, tmp_path):
     docs = spark.createDataFrame([], "file_row string")
     assert H.infer_schema(parse_documents(docs)).count() == 0
     assert H.bulk_ingest(docs, str(tmp_path)) == {}
+    assert not list(tmp_path.iterdir())
+
+
+def ingest(spark, path, docs, batch):
+    return H.bulk_ingest(spark.createDataFrame([(d,) for d in docs], "file_row string"), str(path), batch_id=batch)
+
+
+def test_second_batch_adds_only_its_own_children(spark, tmp_path):
+    one = ['{"resourceType":"Claim","id":"1","item":[{"sequence":1},{"sequence":2}]}']
+    two = ['{"resourceType":"Claim","id":"2","item":[{"sequence":7}]}']
+    ingest(spark, tmp_path, one, 0)
+    for _ in range(2):  # a repeated batch replaces itself
+        written = ingest(spark, tmp_path, two, 1)
+    rows = H.read_ingested(spark, written["FHIR_CLAIM_ITEM"]).collect()
+    assert sorted((r.PARENT_ID, r.sequence, r.ingest_batch) for r in rows) == [
+        ("1", 1, 0), ("1", 2, 0), ("2", 7, 1)]
+    assert H.read_ingested(spark, written["FHIR_CLAIM"]).count() == 2
+
+
+def test_other_types_in_a_later_batch_stay_readable(spark, tmp_path):
+    ingest(spark, tmp_path, ['{"resourceType":"Claim","id":"1","n":1,"d":1.5,"item":[{"sequence":1}]}'], 0)
+    ingest(spark, tmp_path, ['{"resourceType":"Claim","id":"2","n":"two","d":1234.25,"item":[{"sequence":"b"}]}'], 1)
+    rows = {r.id: r for r in H.read_ingested(spark, f"{tmp_path}/FHIR_CLAIM").collect()}
+    assert rows["1"].n == 1 and rows["2"].n is None and rows["2"]["n__string"] == "two"
+    assert float(rows["2"].d) == 1234.25  # longer numbers are no other type
+    kids = {r.PARENT_ID: r for r in H.read_ingested(spark, f"{tmp_path}/FHIR_CLAIM_ITEM").collect()}
+    assert kids["1"].sequence == 1 and kids["2"]["sequence__string"] == "b"
+
+
+def test_one_object_among_arrays_keeps_the_child_table(spark, tmp_path):
+    written = ingest(spark, tmp_path, ['{"resourceType":"Claim","id":"1","item":[{"sequence":1}]}',
+                                       '{"resourceType":"Claim","id":"2","item":{"sequence":2}}'], 0)
+    assert [r.PARENT_ID for r in spark.read.parquet(written["FHIR_CLAIM_ITEM"]).collect()] == ["1"]
+    assert spark.read.parquet(written["FHIR_CLAIM"]).count() == 2
+
+
+def test_property_called_value_is_kept(spark, tmp_path):
+    written = ingest(spark, tmp_path, [
+        '{"resourceType":"Claim","id":"1","item":[{"url":"u","value":"x"},"y",{"url":"v"}]}'], 0)
+    rows = spark.read.parquet(written["FHIR_CLAIM_ITEM"]).collect()
+    assert sorted((r.url or "", r.value or "") for r in rows) == [("", "y"), ("u", "x"), ("v", "")]
+
+
+def test_resources_without_id_and_rejects_are_written(spark, tmp_path):
+    written = ingest(spark, tmp_path, ['{"resourceType":"Claim","item":[{"sequence":1}]}', "nonsense", '{"id":"x"}'], 0)
+    assert [r.PARENT_ID for r in spark.read.parquet(written["FHIR_CLAIM_ITEM"]).collect()] == [None]
+    assert sorted(r.reason for r in spark.read.parquet(written["FHIR_REJECTS"]).collect()) == [
+        "no resourceType", "not JSON"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["FHIR_CLAIM", "FHIR_CLAIM_ITEM", "FHIR_REJECTS"]

@@ -92,6 +92,10 @@ def test_landing_stream(spark, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out" / "FHIR_CLAIM_ITEM")).count() == 2
     assert spark.read.parquet(str(tmp_path / "out" / "FHIR_ADDRESS")).count() == 1
+    (landing / "b.json").write_text('{"resourceType":"Claim","id":"2","item":[{"sequence":3}]}\n')
+    q = start_landing_ingest(spark, str(landing), str(tmp_path / "out"), name=f"t{os.getpid()}")
+    q.awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out" / "FHIR_CLAIM_ITEM")).count() == 3
 
 
 def test_classifier_fit_report_and_persist(spark, enc, tmp_path):
