@@ -1,10 +1,13 @@
 """Length-of-stay classifier (M3-M7) as one Spark ML pipeline.
 
-Past stays -> categorical features indexed, assembled, standard-scaled
-(fitted on the training split only, as part of the pipeline) -> random
-forest of 100 trees, LOS as the class label.  Evaluation is a confusion
-count ``groupBy(label, prediction)`` and metrics derived from it, all as
-DataFrames.  Model and scaler persist together as one PipelineModel.
+Past stays -> categorical features indexed in one pass, assembled,
+standard-scaled (fitted on the training split only, as part of the pipeline)
+-> random forest of 100 trees.  The LOS is a class *label*: it is indexed like
+any category and mapped back after prediction, so any stay length fits.  The
+split is a hash of the serial number: the same rows whatever the partitions.
+Evaluation is a confusion count ``groupBy(label, prediction)`` and metrics
+derived from it, all as DataFrames.  Model and scaler persist together as one
+PipelineModel.
 """
 
 from __future__ import annotations
@@ -12,52 +15,90 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedflow.operators.survival import past_stays
+from bedflow.sources.sinks import stage
 
 CATEGORICAL = ["admit_type", "care_class", "location", "site_desc", "service_code"]
 NUMERIC = ["month", "weekday"]
 SEED = 42
-TRAIN_FRACTION = 0.8
+TRAIN_PERCENT = 80
 N_TREES = 100
 
 
 def classifier_input(encounters: DataFrame) -> DataFrame:
-    """Features that do not leak the label, plus ``label`` = LOS."""
+    """Features that do not leak the label, ``label`` = LOS, and ``in_train``:
+    whether the serial number's hash falls into the training percent."""
+    bucket = F.conv(F.substring(F.md5("contact_serial_number"), 1, 6), 16, 10).cast("int") % 100
     return past_stays(encounters).select(
         "contact_serial_number", *CATEGORICAL,
         F.month("admit_date").cast("double").alias("month"),
         F.dayofweek("admit_date").cast("double").alias("weekday"),
-        F.col("beddeddays").cast("double").alias("label"))
+        F.col("beddeddays").cast("double").alias("label"),
+        (bucket < TRAIN_PERCENT).alias("in_train"))
+
+
+def split(data: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return data.where("in_train").drop("in_train"), data.where("not in_train").drop("in_train")
+
+
+def split_counts(data: DataFrame) -> DataFrame:
+    """(label, in_train, n): how the split deals out each class."""
+    return data.groupBy("label", "in_train").agg(F.count(F.lit(1)).alias("n"))
+
+
+def scaler_stats(data: DataFrame) -> DataFrame:
+    """(feature, mean, stddev) that the scaler learns from the training rows;
+    moments rounded to 9 places."""
+    train, _ = split(data)
+    stats = train.agg(*[f(c).alias(f"{c}_{n}") for c in NUMERIC for n, f in (("m", F.avg), ("s", F.stddev_samp))])
+    return stats.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.round(f"{c}_m", 9).alias("mean"), F.round(f"{c}_s", 9).alias("stddev"))
+        for c in NUMERIC])).alias("x")).select("x.*")
+
+
+def baseline_predictions(data: DataFrame) -> DataFrame:
+    """Held-out rows with the commonest training LOS of their service (the
+    shorter of equals): what the forest has to beat.  Rows of a service without
+    training rows are left out."""
+    train, test = split(data)
+    counts = train.groupBy("service_code", "label").agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy("service_code").orderBy(F.desc("n"), "label")  # services x LOS values
+    top = counts.withColumn("r", F.row_number().over(best)).where("r = 1").select(
+        "service_code", F.col("label").alias("prediction"))
+    return test.join(top, "service_code").select("contact_serial_number", "label", "prediction")
 
 
 def los_pipeline(n_trees: int = N_TREES, seed: int = SEED) -> Pipeline:
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in CATEGORICAL]
+    names = [*CATEGORICAL, "los"]
+    index = StringIndexer(inputCols=names, outputCols=[f"{c}_idx" for c in names], handleInvalid="keep")
     assemble = VectorAssembler(inputCols=[f"{c}_idx" for c in CATEGORICAL] + NUMERIC,
                                outputCol="raw_features")
     # Spark's scaler uses the sample standard deviation.
     scale = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label",
+    forest = RandomForestClassifier(featuresCol="features", labelCol="los_idx", predictionCol="los_class",
                                     numTrees=n_trees, seed=seed)
-    return Pipeline(stages=[*idx, assemble, scale, forest])
+    return Pipeline(stages=[index, assemble, scale, forest])
 
 
-def split(data: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    train, test = data.randomSplit([TRAIN_FRACTION, 1 - TRAIN_FRACTION], seed=seed)
-    return train, test
+def _with_los(data: DataFrame) -> DataFrame:
+    return data.withColumn("los", F.col("label").cast("int").cast("string"))
 
 
 def fit(encounters: DataFrame, n_trees: int = N_TREES, seed: int = SEED
         ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the 80% split; return the model and the held-out rows."""
-    train, test = split(classifier_input(encounters), seed)
-    return los_pipeline(n_trees, seed).fit(train), test
+    """Fit on the training rows, staged once; return the model and the held-out rows."""
+    train, test = split(stage(classifier_input(encounters), "classifier-rows"))
+    return los_pipeline(n_trees, seed).fit(_with_los(train)), test
 
 
 def predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
-    return model.transform(test).select("contact_serial_number", "label", "prediction")
+    """contact_serial_number, label, prediction (both LOS in days)."""
+    classes = F.array(*[F.lit(float(x)) for x in model.stages[0].labelsArray[-1]])
+    days = F.try_element_at(classes, (F.col("los_class") + 1).cast("int"))
+    return model.transform(_with_los(test)).select("contact_serial_number", "label", days.alias("prediction"))
 
 
 def classification_report(pred: DataFrame) -> DataFrame:

@@ -63,24 +63,29 @@ def column_profile(df: DataFrame) -> DataFrame:
                     "min_value", "max_value"))
 
 
-def column_distribution(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Per numeric column (and group): n, mean, sample stddev, min, exact
-    quartiles (linear interpolation), max; moments rounded to 9 places.
-    Exact percentiles keep a value -> count map per group, so their memory
-    follows the number of distinct values, not of rows."""
+def column_quantiles(df: DataFrame, columns: list[str], by: list[str] | None = None,
+                     exact: bool = False) -> DataFrame:
+    """Per numeric column (and group): n, mean, sample stddev, min, quartiles,
+    max; moments rounded to 9 places.
+
+    Quartiles come from a sketch of bounded size; ``exact`` (linear
+    interpolation) keeps a value -> count map per group and is for columns with
+    few distinct values, such as a length of stay.
+    """
     by = by or []
     parts = []
     for c in columns:
         x = F.col(c).cast("double")
+
+        def quantile(q: float):
+            return F.percentile(x, F.lit(q)) if exact else F.percentile_approx(x, q, 10_000)
         parts.append(df.groupBy(*by).agg(
             F.lit(c).alias("column_name"),
             F.count(x).alias("n"),
             (F.round(F.avg(x), 9) + 0.0).alias("mean"),
             (F.round(F.stddev_samp(x), 9) + 0.0).alias("stddev"),
             F.min(x).alias("min"),
-            F.percentile(x, F.lit(0.25)).alias("p25"),
-            F.percentile(x, F.lit(0.5)).alias("p50"),
-            F.percentile(x, F.lit(0.75)).alias("p75"),
+            quantile(0.25).alias("p25"), quantile(0.5).alias("p50"), quantile(0.75).alias("p75"),
             F.max(x).alias("max")))
     out = parts[0]
     for extra in parts[1:]:
@@ -88,6 +93,66 @@ def column_distribution(df: DataFrame, columns: list[str], by: list[str] | None
     return out
 
 
+def column_distribution(df: DataFrame, categorical: list[str], numeric: list[str], bins: int = 10) -> DataFrame:
+    """(column_name, kind, bucket, n, share): frequencies of the values of
+    categorical columns, and histograms of numeric ones over ``bins`` equal
+    widths between minimum and maximum, named by their number from 1.  A NULL
+    has the bucket 'NULL'; ``share`` is of all rows, so a NULL bucket's share is
+    the column's null rate.
+
+    One pass finds the ranges (one row), one counts (column, bucket) pairs,
+    combined map-side.
+    """
+    total, *ends = df.agg(F.count(F.lit(1)), *[f(F.col(c).cast("double")) for c in numeric
+                                               for f in (F.min, F.max)]).first()
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit("category").alias("kind"),
+                      F.coalesce(F.col(c).cast("string"), F.lit("NULL")).alias("bucket")) for c in categorical]
+    for c, low, high in zip(numeric, ends[::2], ends[1::2]):
+        x = F.col(c).cast("double")
+        width = ((high - low) / bins if low is not None else 0.0) or 1.0
+        number = F.when(x.isNotNull(), F.least(F.floor((x - F.lit(low or 0.0)) / width), F.lit(bins - 1)) + 1)
+        cells.append(F.struct(F.lit(c).alias("column_name"), F.lit("histogram").alias("kind"),
+                              F.coalesce(number.cast("string"), F.lit("NULL")).alias("bucket")))
+    pairs = df.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+    counts = pairs.groupBy("column_name", "kind", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("share", F.round(F.col("n") / F.lit(float(total or 1)), 9))
+
+
+def column_estimates(df: DataFrame) -> DataFrame:
+    """(column_name, null_rate, approx_distinct): one pass with sketches, for
+    columns whose exact distinct count is not worth a shuffle."""
+    aggs = [x for i, c in enumerate(df.columns) for x in (
+        (1 - F.count(F.col(c)) / F.count(F.lit(1))).alias(f"_z{i}"), F.approx_count_distinct(c).alias(f"_d{i}"))]
+    return df.agg(*aggs).select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"_z{i}").alias("null_rate"), F.col(f"_d{i}").alias("approx_distinct"))
+        for i, c in enumerate(df.columns)])).alias("x")).select("x.*")
+
+
+def census_accuracy(models: DataFrame, stays: DataFrame) -> DataFrame:
+    """Predicted against realised bed-days, per model and day (M9).
+
+    ``models`` is in the common format; a day's prediction is the sum of
+    num_of_patient x stay_rate of the rows that start on it (unrated rows add
+    nothing).  ``stays`` (stay_key, admit_date, beddeddays) tells how long the
+    stays really lasted; a model's realised bed-days count those of its own
+    patients who were in bed that day.  Sums are rounded to 6 places.
+    """
+    predicted = models.groupBy("model_name", "stay_start_date").agg(
+        F.sum(F.coalesce(F.col("num_of_patient") * F.col("stay_rate"), F.lit(0.0))).alias("predicted"),
+        F.count(F.lit(1)).alias("n_rows"))
+    patients = models.select("model_name", "stay_key").distinct().join(stays, "stay_key")
+    last = F.expr("date_add(admit_date, beddeddays - 1)")
+    days = F.explode(F.expr("IF(beddeddays > 0, sequence(admit_date, last), array())"))
+    realised = (patients.withColumn("last", last).select("model_name", days.alias("stay_start_date"))
+                .groupBy("model_name", "stay_start_date").agg(F.count(F.lit(1)).alias("realised")))
+    joined = predicted.join(realised, ["model_name", "stay_start_date"], "left")
+    actual = F.coalesce("realised", F.lit(0))
+    return joined.select(
+        "model_name", "stay_start_date", "n_rows",
+        (F.round("predicted", 6) + 0.0).alias("predicted_bed_days"), actual.alias("realised_bed_days"),
+        (F.round(F.col("predicted") - actual, 6) + 0.0).alias("error"))
+
+
 def los_percentile_by_season(encounters: DataFrame, q: float = 0.6) -> DataFrame:
     """Rounded exact percentile (linear interpolation, as percentile_cont)
     of LOS by service, month and weekday of urgent past stays.  Spark's exact

@@ -6,6 +6,7 @@ grows with the data.  Names follow the build order of the blueprint.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from bedflow.sources.sinks import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 EDC_PARAMS = P.with_(model_source="EDC")
+# the stays as known when the horizon has passed
+CENSUS_PARAMS = P.with_(as_of=dt.date(2000, 5, 15))
 
 
 def _enc(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,9 +267,23 @@ def q_seasonal_fit(spark, sf):
                              fuec.history_days(cal, hol, P), fuec.KEYS)
 
 
+def q_column_quantiles(spark, sf):
+    from bedflow.operators.monitor import column_quantiles
+    return column_quantiles(_enc(spark, sf), ["beddeddays"], by=["patient_type", "service_code"], exact=True)
+
+
 def q_column_distribution(spark, sf):
     from bedflow.operators.monitor import column_distribution
-    return column_distribution(_enc(spark, sf), ["beddeddays"], by=["patient_type", "service_code"])
+    return column_distribution(_enc(spark, sf), ["service_code", "care_class", "admit_type"], ["beddeddays"])
+
+
+def q_census_accuracy(spark, sf):
+    """Both models against the stays as they are known a horizon later."""
+    from bedflow.operators.monitor import census_accuracy
+    cpc_rows, edc_rows = _cpc_and_edc(spark, sf)
+    known = encounters(spark, sf, CENSUS_PARAMS).select(
+        F.col("contact_serial_number").alias("stay_key"), "admit_date", "beddeddays")
+    return census_accuracy(cpc_rows.unionByName(edc_rows), known)
 
 
 def q_table_model_sample(spark, sf):
@@ -291,6 +308,27 @@ def q_classification_report(spark, sf):
     return classify.classification_report(q_los_classifier(spark, sf))
 
 
+def _classifier_rows(spark, sf):
+    from bedflow.operators import classify
+    return classify.classifier_input(_enc(spark, sf))
+
+
+def q_los_split_counts(spark, sf):
+    from bedflow.operators import classify
+    return classify.split_counts(_classifier_rows(spark, sf))
+
+
+def q_los_scaler_stats(spark, sf):
+    from bedflow.operators import classify
+    return classify.scaler_stats(_classifier_rows(spark, sf))
+
+
+def q_baseline_report(spark, sf):
+    """The report over a prediction that SQL can make, too."""
+    from bedflow.operators import classify
+    return classify.classification_report(classify.baseline_predictions(_classifier_rows(spark, sf)))
+
+
 def q_table_model(spark, sf):
     from bedflow.plans.table_model import table_model
     return table_model(q_cpc_model(spark, sf))

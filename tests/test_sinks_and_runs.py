@@ -107,3 +107,30 @@ def test_classifier_fit_report_and_persist(spark, enc, tmp_path):
     classify.save(model, str(tmp_path / "m"))
     again = classify.predictions(classify.load(str(tmp_path / "m")), test)
     assert again.select("prediction").collect() == pred.select("prediction").collect()
+
+
+def test_classifier_takes_any_stay_length(spark, make_encounters):
+    from tests.conftest import enc_row
+    rows = [enc_row(i, "1999-03-04", "Past", 120 if i % 2 else 3, service="LONG" if i % 2 else "SHRT")
+            for i in range(60)]
+    model, test = classify.fit(make_encounters(rows), n_trees=3)
+    got = classify.predictions(model, test).collect()
+    assert got and all(r.label == r.prediction for r in got) and 120.0 in {r.prediction for r in got}
+
+
+def test_split_ignores_partitions(enc):
+    a, _ = classify.split(classify.classifier_input(enc))
+    b, _ = classify.split(classify.classifier_input(enc.repartition(7)))
+    assert sorted(a.select("contact_serial_number").collect()) == sorted(b.select("contact_serial_number").collect())
+
+
+def test_column_estimates(spark):
+    from bedflow.operators.monitor import column_distribution, column_estimates
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, None), (4, "a")], "x int, s string")
+    got = {r.column_name: (r.null_rate, r.approx_distinct) for r in column_estimates(df).collect()}
+    assert got == {"x": (0.25, 3), "s": (0.5, 1)}
+    rows = {(r.column_name, r.bucket): (r.n, r.share) for r in column_distribution(df, ["s"], ["x"], 3).collect()}
+    assert rows == {("s", "a"): (2, 0.5), ("s", "NULL"): (2, 0.5), ("x", "1"): (1, 0.25), ("x", "2"): (1, 0.25),
+                    ("x", "3"): (1, 0.25), ("x", "NULL"): (1, 0.25)}
+    empty = column_distribution(df.limit(0), ["s"], ["x"])
+    assert empty.count() == 0
