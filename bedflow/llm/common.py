@@ -3,43 +3,30 @@ a range sort, and distributed connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Id lists up to this many rows (8 bytes each) may be broadcast; beyond it the join shuffles.
-BROADCAST_IDS = 200_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees (``spark.checkpoint.dir``); only a local
-    session without one gets a scratch folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
-        folder = tempfile.mkdtemp(prefix="bedflow-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from bedflow.sources.sinks import stage
 
+__all__ = ["class_ranks", "components", "joined_components", "map_arrow", "stage", "without_ids"]
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so that later
-    jobs and lost executors start from the table instead of recomputing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Id lists up to this many rows (8 bytes each) may be broadcast; beyond it the join shuffles.
+BROADCAST_IDS = 200_000
+#: Rows of a record batch that are turned into Python objects together.
+SLICE = 1000
 
 
 def map_arrow(df: DataFrame, per_batch: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from one record batch to one."""
+    """``mapInArrow`` with a function from one record batch to one.  Batches
+    are handed over in slices, so that Python holds few rows at a time."""
+    size = SLICE
+
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            yield per_batch(batch)
+            for at in range(0, max(1, batch.num_rows), size):
+                yield per_batch(batch.slice(at, size))
     return df.mapInArrow(run, schema)
 
 
@@ -87,25 +74,28 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of undirected ``edges`` (src, dst): rows
     (node, component) for every node of an edge; component = smallest node.
 
-    Alternating large-star and small-star rounds.  Neighbour minima are
-    aggregates that combine map-side, so a hub costs no more than its edges;
-    each round is staged, and rounds stop when the edge table repeats.
+    Alternating large-star and small-star rounds until the edges are a star
+    around each component's smallest node.  Neighbour minima are aggregates
+    that combine map-side, so a hub costs no more than its edges; each round is
+    staged.
     """
     def oriented(a, b):
         return F.greatest(a, b).alias("src"), F.least(a, b).alias("dst")
 
+    def stars(t):
+        """Whether every node has one edge down, or is where they end."""
+        ends = t.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.lit(1).alias("down")),
+                                          F.struct(F.col("dst").alias("node"), F.lit(0).alias("down")))).alias("x"))
+        nodes = ends.groupBy("x.node").agg(F.sum("x.down").alias("n"), F.min("x.down").alias("least"))
+        return not nodes.where("n > 1 or (n = 1 and least = 0)").limit(1).count()
+
     e = stage(edges.where(F.col("src") != F.col("dst")).select(*oriented(F.col("src"), F.col("dst"))).distinct(),
               f"{label}-edges")
-
-    def mark(t):
-        return t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-
-    seen = mark(e)
-    while seen[0]:
+    while not stars(e):
         both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
         large = (both.where(F.col("dst") > F.col("src")).join(low, "src")
-                 .select(F.col("dst").alias("src"), F.col("m").alias("dst")).distinct())
+                 .select(F.col("dst").alias("src"), F.col("m").alias("dst")))
         down = large.groupBy("src").agg(F.min("dst").alias("m"))
         small = (large.join(down, "src")
                  .select(F.explode(F.array(
@@ -113,9 +103,23 @@ def components(edges: DataFrame, label: str) -> DataFrame:
                      F.struct(F.col("dst").alias("src"), F.col("m").alias("dst")))).alias("e"))
                  .select("e.src", "e.dst").where(F.col("src") != F.col("dst")).distinct())
         e = stage(small, f"{label}-round")
-        now = mark(e)
-        if now == seen:
-            break
-        seen = now
     roots = e.select(F.col("dst").alias("node")).distinct().withColumn("component", F.col("node"))
     return e.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(roots)
+
+
+def joined_components(comps: DataFrame, more: DataFrame, label: str) -> DataFrame:
+    """Components ``comps`` (node, component) after adding the links ``more``
+    (src, dst): only the components that the links touch are joined anew."""
+    def root(df, name):
+        c = comps.select(F.col("node").alias(name), F.col("component").alias("_c"))
+        return df.join(c, name, "left").withColumn(name, F.coalesce("_c", name)).drop("_c")
+
+    touched = stage(root(root(more, "src"), "dst").distinct(), f"{label}-touched")
+    merged = stage(components(touched, label), f"{label}-merged")
+    if not merged.limit(1).count():
+        return comps
+    merged = merged.select(F.col("node").alias("_n"), F.col("component").alias("_m"))
+    moved = comps.join(merged, comps.component == F.col("_n"), "left").select(
+        "node", F.coalesce("_m", "component").alias("component"))
+    fresh = merged.select(F.col("_n").alias("node"), F.col("_m").alias("component")).join(comps, "node", "left_anti")
+    return stage(moved.unionByName(fresh), f"{label}-components")

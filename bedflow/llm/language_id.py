@@ -61,7 +61,7 @@ def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return ((mixed ^ (mixed >> np.uint32(15))) & np.uint32(CLASSES - 1))[use], owner[:-2][use]
 
 
-def _chunks(texts: list[str], size: int = 1 << 20):
+def _chunks(texts: list[str], size: int = 1 << 18):
     """Slices of about ``size`` characters; one long text is cut into overlapping parts."""
     part, owners, n = [], [], 0
     for i, t in enumerate(texts):

@@ -42,22 +42,29 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         import base64
+        import json
         import os
 
-        import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.path, self._slow, self.fast = path, None, None
+        with open(path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         ranks = os.path.splitext(path)[0] + ".tiktoken"
-        self.fast = None
         if os.path.exists(ranks):
+            import public_tokenizers
+            import tiktoken
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
                                           special_tokens={}).encode_ordinary
 
+    @property
+    def slow(self):
+        """The library's own tokenizer, loaded when first needed."""
+        if self._slow is None:
+            from tokenizers import Tokenizer
+            self._slow = Tokenizer.from_file(self.path)
+        return self._slow
+
     @classmethod
     def of(cls, path: str) -> "Encoder":
         if path not in cls._made:
