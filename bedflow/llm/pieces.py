@@ -35,6 +35,8 @@ from bedflow.llm.common import map_arrow
 MARK = "▁"
 #: Units remembered per task: as many recent ones, and as many from before them.
 MAX_KNOWN = 400_000
+#: Beginnings of units are remembered up to this length.
+SHARED = 5
 #: Longer units are searched anew each time.
 MAX_UNIT = 64
 #: Pairs of pieces remembered per task.
@@ -74,8 +76,8 @@ class Codec:
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i)
                                              or model.is_unused(i))]
         self.piece = {self.text_of[i]: (i, model.get_score(i)) for i in plain}
-        #: Every beginning of a piece: where a longer piece can still follow.
-        self.heads = {p[:k] for p in self.piece for k in range(1, len(p) + 1)}
+        #: Every end of a piece: what a longer piece can still begin before.
+        self.tails = {p[-k:] for p in self.piece for k in range(1, len(p) + 1)}
         self.max_piece = max(map(len, self.piece), default=1)
         self.unknown = min((s for _, s in self.piece.values()), default=0.0) - UNKNOWN_PENALTY
         #: One unit; None if pieces span words.  Marks go with the signs after them; letters
@@ -93,6 +95,7 @@ class Codec:
         self.older: dict[str, list[int]] = {}
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
+        self.begun: dict[str, str] = {}
         self.most_kept = 0  # positions held at once by the last search
 
     @classmethod
@@ -162,27 +165,30 @@ class Codec:
 
     def short(self, text: str) -> list[int]:
         """``search`` of one unit by merges, in one go: its paths need no
-        window.  Each position is reached by one piece only, so pieces are
-        pushed forward and a position that was reached is not tried again."""
-        piece, heads, pairs = self.piece, self.heads, self.pairs
+        window.  The piece that ends at a position depends on the signs before
+        it only, so units that begin alike share what was found."""
+        piece, tails, pairs, known = self.piece, self.tails, self.pairs, self.begun
         size = len(text)
-        last: list = [None] * (size + 1)  # the piece that ends at a position
-        last[0] = ""
-        for s in range(size):
-            left = last[s]
-            if left is None:
-                left = last[s] = text[s - 1]  # no piece got here: one sign
-            row = pairs.setdefault(left, {})
-            for e in range(s + 1, size + 1):
-                right = text[s:e]
-                if right not in heads:
-                    break
-                if last[e] is None and right in piece:
-                    apart = row.get(right)
-                    if self._apart(left, right, row) if apart is None else apart:
-                        last[e] = right
-        if last[size] is None:
-            last[size] = text[-1]
+        last = [""]  # the piece that ends at each position
+        for e in range(1, size + 1):
+            if e <= SHARED and (found := known.get(text[:e])) is not None:
+                last.append(found)
+                continue
+            found = text[e - 1]
+            s = e - 2
+            while s >= 0 and (right := text[s:e]) in tails:
+                if right in piece:
+                    row = pairs.get(last[s])
+                    apart = None if row is None else row.get(right)
+                    if self._apart(last[s], right) if apart is None else apart:
+                        found = right
+                        break
+                s -= 1
+            last.append(found)
+            if e <= SHARED:
+                if len(known) >= MAX_KNOWN:
+                    known.clear()
+                known[text[:e]] = found
         parts, end = [], size
         while end:
             parts.append(last[end])
