@@ -62,6 +62,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id, op9_exact_dedup, op10_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
+    # the end mark costs one sign to escape, wherever a text holds it before a newline
+    "op6_chat_format": r"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                   union all values (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                                    (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+        r as (select *, 14 + length(role) + length(text) + case when contains(text, '</turn>' || chr(10)) then
+                1 + (length(text) - length(replace(text, '</turn>', ''))) // 7
+                + (length(text) - length(replace(text, '</\', ''))) // 3 else 0 end as chars from t)
+        select conv_id, count(*) as n_turns,
+          sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+          cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+          sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), ''))
+            as loss_sha256,
+          cast(sum(chars) as bigint) as formatted_chars
+        from r group by conv_id""",
     "op9_exact_dedup": """
         with t as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                             'abcdefghijklmnopqrstuvwxyz') as norm from documents),

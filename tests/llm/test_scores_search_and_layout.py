@@ -316,3 +316,23 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     table.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF001}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+# --- SQL ----------------------------------------------------------------------
+
+@pytest.mark.parametrize("sf", [SF001, SF01])
+def test_queries_equal_their_sql(spark, sf):
+    import duckdb
+
+    from bedflow.llm.queries import ORACLE_SQL, QUERIES
+    con = duckdb.connect()
+    for name in ("documents", "conversations"):
+        con.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
+    for name, sql in ORACLE_SQL.items():
+        got = QUERIES[name](spark, sf)
+        want = con.execute(sql)
+        columns = sorted(d[0] for d in want.description)
+        order = [[d[0] for d in want.description].index(c) for c in columns]
+        assert sorted(got.columns) == columns
+        assert sorted(map(tuple, got.select(*columns).collect())) == sorted(
+            tuple(r[i] for i in order) for r in want.fetchall()), name
