@@ -7,6 +7,7 @@ grows with the data.  Names follow the build order of the blueprint.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from bedflow.operators.features import los_feature
 from bedflow.operators.survival import (conditional_rates, curve_arrays, los_histogram,
                                         past_stays, stay_histogram, survival_curve)
 from bedflow.plans import cpc, edc, fuec
+from bedflow.schemas import COMMON_COLUMNS, COMMON_FORMAT, COMMON_FORMAT_DDL
 from bedflow.sources.calendar import date_dim, holiday_dim
 from bedflow.sources.fixtures import FIXTURE_PARAMS as P
 from bedflow.sources.fixtures import LATER_DAYS, LATER_PARAMS, cake_snapshot, encounters
@@ -110,6 +112,39 @@ def q_common_format_text(spark, sf):
     return common_format_text(q_cpc_model(spark, sf))
 
 
+def _working_types(rows):
+    """The common format's decimals as the types the models compute in."""
+    kinds = {"model_sequence": "long", "stay_key_seq": "int", "num_of_patient": "double", "stay_rate": "double"}
+    return rows.select(*[F.col(c).cast(kinds[c]) if c in kinds else F.col(c) for c in COMMON_COLUMNS])
+
+
+def q_replace_run_readback(spark, sf):
+    """The daily run's sink, written twice and read back: one day's rows."""
+    from bedflow.session import shared_dir
+    from bedflow.sources.sinks import replace_run, replace_table
+    path = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    rows = q_cpc_model(spark, sf)
+    replace_table(rows, f"{path}/model")
+    written = spark.read.parquet(f"{path}/model")
+    for _ in range(2):
+        replace_run(written, f"{path}/daily", COMMON_FORMAT, {"model": "CP(C)", "as_of": P.as_of.isoformat()})
+    return _working_types(spark.read.parquet(f"{path}/daily"))
+
+
+def q_append_readback(spark, sf):
+    """A table created if absent (twice), appended to by column name, read back."""
+    from bedflow.session import shared_dir
+    from bedflow.sources.sinks import append, create_if_absent
+    name = f"bedflow_append_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    for _ in range(2):
+        create_if_absent(spark, name, COMMON_FORMAT_DDL, location=path)
+    rows = q_cpc_model(spark, sf)
+    append(rows.select(*reversed(rows.columns)), name, COMMON_FORMAT)
+    spark.sql(f"DROP TABLE {name}")  # external: the rows stay at the path
+    return _working_types(spark.read.parquet(path))
+
+
 def q_ed_reclassification_rate(spark, sf):
     return edc.ed_reclassification_rate(cake_snapshot(spark, sf), P)
 

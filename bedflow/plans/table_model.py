@@ -6,7 +6,7 @@ batches, no per-row Python).  The body is the stringified common format
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,13 +33,14 @@ def predict(batch: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def _batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in it:
-        yield predict(batch)
-
-
-def table_model(model_output: DataFrame) -> DataFrame:
-    return model_output.select(*COMMON_COLUMNS).mapInPandas(_batches, OUTPUT_SCHEMA)
+def table_model(model_output: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame] = predict,
+                schema: str = OUTPUT_SCHEMA) -> DataFrame:
+    """Apply ``model``, any function of a pandas frame, batch by batch.  The
+    default body could as well be built-ins (``sinks.common_format_text``)."""
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in it:
+            yield model(batch)
+    return model_output.select(*COMMON_COLUMNS).mapInPandas(batches, schema)
 
 
 SAMPLE_ORDER = ["stay_key", "stay_key_seq", "stay_start_date"]

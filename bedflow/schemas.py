@@ -8,17 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The columns, types and text lengths that consumers of the two
+# formats rely on.
+def _text(name: str, length: int) -> T.StructField:
+    return T.StructField(name, T.StringType(), metadata={"length": length})
+
+
 COMMON_FORMAT = T.StructType([
-    T.StructField("model_source", T.StringType()),          # VARCHAR(10)
+    _text("model_source", 10),
     T.StructField("model_sequence", T.DecimalType(38, 0)),
     T.StructField("model_timestamp", T.TimestampNTZType()),
-    T.StructField("model_source_data", T.StringType()),     # VARCHAR(50)
-    T.StructField("model_name", T.StringType()),            # VARCHAR(50)
-    T.StructField("model_output", T.StringType()),          # VARCHAR(25)
-    T.StructField("patient_type", T.StringType()),          # VARCHAR(25)
-    T.StructField("patient_timeframe", T.StringType()),     # VARCHAR(12)
-    T.StructField("patient_strata", T.StringType()),        # VARCHAR(50)
-    T.StructField("stay_key", T.StringType()),              # VARCHAR(50)
+    _text("model_source_data", 50),
+    _text("model_name", 50),
+    _text("model_output", 25),
+    _text("patient_type", 25),
+    _text("patient_timeframe", 12),
+    _text("patient_strata", 50),
+    _text("stay_key", 50),
     T.StructField("stay_key_seq", T.DecimalType(10, 0)),
     T.StructField("num_of_patient", T.DecimalType(25, 20)),
     T.StructField("stay_rate", T.DecimalType(25, 20)),
@@ -26,44 +32,33 @@ COMMON_FORMAT = T.StructType([
     T.StructField("stay_end_date", T.DateType()),
 ])
 
-COMMON_FORMAT_DDL = """
-    model_source VARCHAR(10), model_sequence DECIMAL(38,0),
-    model_timestamp TIMESTAMP_NTZ, model_source_data VARCHAR(50),
-    model_name VARCHAR(50), model_output VARCHAR(25),
-    patient_type VARCHAR(25), patient_timeframe VARCHAR(12),
-    patient_strata VARCHAR(50), stay_key VARCHAR(50),
-    stay_key_seq DECIMAL(10,0), num_of_patient DECIMAL(25,20),
-    stay_rate DECIMAL(25,20), stay_start_date DATE, stay_end_date DATE
-"""
-
 FUEC_FORMAT = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("dayofweek", T.DecimalType(1, 0)),
-    T.StructField("day_of_week", T.StringType()),           # VARCHAR(10)
+    _text("day_of_week", 10),
     T.StructField("month", T.DecimalType(2, 0)),
-    T.StructField("service_name", T.StringType()),          # VARCHAR(40)
-    T.StructField("service_code", T.StringType()),          # VARCHAR(4)
+    _text("service_name", 40),
+    _text("service_code", 4),
     T.StructField("patients", T.DecimalType(25, 20)),
     T.StructField("beddeddays", T.DecimalType(5, 0)),
     T.StructField("stay_rate", T.DecimalType(22, 20)),
-    T.StructField("admit_type", T.StringType()),            # VARCHAR(30)
-    T.StructField("location", T.StringType()),              # VARCHAR(20)
-    T.StructField("site_desc", T.StringType()),             # VARCHAR(30)
-    T.StructField("stay_key", T.StringType()),              # VARCHAR(50)
+    _text("admit_type", 30),
+    _text("location", 20),
+    _text("site_desc", 30),
+    _text("stay_key", 50),
     T.StructField("stay_key_seq", T.DecimalType(10, 0)),
     T.StructField("expected_los", T.DecimalType(24, 20)),
     T.StructField("update_dttm", T.TimestampNTZType()),
 ])
 
-FUEC_FORMAT_DDL = """
-    day DATE, dayofweek DECIMAL(1,0), day_of_week VARCHAR(10),
-    month DECIMAL(2,0), service_name VARCHAR(40), service_code VARCHAR(4),
-    patients DECIMAL(25,20), beddeddays DECIMAL(5,0),
-    stay_rate DECIMAL(22,20), admit_type VARCHAR(30), location VARCHAR(20),
-    site_desc VARCHAR(30), stay_key VARCHAR(50), stay_key_seq DECIMAL(10,0),
-    expected_los DECIMAL(24,20), update_dttm TIMESTAMP_NTZ
-"""
+def ddl(schema: T.StructType) -> str:
+    """Column list of a CREATE TABLE with the contract's types and lengths."""
+    return ", ".join(f"{f.name} " + (f"VARCHAR({f.metadata['length']})" if "length" in f.metadata
+                                     else f.dataType.simpleString().upper()) for f in schema.fields)
+
 
+COMMON_FORMAT_DDL = ddl(COMMON_FORMAT)
+FUEC_FORMAT_DDL = ddl(FUEC_FORMAT)
 COMMON_COLUMNS = [f.name for f in COMMON_FORMAT.fields]
 FUEC_COLUMNS = [f.name for f in FUEC_FORMAT.fields]
 

@@ -26,11 +26,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def create_if_absent(spark: SparkSession, table: str, ddl: str,
-                     partitioned_by: list[str] | None = None) -> None:
-    part = ""
-    if partitioned_by:
-        part = f" PARTITIONED BY ({', '.join(partitioned_by)})"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet{part}")
+                     partitioned_by: list[str] | None = None, location: str | None = None) -> None:
+    part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet{part}{place}")
 
 
 def append(df: DataFrame, table: str, schema: T.StructType) -> None:
