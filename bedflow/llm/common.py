@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bedflow.sources.sinks import stage
@@ -55,16 +55,12 @@ def class_ranks(df: DataFrame, classes: list[str], order: list[str], label: str)
         df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", 33).cast("int")), label)
-    counts = stage(placed.groupBy("_part", *classes)
-                   .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")), f"{label}-counts")
-    earlier = counts.select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_k_{c}") for c in classes],
-                            F.col("_n").alias("_before"))
+    counts = placed.groupBy("_part", *classes).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    before = Window.partitionBy(*classes).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # a class has one row a partition here, however many rows it has
+    offsets = counts.select(*[F.col(c).alias(f"_k_{c}") for c in classes], F.col("_part").alias("_p"), "_first",
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in classes]
-    # a class spans few neighbouring partitions, or is hot and spans many: at most partitions^2 small rows
-    offsets = (counts.join(earlier, [*same, F.col("_p") < F.col("_part")], "left")
-               .groupBy("_part", *classes, "_first").agg(F.sum("_before").alias("_before")))
-    offsets = offsets.select(*[F.col(c).alias(f"_k_{c}") for c in classes], F.col("_part").alias("_p"),
-                             "_first", F.coalesce("_before", F.lit(0)).alias("_before"))
     out = placed.join(offsets, [*same, F.col("_p") == F.col("_part")])
     return out.withColumn("class_rank", F.col("_before") + F.col("_place") - F.col("_first")).select(
         *df.columns, "class_rank")
