@@ -85,7 +85,7 @@ def learn_lexicon(train: DataFrame, max_entries: int = MAX_LEXICON) -> dict[str,
                 all_.update(found)
                 if label:
                     tox.update(found)
-            if len(all_) > 500_000:
+            if len(all_) > 100_000:
                 yield flush(tox, all_)
                 tox, all_ = Counter(), Counter()
         yield flush(tox, all_)
