@@ -132,27 +132,35 @@ def _groups(rows: DataFrame) -> DataFrame:
         "digest", "size", F.col("top.doc_id").alias("keep_id"), F.col("top.n").alias("n_keep"))
 
 
-def screen(incoming: DataFrame, snapshot: DataFrame, buckets: int) -> DataFrame:
-    """``incoming`` (distinct digests) plus ``maybe``: whether the filter of
-    the digest's bucket, built from ``snapshot`` (distinct digests), admits it."""
-    def bucketed(df):
-        return df.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
+
+
+def snapshot_filters(snapshot: DataFrame) -> tuple[DataFrame, int]:
+    """One filter a bucket of ``snapshot`` (distinct digests), staged, and the
+    number of buckets.  A snapshot never changes, so its filters screen any
+    number of batches."""
+    buckets = max(1, math.ceil(snapshot.count() / BUCKET_DIGESTS))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         seed, segment, segments, cells = build_filter(_keys(pdf["digest"]))
         return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "seed": [seed], "segment": [segment],
                              "segments": [segments], "cells": [cells]})
 
-    filters = stage(bucketed(snapshot.select("digest")).groupBy("bucket").applyInPandas(
-        build, "bucket int, seed long, segment long, segments long, cells binary"), "fuse-filters")
+    return stage(_bucketed(snapshot.select("digest"), buckets).groupBy("bucket").applyInPandas(
+        build, "bucket int, seed long, segment long, segments long, cells binary"), "fuse-filters"), buckets
 
+
+def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
+    """``incoming`` (distinct digests) plus ``maybe``: whether the filter of
+    the digest's bucket admits it."""
     def test(new: pd.DataFrame, fuse: pd.DataFrame) -> pd.DataFrame:
         new["maybe"] = may_hold(tuple(fuse[["seed", "segment", "segments", "cells"]].iloc[0]),
                                 _keys(new["digest"])) if len(fuse) else False
         return new.drop(columns="bucket")
 
     schema = ", ".join(f"{c} {t}" for c, t in incoming.dtypes) + ", maybe boolean"
-    return bucketed(incoming).groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(test, schema)
+    return _bucketed(incoming, buckets).groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(test, schema)
 
 
 def dedup_groups(docs: DataFrame, in_snapshot, rows: DataFrame) -> DataFrame:
@@ -161,8 +169,7 @@ def dedup_groups(docs: DataFrame, in_snapshot, rows: DataFrame) -> DataFrame:
     ``in_snapshot`` is a condition on doc_id."""
     snap = stage(_groups(rows.where(in_snapshot)), "dedup-snapshot")
     batch = _groups(rows.where(~in_snapshot))
-    buckets = max(1, math.ceil(snap.count() / BUCKET_DIGESTS))
-    screened = stage(screen(batch, snap, buckets), "dedup-screened")
+    screened = stage(screen(batch, *snapshot_filters(snap)), "dedup-screened")
     known = screened.where("maybe").select("digest", F.col("size").alias("s2"), F.col("keep_id").alias("k2"),
                                            F.col("n_keep").alias("n2"))
     largest = F.greatest("keep_id", "k2")
