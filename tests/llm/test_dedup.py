@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from bedflow.llm import exact_dedup, line_dedup, simhash
-from bedflow.llm.common import class_ranks, components, stage
+from bedflow.llm.common import class_ranks, components, joined_components, stage
 
 from tests.conftest import SF001
 
@@ -49,6 +49,17 @@ def test_components_without_edges(spark):
     assert components(spark.createDataFrame([], "src long, dst long"), "t").count() == 0
 
 
+def test_joined_components_equal_those_of_all_links(spark):
+    r = random.Random(9)
+    old = [(r.randrange(200), r.randrange(200)) for _ in range(90)]
+    new = [(r.randrange(260), r.randrange(260)) for _ in range(40)] + [(900, 901)]
+    frame = lambda e: spark.createDataFrame(e, "src long, dst long")
+    got = joined_components(stage(components(frame(old), "t"), "t"), frame(new), "t")
+    want = {r["node"]: r["component"] for r in components(frame(old + new), "t").collect()}
+    assert {r["node"]: r["component"] for r in got.collect()} == want
+    assert got.count() == len(want)
+
+
 def test_class_ranks_are_gapless_in_order(spark):
     r = random.Random(5)
     rows = [(r.choice([None, 1, 1, 1, 2, 9]), i) for i in range(2000)]
