@@ -91,6 +91,9 @@ def fit(encounters: DataFrame, n_trees: int = N_TREES, seed: int = SEED
         ) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training rows, staged once; return the model and the held-out rows."""
     train, test = split(stage(classifier_input(encounters), "classifier-rows"))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < cores:
+        train = train.repartition(cores)  # a small table in few files: each pass uses all cores
     return los_pipeline(n_trees, seed).fit(_with_los(train)), test
 
 
