@@ -61,14 +61,12 @@ def test_encounters_are_scanned_once_for_history_and_once_for_patients(spark):
     """One history scan and one scan of current patients a model; the ensemble
     shares a staged histogram (snapshots apart: one orders and one lineitem scan)."""
     from bedflow.plans.catalog import QUERIES
-    assert _initial(QUERIES["cpc_model"](spark, SF001)).count("o_custkey") > 0
-    scans = {q: _plan(QUERIES[q](spark, SF001)).count("FileScan parquet [o_orderkey")
-             for q in ("cpc_model", "ensemble_union", "edc_model")}
-    assert scans["cpc_model"] <= 2
+    scans = {q: _initial(QUERIES[q](spark, SF001)).count("Relation [o_orderkey")
+             for q in ("cpc_model", "edc_model", "ensemble_union")}
+    assert 1 <= scans["cpc_model"] <= 2
+    assert scans["edc_model"] <= 2 + 1
     assert scans["ensemble_union"] <= 3 + 1
 
 
 def test_snapshots_are_aggregated_once(models):
-    assert _initial(models["edc"]).count("l_linenumber#") > 0
-    plan = models["edc"]._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("l_returnflag") and sum("Relation [l_orderkey" in x for x in plan.splitlines()) == 1
+    assert _initial(models["edc"]).count("Relation [l_orderkey") == 1

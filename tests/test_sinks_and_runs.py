@@ -1,8 +1,6 @@
 """Sinks, feature publication, the daily run, the landing stream, model
 persistence."""
-import datetime as dt
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
