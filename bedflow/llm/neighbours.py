@@ -29,11 +29,11 @@ from bedflow.llm.common import stage
 
 K = 20
 QUERY_EVERY = 20
-PROJECTIONS = 80
+PROJECTIONS = 64
 #: Share of the arrays whose windows must hold a candidate.
-THRESHOLD = 0.7
+THRESHOLD = 0.8
 #: Vectors of a block, about.
-BLOCK = 4096
+BLOCK = 16_384
 #: A query verifies at least k plus this share of a block, and at least LEAST vectors of it.
 SHARE = 0.15
 LEAST = 600
@@ -86,11 +86,13 @@ class Block:
             lo = np.minimum(np.searchsorted(self.sorted, at - half), low)
             hi = np.maximum(np.searchsorted(self.sorted, at + half, "right"), high)
             # only what the widened windows gain; a vector is in an array once
-            if low is high:
-                gained = [self.order[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
-            else:
-                gained = [self.order[a:b] for a, b in zip(lo.tolist() + high.tolist(), low.tolist() + hi.tolist())]
-            hits += np.bincount(np.concatenate(gained), minlength=n)
+            if low is not high:
+                hits += self._count(lo.tolist() + high.tolist(), low.tolist() + hi.tolist())
+            elif 2 * int((hi - lo).sum()) <= m * n:
+                hits += self._count(lo.tolist(), hi.tolist())
+            else:  # first windows of more than half the arrays: count what lies outside
+                edges = np.arange(m + 1) * n
+                hits += m - self._count(edges[:-1].tolist() + hi.tolist(), lo.tolist() + edges[1:].tolist())
             low, high = lo, hi
             found = np.flatnonzero(hits >= need)
             if len(found) >= wanted or half >= 2 * self.reach:
@@ -98,12 +100,17 @@ class Block:
                 return found
             half *= GROWTH
 
+    def _count(self, starts: list[int], ends: list[int]) -> np.ndarray:
+        """How often each vector occurs in the slices of the arrays."""
+        parts = [self.order[a:b] for a, b in zip(starts, ends)]
+        return np.bincount(np.concatenate(parts), minlength=len(self.vectors))
+
     def nearest(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the best ``k`` candidates but ``own``."""
         wanted = max(LEAST, k + 1 + math.ceil(SHARE * len(self.vectors)))
         c = self.candidates(query, wanted)
         c = c[ids[c] != own]
-        score = (self.vectors[c] * query).sum(axis=1)  # one order of addition for every row: copies tie exactly
+        score = np.einsum("ij,j->i", self.vectors[c], query)  # one order of addition for every row: copies tie exactly
         best = np.lexsort((ids[c], -score))[:k]
         return ids[c][best], score[best]
 
