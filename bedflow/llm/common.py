@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from bedflow.sources.sinks import stage
 
-__all__ = ["class_ranks", "components", "joined_components", "map_arrow", "stage", "without_ids"]
+__all__ = ["class_ranks", "components", "joined_components", "map_arrow", "place_ranks", "sorted_places", "stage",
+           "without_ids"]
 
 #: Id lists up to this many rows (8 bytes each) may be broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 200_000
@@ -48,13 +49,21 @@ def class_ranks(df: DataFrame, classes: list[str], order: list[str], label: str)
     Only a (partition, class) table of counts is summed up, never the rows.
     Reads ``df`` twice (the range sort samples it), so pass a staged table.
     """
-    spark = df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = [F.col(c) for c in (*classes, *order)]
-    placed = stage(
-        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_place", 33).cast("int")), label)
+    placed = stage(sorted_places(df, [*classes, *order]), label)
+    return place_ranks(placed, classes).select(*df.columns, "class_rank")
+
+
+def sorted_places(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` range-sorted by ``order``, with each row's ``_place``."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = [F.col(c) for c in order]
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn(
+        "_place", F.monotonically_increasing_id())
+
+
+def place_ranks(placed: DataFrame, classes: list[str]) -> DataFrame:
+    """Adds ``class_rank`` to written rows that hold their ``_place``."""
+    placed = placed.withColumn("_part", F.shiftright("_place", 33).cast("int"))
     counts = placed.groupBy("_part", *classes).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     before = Window.partitionBy(*classes).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # a class has one row a partition here, however many rows it has
@@ -62,8 +71,7 @@ def class_ranks(df: DataFrame, classes: list[str], order: list[str], label: str)
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in classes]
     out = placed.join(offsets, [*same, F.col("_p") == F.col("_part")])
-    return out.withColumn("class_rank", F.col("_before") + F.col("_place") - F.col("_first")).select(
-        *df.columns, "class_rank")
+    return out.withColumn("class_rank", F.col("_before") + F.col("_place") - F.col("_first"))
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:

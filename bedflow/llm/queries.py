@@ -41,7 +41,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.reshard(table(spark, sf_dir, "documents"))
+    return sharding.reshard_files(table(spark, sf_dir, "documents"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

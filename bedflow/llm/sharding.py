@@ -8,23 +8,31 @@ The flow network has an old shard's blocks on one side and the new shards on
 the other; staying is free, moving costs a block's bytes a row, and the spare
 rows of an uneven division are capacities any shard may take.  The network's
 size depends on the numbers of shards and blocks only; the solution is a list
-of rank intervals, which Spark applies to the rows.
+of rank intervals, which Spark applies to the rows.  The files of every shard
+that gains or loses rows are then written anew; a row key tells rows apart.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bedflow.llm.common import class_ranks, stage
+from bedflow.llm.common import class_ranks, place_ranks, sorted_places, stage
+from bedflow.session import shared_dir
 
 SHARDS = 24
 OLD_SHARDS = 16
 #: Blocks an old shard is summed up into.
 BLOCKS = 64
+#: Key of a row of a laid out table; doc_ids may be null or repeated.
+ROW = "_row"
+#: What rows are ranked by inside an old shard.
+ORDER = ["size", "doc_id", "text_crc32"]
 
 
 class Network:
@@ -133,13 +141,20 @@ def solve(blocks: dict[int, list[tuple[int, int]]], shards: int = SHARDS) -> lis
     return moves
 
 
+def _measures() -> list[Column]:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
+            F.crc32(text).alias("text_crc32")]
+
+
+def _key(docs: DataFrame) -> list[str]:
+    return [ROW] if ROW in docs.columns else []
+
+
 def sized(docs: DataFrame, old_shard: Column) -> DataFrame:
     """doc_id, size (UTF-8 bytes of the text plus 8; null text: 8), text_crc32
-    and the old shard of every row."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-                       old_shard.cast("int").alias("old_shard"))
+    and the old shard of every row, and its key if it has one."""
+    return docs.select(*_measures(), old_shard.cast("int").alias("old_shard"), *_key(docs))
 
 
 def by_source() -> Column:
@@ -155,10 +170,11 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, shards: int = SHAR
     Shards differ by at most one row, slots are gapless from 0 in each.  Rows
     of equal size are ranked by doc_id and checksum, a null doc_id first;
     repeated rows are rows like any other.  ``grown_shard`` is null: it belongs
-    to the law "key".  Other columns are ignored; no rows: no rows.
+    to the law "key".  The key of laid out rows is kept.  Other columns are
+    ignored; no rows: no rows.
     """
     rows = stage(sized(docs, by_source() if old_shard is None else old_shard), "reshard-rows")
-    ranked = stage(class_ranks(rows, ["old_shard"], ["size", "doc_id", "text_crc32"], "reshard-ranks"), "reshard-ranked")
+    ranked = stage(class_ranks(rows, ["old_shard"], [*ORDER, *_key(docs)], "reshard-ranks"), "reshard-ranked")
     totals = ranked.groupBy("old_shard").agg(F.count(F.lit(1)).alias("rows"))  # one row an old shard
     cut = ranked.join(F.broadcast(totals.withColumnRenamed("old_shard", "_o")), F.col("old_shard") == F.col("_o"))
     summed = cut.groupBy("old_shard", F.expr(f"class_rank * {blocks} div rows").alias("block")).agg(
@@ -174,18 +190,96 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, shards: int = SHAR
                          & (F.col("class_rank") < F.col("first") + F.col("n")))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                          (F.col("from_slot") + F.col("class_rank") - F.col("first")).alias("slot"),
-                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+                         F.lit(None).cast("int").alias("grown_shard"), "old_shard", *_key(docs))
+
+
+def lay_out(docs: DataFrame, old_shard: Column, path: str) -> DataFrame:
+    """Write ``docs``, all columns, to ``path``/shard=N as they lie now, each
+    row with a key, and read them back."""
+    taken = {"shard", "old_shard", ROW, "_place"} & set(docs.columns)
+    if taken:
+        raise ValueError(f"columns of the layout: {sorted(taken)}")
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id()).withColumn("shard", old_shard.cast("int"))
+    rows.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
 
+def _moved(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Laid out ``docs`` in the order of their new shards and slots, with
+    ``_place``.  The rows that go from one shard to another are neighbours by
+    rank, so the first and last of them tell which rows go: one line a pair of
+    shards, and no join moves a text."""
+    key = [*ORDER, ROW]
+    ends = placed.groupBy(F.col("old_shard").alias("_old"), F.col("shard").alias("_new")).agg(
+        F.min("slot").alias("_from"), F.min(F.struct(*key)).alias("_low"), F.max(F.struct(*key)).alias("_high"))
+    own = F.struct(*[F.col(f"_{c}") for c in ORDER], F.col(ROW))
+    rows = docs.withColumns(dict(zip(("_doc_id", "_size", "_text_crc32"), _measures())))
+    rows = rows.join(F.broadcast(ends), (F.col("shard") == F.col("_old")) & (own >= F.col("_low"))
+                     & (own <= F.col("_high")))
+    rows = sorted_places(rows, ["_new", "_from", *[f"_{c}" for c in ORDER], ROW])
+    return rows.select(*[c for c in docs.columns if c != "shard"], "_place", F.col("_old").alias("old_shard"),
+                       F.col("_new").alias("shard"))
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write the shards that gain or lose rows to ``path``/shard=N.  A shard
-    whose rows all stay keeps its files and is not written.  ``docs`` are the
-    rows with unique doc_ids that ``placed`` was made from; only rows of
-    affected shards are shuffled."""
+
+def rewrite(docs: DataFrame, placed: DataFrame, path: str) -> list[int]:
+    """Write the shards that gain or lose rows to ``path``/shard=N and return
+    them; a shard left without rows is removed.  A shard whose rows all stay
+    keeps its files and is not written.
+
+    ``docs`` are the rows that ``placed`` was made from, laid out at ``path``
+    or elsewhere; ``slots`` tells the slots of what is written.  Rows that were
+    not laid out have no key and need doc_ids that are unique and not null.
+    Only rows of affected shards are shuffled.
+    """
     changed = placed.where("shard <> old_shard")
-    affected = changed.select("shard").union(changed.select("old_shard")).distinct()  # one row a shard
-    todo = placed.join(F.broadcast(affected), "shard").select(F.col("doc_id").alias("_id"), "shard", "slot")
-    todo = stage(todo, "reshard-todo")
-    (docs.join(todo, F.col("doc_id").cast("long") == F.col("_id")).drop("_id")
-     .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path))
+    # at most one row a shard
+    affected = sorted(r[0] for r in changed.select("shard").union(changed.select("old_shard")).distinct().collect())
+    todo = placed.where(F.col("shard").isin(affected))
+    if ROW in docs.columns:
+        rows = _moved(docs.where(F.col("shard").isin(affected)), todo)
+    else:
+        ids = docs.groupBy(F.col("doc_id").cast("long").alias("_id")).count()
+        if ids.where("_id is null or count > 1").limit(1).count():
+            raise ValueError("doc_ids are null or repeated: lay the rows out first")
+        todo = stage(todo.select(F.col("doc_id").alias("_id"), "shard", "slot"), "reshard-todo")
+        rows = docs.join(todo, F.col("doc_id").cast("long") == F.col("_id")).drop("_id")
+        rows = sorted_places(rows, ["shard", "slot"])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(
+        "shard").parquet(path)
+    filled = {r[0] for r in todo.select("shard").distinct().collect()}
+    spark = docs.sparkSession
+    for shard in affected:
+        if shard not in filled:
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return affected
+
+
+def slots(rows: DataFrame) -> DataFrame:
+    """Rows of rewritten shards with their ``slot``, the place in their shard's files."""
+    return place_ranks(rows, ["shard"]).withColumn("slot", F.col("class_rank")).drop(
+        "class_rank", "_part", "_place", "_k_shard", "_p", "_first", "_before")
+
+
+def reshard_files(docs: DataFrame, old_shard: Column | None = None, shards: int = SHARDS,
+                  blocks: int = BLOCKS) -> DataFrame:
+    """The whole job: lay ``docs`` out in the shared folder by ``old_shard``,
+    solve, and rewrite the affected files in place.  The columns of ``reshard``
+    for every row, taken from the files as they are then; the slots in shards
+    that keep their files come from the plan."""
+    spark: SparkSession = docs.sparkSession
+    path = f"{shared_dir(spark)}/reshard-files-{uuid.uuid4().hex}"
+    old = lay_out(docs, by_source() if old_shard is None else old_shard, path)
+    placed = stage(reshard(old, F.col("shard"), shards, blocks), "reshard-placed")
+    affected = rewrite(old, placed, path)
+    extra = [T.StructField("_place", T.LongType()), T.StructField("old_shard", T.IntegerType())]
+    back = spark.read.schema(T.StructType([*old.schema.fields, *extra])).parquet(path)
+    written = F.col("shard").isin(affected)
+    kept = placed.where(~written).select(F.col(ROW).alias("_id"), "slot")
+    kept = back.where(~written).join(kept, F.col(ROW) == F.col("_id")).withColumn("old_shard", F.col("shard"))
+
+    def told(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(*_measures(), F.lit("rows").alias("law"), "shard", *more,
+                           F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    return slots(told(back.where(written), "_place")).unionByName(told(kept, "slot")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "old_shard")

@@ -280,6 +280,31 @@ def test_reshard_edge_rows_and_rewrite(spark, tmp_path):
     assert 1 not in changed and {(r["doc_id"], r["shard"]) for r in back.select("doc_id", "shard").collect()} == want
 
 
+def test_reshard_writes_every_row_once(spark, tmp_path):
+    rows = [(None, "a"), (None, "a"), (None, None), (7, "bb"), (7, "bb"), (7, "ccc"), (8, ""), (9, "é")]
+    path = str(tmp_path / "files")
+    old = sharding.lay_out(docs(spark, rows), F.when(F.col("doc_id") == 7, 5).otherwise(0), path)
+    sharding.rewrite(old, sharding.reshard(old, F.col("shard"), shards=3), path)
+    back = sharding.slots(spark.read.parquet(path)).collect()  # old shard 5 has no rows any more, and no files
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in back))) == sorted(map(str, rows))
+    assert sorted((r["shard"], r["slot"]) for r in back) == [(s, i) for s, n in enumerate((3, 3, 2)) for i in range(n)]
+    with pytest.raises(ValueError):
+        plain = docs(spark, rows)
+        sharding.rewrite(plain, sharding.reshard(plain, F.lit(0), shards=3), str(tmp_path / "other"))
+
+
+def test_reshard_files_reads_back_what_it_wrote(spark):
+    rows = [(None, None), (None, None), (3, "x"), (3, "x"), (4, "é" * 9), (5, "y"), (6, "z"), (6, "zz")]
+    # shard 0 has two rows and keeps its files; 1 and 2 have none; 9 goes
+    old = F.when(F.col("doc_id").isin(4, 5), 0).otherwise(9)
+    got = sharding.reshard_files(docs(spark, rows), old, shards=4).collect()
+    assert sorted((r["shard"], r["slot"]) for r in got) == [(s, i) for s in range(4) for i in range(2)]
+    want = sorted(str((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()))) for i, t in rows)
+    assert sorted(str((r["doc_id"], r["size"], r["text_crc32"])) for r in got) == want
+    assert {r["doc_id"] for r in got if r["shard"] == 0} == {4, 5} and {r["old_shard"] for r in got} == {0, 9}
+    assert sharding.reshard_files(docs(spark, []), F.lit(0)).columns == got[0].__fields__
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline_stages_and_run(spark):
