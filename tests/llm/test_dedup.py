@@ -266,6 +266,17 @@ def test_bands_recall_at_the_threshold():
     assert total > 100 and found >= 0.97 * total
 
 
+def test_few_pairs_at_the_threshold_share_no_bucket():
+    r, w = random.Random(4), line_dedup.SHINGLE
+    lines = []
+    for _ in range(12_000):  # 160 of 180 shingles shared, both ways: similarity 0.8
+        a = "".join(map(chr, r.choices(range(0x4E00, 0x9000), k=180 + w - 1)))
+        lines += [a, a[:160 + w - 1] + "".join(map(chr, r.choices(range(0x4E00, 0x9000), k=20)))]
+    found = line_dedup.bands(lines)
+    missed = (found[::2] != found[1::2]).all(1).mean()
+    assert missed <= 0.0025  # 0.34 % with 10 bands
+
+
 def test_shared_buckets_equal_brute_force(spark):
     r = random.Random(6)
     rows = [(i, [r.randrange(400) for _ in range(3)]) for i in range(300)] + [(1000 + i, [7, 7, 8]) for i in range(40)]
