@@ -277,6 +277,24 @@ def test_few_pairs_at_the_threshold_share_no_bucket():
     assert missed <= 0.0025  # 0.34 % with 10 bands
 
 
+def test_one_changed_sign_in_a_short_line_links(spark):
+    r = random.Random(12)
+    lines = []
+    for n in range(30, 81):
+        for _ in range(3):
+            a = "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=n - 2)) + "#."
+            i = r.randrange(n // 3, n // 2)
+            lines += [a, a[:i] + "7" + a[i + 1:]]
+    out = {x["doc_id"]: x["_dropped"] for x in line_dedup.dedup_lines(docs(spark, list(enumerate(lines)))).collect()}
+
+    def grams(x):
+        return {x[i:i + 5] for i in range(len(x) - 4)}
+    want = {i + 1 for i in range(0, len(lines), 2) if len(grams(lines[i]) & grams(lines[i + 1]))
+            >= 0.8 * len(grams(lines[i]) | grams(lines[i + 1]))}
+    assert {i for i in want if len(lines[i]) < 72} and {i for i, n in out.items() if n} <= want
+    assert sum(out[i] for i in want) >= 0.97 * len(want)
+
+
 def test_shared_buckets_equal_brute_force(spark):
     r = random.Random(6)
     rows = [(i, [r.randrange(400) for _ in range(3)]) for i in range(300)] + [(1000 + i, [7, 7, 8]) for i in range(40)]
