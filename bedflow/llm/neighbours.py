@@ -10,10 +10,11 @@ all windows by a factor round after round.  A vector inside the windows of at
 least ``THRESHOLD`` of the arrays is a candidate and is verified by its exact
 inner product.  A query stops once it has verified enough candidates.
 
-The vectors are dealt over blocks; each block holds its arrays, answers
-the queries and returns its best ``k`` of each, and an aggregation per
-query merges the blocks.  Every vector is indexed, and every query asks every
-block.
+The vectors are dealt over blocks and the queries over chunks.  A task holds
+the arrays of one block, answers one chunk of queries and returns its best
+``k`` of each, so neither side of a task grows with the table; an aggregation
+per query merges the blocks.  Every vector is indexed, and every query asks
+every block.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ PROJECTIONS = 64
 THRESHOLD = 0.8
 #: Vectors of a block, about.
 BLOCK = 16_384
+#: Queries of a chunk, about.
+CHUNK = 16_384
 #: A query verifies at least k plus this share of a block, and at least LEAST vectors of it.
 SHARE = 0.15
 LEAST = 600
@@ -115,7 +118,22 @@ class Block:
         return ids[c][best], score[best]
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK) -> DataFrame:
+def dealt(rows: DataFrame, queries: DataFrame, blocks: int, chunks: int) -> tuple[DataFrame, DataFrame]:
+    """Every vector once a chunk (block, chunk, vec_id, embedding) and every
+    query once a block (block, chunk, query_id, query)."""
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    own = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
+                      each(chunks).alias("chunk"), "vec_id", "embedding")
+    # salted: a chunk's queries come from every block
+    asked = queries.select(each(blocks).alias("block"),
+                           F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"),
+                           "query_id", "query")
+    return own, asked
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` best of each query.
 
     ``vectors`` has vec_id and embedding; other columns are ignored.  Rows with
@@ -138,9 +156,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK
     rows = rows.where(F.size("embedding") == sizes["dims"])
     norm, blocks = math.sqrt(sizes["top"]), max(1, math.ceil(sizes["n"] / block))
     queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    # a query goes to every block; blocks hold a fixed number of vectors
-    asked = queries.select("query_id", "query", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    chunks = max(1, math.ceil(queries.count() / chunk))
+    own_rows, asked_rows = dealt(rows, queries, blocks, chunks)
 
     def search(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         asks, ids, scores = [], [], []
@@ -155,7 +172,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK
         return pd.DataFrame({c: np.concatenate(x) if x else [] for c, x in (
             ("query_id", asks), ("vec_id", ids), ("score", scores))})
 
-    found = dealt.select("block", "vec_id", "embedding").groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(
+    found = own_rows.groupBy("block", "chunk").cogroup(asked_rows.groupBy("block", "chunk")).applyInPandas(
         search, "query_id long, vec_id long, score double")
     # each task passes on its own k best of a query before the shuffle
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

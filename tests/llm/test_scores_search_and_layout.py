@@ -147,6 +147,22 @@ def test_nearest_of_unequal_norms_in_small_blocks(spark):
     assert hit >= 0.9 * 20 * len(want)
 
 
+def test_queries_are_asked_in_chunks_of_bounded_size(spark):
+    rng = np.random.default_rng(5)
+    vecs = rng.standard_normal((4000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>")
+    queries = df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    own, asked = neighbours.dealt(df, queries, 4, 40)  # 100 queries a chunk
+    for side, n, most in ((own, 40, 1200), (asked, 4, 150)):
+        sizes = [r["count"] for r in side.groupBy("block", "chunk").count().collect()]
+        assert len(sizes) == 160 and sum(sizes) == n * 4000 and max(sizes) <= most
+    want, got = brute_nearest(np.arange(4000), vecs, 20), {}
+    for r in neighbours.nearest(df, neighbours.every(), block=2000, chunk=20).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(got) == set(want) and all(len(set(x)) == len(x) == 20 for x in got.values())
+    assert sum(len(set(got[q]) & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
 def test_nearest_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [None, 1.0]),
