@@ -136,11 +136,12 @@ def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
 
 
-def snapshot_filters(snapshot: DataFrame) -> tuple[DataFrame, int]:
+def snapshot_filters(snapshot: DataFrame, incoming: int = 0) -> tuple[DataFrame, int]:
     """One filter a bucket of ``snapshot`` (distinct digests), staged, and the
     number of buckets.  A snapshot never changes, so its filters screen any
-    number of batches."""
-    buckets = max(1, math.ceil(snapshot.count() / BUCKET_DIGESTS))
+    number of batches of about ``incoming`` digests or less; a small snapshot
+    does not put a large batch into few buckets."""
+    buckets = max(1, math.ceil(max(snapshot.count(), incoming) / BUCKET_DIGESTS))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         seed, segment, segments, cells = build_filter(_keys(pdf["digest"]))
@@ -168,8 +169,8 @@ def dedup_groups(docs: DataFrame, in_snapshot, rows: DataFrame) -> DataFrame:
     carry keep_id).  ``rows`` are the staged (doc_id, digest) of ``docs``;
     ``in_snapshot`` is a condition on doc_id."""
     snap = stage(_groups(rows.where(in_snapshot)), "dedup-snapshot")
-    batch = _groups(rows.where(~in_snapshot))
-    screened = stage(screen(batch, *snapshot_filters(snap)), "dedup-screened")
+    new = rows.where(~in_snapshot)
+    screened = stage(screen(_groups(new), *snapshot_filters(snap, new.count())), "dedup-screened")
     known = screened.where("maybe").select("digest", F.col("size").alias("s2"), F.col("keep_id").alias("k2"),
                                            F.col("n_keep").alias("n2"))
     largest = F.greatest("keep_id", "k2")
@@ -234,6 +235,8 @@ def drop_exact_duplicates(docs: DataFrame, in_snapshot=None) -> DataFrame:
         # rows without an id of their own: told apart by their text instead
         return _drop_by_text(docs, found)
     gone = stage(found.where("not kept").select("doc_id"), "dedup-gone")
+    if found.where("kept").join(gone, "doc_id", "left_semi").limit(1).count():
+        return _drop_by_text(docs, found)  # an id of several texts, some of which stay
     return without_ids(docs, gone)
 
 

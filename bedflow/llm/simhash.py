@@ -160,7 +160,20 @@ def near_groups(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows of ``docs``, all columns, without those whose doc_id is not the
     smallest of its component.  Rows without a doc_id stay; rows that share the
-    staying doc_id all stay."""
+    staying doc_id all stay.  Rows of one doc_id with different texts stay or
+    go each by its own component."""
     groups = stage(near_groups(docs, max_bits), "simhash-groups")
-    gone = stage(groups.where("doc_id <> component_id").select("doc_id").distinct(), "simhash-gone")
-    return without_ids(docs, gone)
+    gone = stage(groups.where("doc_id <> component_id").select("doc_id", "fingerprint").distinct(), "simhash-gone")
+    if not groups.where("doc_id = component_id").join(gone, "doc_id", "left_semi").limit(1).count():
+        return without_ids(docs, gone.select("doc_id"))
+
+    names = [*docs.columns, "_fp"]
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        fps = np.array([fingerprint(t) for t in b.column(b.num_columns - 1).to_pylist()], np.uint64).view(np.int64)
+        return pa.record_batch([*b.columns[:-1], pa.array(fps)], names=names)
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in docs.columns]
+    rows = map_arrow(docs.withColumn("_text", F.col("text").cast("binary")), batch, ", ".join([*kinds, "_fp long"]))
+    gone = gone.withColumnsRenamed({"doc_id": "_id", "fingerprint": "_f"})
+    return rows.join(gone, (F.col("doc_id").cast("long") == F.col("_id"))
+                     & (F.lower(F.lpad(F.hex("_fp"), 16, "0")) == F.col("_f")), "left_anti").select(*docs.columns)

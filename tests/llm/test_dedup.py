@@ -197,6 +197,27 @@ def test_exact_dedup_keeps_one_of_repeated_rows(spark):
     assert exact_dedup.drop_exact_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("more", [[], [(None, "without id")]])
+def test_an_id_of_two_texts_loses_only_the_repeated_one(spark, more):
+    rows = [(5, "alone here"), (5, "said twice"), (9, "said twice"), (4, "Other"), (4, "other one")] + more
+    kept = exact_dedup.drop_exact_duplicates(docs(spark, rows)).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(map(str, [rows[0], *rows[2:]]))
+    rows = [(5, "alone here"), (5, "said twice"), (3, "Said twice")] + more
+    kept = simhash.drop_near_duplicates(docs(spark, rows))
+    assert kept.columns == ["doc_id", "text", "lang", "fp", "bucket"]
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == sorted(map(str, [rows[0], *rows[2:]]))
+
+
+def test_a_small_snapshot_deals_a_large_batch_over_many_buckets(spark, monkeypatch):
+    dealt = []
+    screen = exact_dedup.screen
+    monkeypatch.setattr(exact_dedup, "BUCKET_DIGESTS", 50)
+    monkeypatch.setattr(exact_dedup, "screen", lambda a, b, n: dealt.append(n) or screen(a, b, n))
+    rows = [(i, f"text {i}") for i in range(500)]
+    assert exact_dedup.exact_duplicates(docs(spark, rows), F.lit(False)).where("kept").count() == 500
+    assert dealt == [10]
+
+
 def test_different_bytes_under_one_digest_are_told(spark):
     same = spark.createDataFrame([(hashlib.sha256(b"a").digest(), 2)], "digest binary, size long")
     exact_dedup.check_bytes(docs(spark, [(1, "a"), (2, "A")]), same)
