@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bedflow.llm import (
-    chat, exact_dedup, language_id, line_dedup, neighbours, packing, pieces, sharding, simhash, toxicity,
+    chat, exact_dedup, language_id, line_dedup, neighbours, packing, pieces, sharding, simhash, spelling, toxicity, warc,
+    whitening,
 )
 
 
@@ -56,10 +57,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash, op2_packing, op3_toxicity, op4_nearest, op5_sentencepiece, op6_chat_format, op7_resharding,
-        op8_language_id, op9_exact_dedup, op10_line_dedup)}
+        op8_language_id, op9_exact_dedup, op10_line_dedup, op11_whitening, op12_warc, op13_spelling)}
 
 ORACLE_SQL: dict[str, str] = {
     # the end mark costs one sign to escape, wherever a text holds it before a newline
@@ -83,4 +96,12 @@ ORACLE_SQL: dict[str, str] = {
         g as (select norm, max(doc_id) as keep_id, count(*) as group_size from t group by norm)
         select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.norm) as text_sha256
         from t join g using (norm)""",
+    "op12_warc": """
+        with t as (select page_id, coalesce(html, '') as body from pages),
+        p as (select page_id, cast(strlen(body) as bigint) as payload_bytes, sha256(body) as payload_digest from t),
+        g as (select payload_digest, min(page_id) as first from p group by payload_digest)
+        select page_id, payload_bytes, payload_digest,
+          case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+          case when payload_bytes >= 100 and page_id <> first then first end as refers_to
+        from p join g using (payload_digest)""",
 }
