@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bedflow.session import shared_dir
+from bedflow.sources import published
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -51,25 +52,52 @@ def replace_run(df: DataFrame, path: str, schema: T.StructType,
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """``create or replace table`` as a full overwrite."""
+    """``create or replace table`` as a full overwrite of a folder.  Readers find
+    no files meanwhile; ``published.replace`` has no such gap."""
     df.write.mode("overwrite").parquet(path)
 
 
+def publish_run(df: DataFrame, root: str, schema: T.StructType, part: str) -> str:
+    """Replaces one run's rows of a published table (its part ``part``) in one
+    step; returns the folder that holds them."""
+    spark, out = df.sparkSession, conform(df, schema)
+    folder = published.write_aside(out, root)[published.WHOLE]
+    published.update(spark, root, out.schema, lambda base: ({part: folder}, base.about))
+    return f"{root.rstrip('/')}/{folder}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in the store that its scheme names."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None,
+          compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder
     (``spark.checkpoint.dir``) and read it back: later jobs and lost executors
-    start from the table, which can be pruned by column and partition."""
+    start from the table, which can be pruned by column and partition.
+    ``discard`` deletes it when nothing needs it any more."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    if compression:
+        writer = writer.option("compression", compression)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that no later job reads: their successors are
+    written, so that nothing is computed from them again, lost executors or not."""
+    for df in staged:
+        path = getattr(df, "staged_at", None)
+        if path is not None:
+            spark = df.sparkSession
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def common_format_text(model: DataFrame) -> DataFrame:
