@@ -105,7 +105,9 @@ def predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def classification_report(pred: DataFrame) -> DataFrame:
-    """Per class: precision, recall, f1, support; plus an 'accuracy' row."""
+    """Per class: precision, recall, f1, support; plus the rows 'accuracy',
+    'macro avg' (mean over the classes) and 'weighted avg' (by support), the
+    averages rounded to 9 places."""
     conf = pred.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
     support = conf.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
     predicted = conf.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
@@ -126,7 +128,11 @@ def classification_report(pred: DataFrame) -> DataFrame:
     accuracy = acc.select(F.lit("accuracy").alias("class"), F.col("a").alias("precision"),
                           F.col("a").alias("recall"), F.col("a").alias("f1"),
                           F.col("s").cast("long").alias("support"))
-    return classes.unionByName(accuracy)
+    total, values = F.sum("support"), ("precision", "recall", "f1")
+    means = [classes.agg(F.lit(name).alias("class"), *[(F.round(f(c), 9) + 0.0).alias(c) for c in values],
+                         total.cast("long").alias("support")).where("support IS NOT NULL") for name, f in (
+        ("macro avg", F.avg), ("weighted avg", lambda c: F.sum(F.col(c) * F.col("support")) / total))]
+    return classes.unionByName(accuracy).unionByName(means[0]).unionByName(means[1])
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from bedflow.config import FUEC_ADMIT_TYPES
 from bedflow.operators.survival import past_stays
+from bedflow.operators.sweep import census
 
 # Care classes of the commented-out percentile estimate.
 PERCENTILE_CARE_CLASSES = ("Inpatient", "Observation")
@@ -141,10 +142,8 @@ def census_accuracy(models: DataFrame, stays: DataFrame) -> DataFrame:
         F.sum(F.coalesce(F.col("num_of_patient") * F.col("stay_rate"), F.lit(0.0))).alias("predicted"),
         F.count(F.lit(1)).alias("n_rows"))
     patients = models.select("model_name", "stay_key").distinct().join(stays, "stay_key")
-    last = F.expr("date_add(admit_date, beddeddays - 1)")
-    days = F.explode(F.expr("IF(beddeddays > 0, sequence(admit_date, last), array())"))
-    realised = (patients.withColumn("last", last).select("model_name", days.alias("stay_start_date"))
-                .groupBy("model_name", "stay_start_date").agg(F.count(F.lit(1)).alias("realised")))
+    realised = census(patients, ["model_name"]).select(
+        "model_name", F.col("day").alias("stay_start_date"), F.col("census").alias("realised"))
     joined = predicted.join(realised, ["model_name", "stay_start_date"], "left")
     actual = F.coalesce("realised", F.lit(0))
     return joined.select(

@@ -196,6 +196,110 @@ def q_ensemble_top_k(spark, sf):
     return ensemble_top_k(*_cpc_and_edc(spark, sf), k=10)
 
 
+# ------------------------------------------- published and kept-up tables ---
+def _folder(spark, name):
+    from bedflow.session import shared_dir
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def q_published_feature_readback(spark, sf):
+    """The LOS feature published twice under one version, read back by name."""
+    from bedflow.operators.features import publish_feature, read_feature
+    root, feature = _folder(spark, "features"), stage(los_feature(_enc(spark, sf)), "los-feature")
+    for _ in range(2):
+        publish_feature(feature, root, 1)
+    return read_feature(spark, root, 1)
+
+
+def q_replace_published_readback(spark, sf):
+    """A published table replaced by itself and by the model, read by its manifest."""
+    from bedflow.sources import published
+    root, rows = _folder(spark, "published"), q_cpc_model(spark, sf)
+    published.replace(rows.limit(3), root)
+    published.replace(published.read(spark, root).unionByName(rows), root)
+    published.replace(rows, root)
+    return published.read(spark, root)
+
+
+#: The days after which the histogram of the fixture takes in what has changed.
+DELTA_DAYS = (dt.date(1996, 1, 1), dt.date(1999, 1, 1), P.as_of)
+
+
+def _provisional(rows):
+    """Every seventh stay is first entered with a length two days too long."""
+    late = F.col("contact_serial_number").cast("long") % 7 == 0
+    return rows.withColumn("beddeddays", F.when(late & (F.col("patient_type") == "Past"), F.col("beddeddays") + 2)
+                           .otherwise(F.col("beddeddays")))
+
+
+def _daily_changes(spark, sf, upto, since=None):
+    """Changed rows between the table as known on ``since`` and on ``upto``,
+    from the stays that can have changed: those admitted since, those that were
+    Current then, and (last) the lengths corrected."""
+    from bedflow.operators.state import row_changes
+    columns = ["contact_serial_number", "admit_date", "patient_type", "service_code", "beddeddays"]
+    after = encounters(spark, sf, P.with_(as_of=upto)).select(*columns)
+    last = upto == DELTA_DAYS[-1]
+    after = after if last else _provisional(after)
+    if since is None:
+        return row_changes(after.limit(0), after)
+    before = _provisional(encounters(spark, sf, P.with_(as_of=since)).select(*columns))
+    recent = F.col("admit_date") >= F.date_sub(F.lit(since), 21)
+    if last:
+        recent = recent | (F.col("contact_serial_number").cast("long") % 7 == 0)
+    return row_changes(before.where(recent), after.where(recent))
+
+
+def _histogram_state(spark, sf):
+    """The histogram after three batches of changes, the second delivered twice."""
+    from bedflow.operators import state
+    root = _folder(spark, "histogram")
+    for since, upto in zip((None, *DELTA_DAYS), DELTA_DAYS):
+        delta = stage(state.histogram_delta(_daily_changes(spark, sf, upto, since)), "histogram-delta")
+        for _ in range(2 if upto == DELTA_DAYS[1] else 1):
+            state.apply_histogram(spark, root, delta, upto.isoformat())
+    return state.histogram(spark, root)
+
+
+def q_los_histogram_incremental(spark, sf):
+    """The histogram kept by changes: stays turning Past, new ones, lengths corrected."""
+    return _histogram_state(spark, sf).where("service_code IS NOT NULL")
+
+
+def q_cpc_model_incremental(spark, sf):
+    """CP(C) with curves from the kept histogram: the history is not read."""
+    return cpc.cpc_model(_enc(spark, sf), P, hist=_histogram_state(spark, sf))
+
+
+def _first_seen_state(spark, sf):
+    from bedflow.operators import state
+    root, all_days = _folder(spark, "first-seen"), cake_snapshot(spark, sf)
+    ends = [dt.date(1990, 1, 1), dt.date(1999, 12, 20), dt.date(2000, 1, 8), P.as_of, dt.date(2100, 1, 1)]
+    # out of order: the newest days come before older ones
+    for i in (0, 2, 1, 3, 2):
+        days = (F.col("snapshot_date") >= F.lit(ends[i])) & (F.col("snapshot_date") < F.lit(ends[i + 1]))
+        state.merge_snapshots(spark, root, all_days.where(days))
+    return root
+
+
+def q_ed_first_seen_incremental(spark, sf):
+    """First snapshot per emergency stay, merged from four ranges of days."""
+    from bedflow.operators import state
+    return state.first_seen(spark, _first_seen_state(spark, sf))
+
+
+def q_ed_reclassification_incremental(spark, sf):
+    from bedflow.operators import state
+    return state.reclassification_rate(spark, _first_seen_state(spark, sf), P)
+
+
+def q_encounter_dense_rank(spark, sf):
+    """Days and services in order, over all encounters, without one window over them."""
+    from bedflow.operators.ranking import dense_rank
+    rows = _enc(spark, sf).select("contact_serial_number", "admit_date", "service_code", "admit_type")
+    return dense_rank(rows, ["admit_date", "service_code", "admit_type"])
+
+
 # ---------------------------------------------------------------- FHIR ------
 def _parsed(spark, sf):
     from bedflow.sources.json_docs import fhir_documents, parse_documents
@@ -321,6 +425,54 @@ def q_census_accuracy(spark, sf):
     return census_accuracy(cpc_rows.unionByName(edc_rows), known)
 
 
+def q_census_sweep(spark, sf):
+    """Past stays in bed per service and day, from first admission to last day."""
+    from bedflow.operators.sweep import census
+    return census(past_stays(_enc(spark, sf)), ["service_code"])
+
+
+#: Dates from which the models are tried on the fixture, and the days forecast.
+ORIGINS = [dt.date(1999, m, d) for m in (6, 8, 10, 12) for d in (1, 16)]
+ORIGIN_DAYS = 14
+
+
+def _known_stays(spark, sf):
+    """Stays known to their end, long after the last origin."""
+    return past_stays(encounters(spark, sf, CENSUS_PARAMS)).withColumnRenamed("contact_serial_number", "stay_key")
+
+
+def _forecast_cells(spark, sf):
+    from bedflow.operators.evaluation import forecast_cells
+    return forecast_cells(_known_stays(spark, sf), ORIGINS, ORIGIN_DAYS)
+
+
+def _forecast_errors(spark, sf):
+    from bedflow.operators.evaluation import forecast_errors, origin_reclassification
+    weights = origin_reclassification(cake_snapshot(spark, sf), ORIGINS, P)
+    return forecast_errors(_forecast_cells(spark, sf), weights)
+
+
+def q_rolling_forecast_errors(spark, sf):
+    """Both models as of eight dates, day by day, against what happened."""
+    rounded = [(F.round(c, 6) + 0.0).alias(c) for c in ("predicted", "error")]
+    return _forecast_errors(spark, sf).select("model_name", "as_of", "horizon_day", "patients", "realised", *rounded)
+
+
+def q_rolling_accuracy(spark, sf):
+    from bedflow.operators.evaluation import accuracy
+    return accuracy(_forecast_errors(spark, sf))
+
+
+def q_stay_rate_calibration(spark, sf):
+    from bedflow.operators.evaluation import calibration
+    return calibration(_forecast_cells(spark, sf))
+
+
+def q_brier_decomposition(spark, sf):
+    from bedflow.operators.evaluation import brier
+    return brier(_forecast_cells(spark, sf))
+
+
 def q_table_model_sample(spark, sf):
     from bedflow.plans.table_model import sample_input
     return sample_input(q_cpc_model(spark, sf), 5)

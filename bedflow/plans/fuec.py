@@ -15,9 +15,9 @@ Rewrites of the original shape (results are equal, row for row):
   Duplicate service-key rows (N5) multiply sum and count alike and cancel.
   Only positive means are kept: the forecast drops the rest (N8).
 * Global dense_rank (W6).  A day's keys are those of its (month, weekday
-  code) combo, so the rank = the rank within the combo (a window over the
-  seasonal-mean rows, partitioned by combo) + the keys on earlier days (a
-  cumulative sum over <= horizon-days rows).  No window over the output.
+  code) combo, so the rank = the place within the combo (global positions of
+  the seasonal-mean rows, range-partitioned: no window over them) + the keys
+  on earlier days (a cumulative sum over <= horizon-days rows).
 * row_number over the LOS day (W5) is the scaffold day itself; the windowed
   sum of rates (W7) is the cohort's mean LOS, taken from the curve.
 """
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from bedflow.config import (FOLDED_LOCATION, FUEC_ADMIT_TYPES, FUEC_CARE_CLASSES,
                             HOLIDAY_DOW_CODE, HOLIDAY_FLAG, Params)
 from bedflow.functions.dates import dow_code, lit_date, lit_ts_ntz, months_after
+from bedflow.operators.ranking import positions
 from bedflow.operators.survival import curve_arrays, past_stays, survival_curve
 from bedflow.sources.sinks import stage
 
@@ -196,14 +197,15 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
     ep = stage(ep, "fuec_seasonal_curves")
     # dense_rank over (day, keys) = keys on earlier days + rank within the
     # day.  A day's keys are those of its (month, weekday code) combo, so the
-    # within-day rank is a window per combo over the seasonal-mean rows.
-    combo_n = ep.groupBy("month", "dayofweek").agg(F.count(F.lit(1)).alias("_n"))  # <= 96 rows
-    combo = Window.partitionBy("month", "dayofweek").orderBy(*[F.col(k).asc_nulls_last() for k in KEYS])
-    ep = ep.withColumn("_r", F.row_number().over(combo))
+    # rank within the day is the key's place among its combo's seasonal rows:
+    # its global position in (combo, keys) minus the combo's first one.
+    ep = positions(ep, ["month", "dayofweek", *KEYS], "_at")
+    combo_n = ep.groupBy("month", "dayofweek").agg(                             # <= 96 rows
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     days = forecast_days(date_dim, holidays, p)                                # <= 31 * horizon rows
     earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (days.join(F.broadcast(combo_n), ["month", "dayofweek"], "left")
-               .select("day", "day_of_week", "month", "dayofweek",
+               .select("day", "day_of_week", "month", "dayofweek", "_first",
                        F.coalesce(F.sum(F.coalesce("_n", F.lit(0))).over(earlier), F.lit(0))
                        .alias("_off")))
     # ep is a small aggregate (AQE keeps few partitions), but each row expands
@@ -223,7 +225,7 @@ def fuec_forecast(encounters: DataFrame, date_dim: DataFrame, holidays: DataFram
         d.cast("int").alias("beddeddays"),
         (F.try_element_at(F.col("s"), d) / F.col("total")).alias("stay_rate"),
         "admit_type", "location", "site_desc",
-        (F.col("_off") + F.col("_r")).cast("string").alias("stay_key"),
+        (F.col("_off") + F.col("_at") - F.col("_first") + 1).cast("string").alias("stay_key"),
         F.coalesce(d, F.lit(1)).cast("int").alias("stay_key_seq"),
         F.col("expected_los").cast("double").alias("expected_los"),
         lit_ts_ntz(p.run_ts).alias("update_dttm"),
