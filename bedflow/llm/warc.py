@@ -161,7 +161,8 @@ def record_text(run: str) -> Column:
 
 def deduplicated(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> str:
     """Writes the archives of ``records`` (as of ``page_records``) under ``path``."""
-    staged = stage(records.withColumn("row", F.monotonically_increasing_id()), "warc-records")
+    # payloads are kept twice for a while (here and in the shuffle), so compressed well
+    staged = stage(records.withColumn("row", F.monotonically_increasing_id()), "warc-records", compression="zstd")
     again = stage(revisits(staged.select(*HEADERS)), "warc-revisits")
     return _written(staged.withColumn("outside", F.lit(None).cast("string")), again, path, archive_bytes)
 
