@@ -306,16 +306,14 @@ def _parsed(spark, sf):
     return parse_documents(fhir_documents(spark, sf))
 
 
-def _resource(spark, sf, resource):
-    """Parsed documents of one resource, staged once: the column-plan pass and
-    the shredding pass read the staged table.  Only this resource's part of the
-    export is built."""
+def _resource(spark, sf, resource, arrays=()):
+    """Parsed documents of one resource, staged once, and its column plan with
+    the elements of ``arrays``.  Only this resource's part of the export is built."""
     from bedflow.operators import fhir as H
     from bedflow.sources.json_docs import RESOURCE_DOCUMENTS, parse_documents
     parsed = stage(parse_documents(RESOURCE_DOCUMENTS[resource](spark, sf))
                    .where(F.col("resource_type") == resource).select("doc", "resource_type"), f"fhir-{resource}")
-    cols = H.column_plan(H.resource_columns(parsed), "resource_type").get(resource, [])
-    return parsed, cols
+    return parsed, H.document_plan(parsed, {resource: arrays})
 
 
 def q_fhir_schema(spark, sf):
@@ -325,8 +323,8 @@ def q_fhir_schema(spark, sf):
 
 def _resource_rows(spark, sf, resource):
     from bedflow.operators import fhir as H
-    parsed, cols = _resource(spark, sf, resource)
-    scalar_or_object = [c for c in cols if c[1] != "ARRAY"]
+    parsed, plan = _resource(spark, sf, resource)
+    scalar_or_object = [c for c in plan[resource].columns if c[1] != "ARRAY"] if plan else []
     return H.comparable(H.shred(parsed, resource, scalar_or_object))
 
 
@@ -344,9 +342,8 @@ def q_fhir_encounter_rows(spark, sf):
 
 def _child(spark, sf, resource, source_col):
     from bedflow.operators import fhir as H
-    parsed, cols = _resource(spark, sf, resource)
-    built = H.child_table(H.shred(parsed, resource, cols), resource, cols, source_col)
-    return H.comparable(built[1])
+    parsed, plan = _resource(spark, sf, resource, [source_col.lower()])
+    return H.comparable(H.child_rows(parsed, plan, resource, source_col))
 
 
 def q_fhir_child_rows(spark, sf):
@@ -363,10 +360,8 @@ def q_fhir_participant_rows(spark, sf):
 
 def q_fhir_child_schema(spark, sf):
     from bedflow.operators import fhir as H
-    parsed, cols = _resource(spark, sf, "Claim")
-    prop = H.array_property(cols, "ITEM")
-    rows = H.shred(parsed, "Claim", cols)
-    elements = H.child_elements(rows, H.table_name("Claim"), prop, "ITEM")
+    parsed, plan = _resource(spark, sf, "Claim")
+    elements = H.document_elements(parsed, "Claim", H.arrays_named(plan["Claim"], "ITEM")[0], "ITEM")
     return H.child_schema(elements).select(F.lit("FHIR_CLAIM_ITEM").alias("target_table"), "*")
 
 
@@ -382,9 +377,27 @@ def q_fhir_mixed_child_rows(spark, sf):
     from bedflow.operators import fhir as H
     from bedflow.sources.json_docs import messy_documents, parse_documents
     parsed = stage(parse_documents(messy_documents(spark, sf)).select("doc", "resource_type"), "fhir-messy")
-    cols = H.column_plan(H.resource_columns(parsed), "resource_type").get("Claim", [])
-    built = H.child_table(H.shred(parsed, "Claim", cols), "Claim", cols, "ITEM")
-    return H.comparable(built[1])
+    return H.comparable(H.child_rows(parsed, H.document_plan(parsed, {"Claim": ["item"]}), "Claim", "ITEM"))
+
+
+def q_fhir_path_schema(spark, sf):
+    """Every path of every resource, array indexes normalised, with its type."""
+    from bedflow.operators.fhir import path_schema
+    return path_schema(_parsed(spark, sf))
+
+
+def q_fhir_case_variants(spark, sf):
+    """Claims whose resource and properties come in several spellings, some
+    called like the ingest's own columns, in two batches, the second twice;
+    read back from the one table they share."""
+    from bedflow.operators.fhir import bulk_ingest, read_ingested
+    from bedflow.sources.json_docs import spelling_documents
+    root = _folder(spark, "case-variants")
+    docs = spelling_documents(spark, sf)
+    for batch in (0, 1, 1):
+        bulk_ingest(docs.where(F.col("batch") == batch).select("file_row"), root, batch_id=batch)
+    # -1 where a row's number went to the column of text
+    return read_ingested(spark, f"{root}/FHIR_CLAIM").withColumn("seq", F.coalesce("seq", F.lit(-1)))
 
 
 # ---------------------------------------------------------- monitoring ------

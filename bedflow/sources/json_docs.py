@@ -108,6 +108,22 @@ def messy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.coalesce(bad, doc).alias(DOC_COL))
 
 
+def spelling_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_row, batch): claims under three spellings of the resource, with
+    ``Status`` beside ``status``, a property called like the batch column, and a
+    number that is text in the second batch."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    k, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    name = F.when(k % 3 == 0, "Claim").when(k % 3 == 1, "CLAIM").otherwise("claim")
+    doc = F.concat(
+        F.lit('{"resourceType":"'), name, F.lit('","id":"'), text, F.lit('","'),
+        F.when(k % 4 == 0, "Status").otherwise("status"), F.lit('":"'), F.col("o_orderstatus"),
+        F.when(k % 8 == 0, F.concat(F.lit('","status":"'), F.col("o_orderstatus"))).otherwise(""),
+        F.lit('","ingest_batch":"export-'), (k % 5).cast("string"), F.lit('","seq":'),
+        F.when(k % 2 == 1, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text), F.lit("}"))
+    return orders.select(doc.alias(DOC_COL), (k % 2).cast("int").alias("batch"))
+
+
 def parse_documents(docs: DataFrame, col: str = DOC_COL) -> DataFrame:
     """(file_row, doc VARIANT, resource_type); malformed text gives NULL doc.
     Documents are parsed where their input split is read."""

@@ -66,12 +66,6 @@ def publish_run(df: DataFrame, root: str, schema: T.StructType, part: str) -> st
     return f"{root.rstrip('/')}/{folder}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists in the store that its scheme names."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None,
           compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder
