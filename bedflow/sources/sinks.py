@@ -4,6 +4,8 @@ append/replace, and the stringified view of the common format (S7-S11)."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +68,25 @@ def publish_run(df: DataFrame, root: str, schema: T.StructType, part: str) -> st
     return f"{root.rstrip('/')}/{folder}"
 
 
+#: Spark's setting that removes a statement's shuffle files when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, a write removes its shuffle files once it is committed: nothing
+    reads them again, since what follows starts from the table written."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None,
           compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder
@@ -77,7 +98,8 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None,
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     if compression:
         writer = writer.option("compression", compression)
-    writer.parquet(path)
+    with shuffles_removed(spark):
+        writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
