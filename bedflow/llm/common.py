@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bedflow.sources.sinks import stage
+from bedflow.sources.sinks import discard, stage
 
-__all__ = ["class_ranks", "components", "joined_components", "map_arrow", "place_ranks", "sorted_places", "stage",
-           "without_ids"]
+__all__ = ["class_ranks", "components", "discard", "free_names", "joined_components", "map_arrow", "named", "place_ranks",
+           "sorted_places", "stage", "text_hash", "without_ids", "without_texts"]
 
 #: Id lists up to this many rows (8 bytes each) may be broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 200_000
@@ -31,6 +31,39 @@ def map_arrow(df: DataFrame, per_batch: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The ``wanted`` column names, with as many underscores behind as make
+    them new in ``df`` (names do not differ by case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def text_hash(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def without_texts(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs``, all columns, whose doc_id (null included) and text are
+    not in ``dropped`` (staged, distinct: doc_id, and t as of ``text_hash``).
+    Rows that share a doc_id go or stay each by its own text.  The list is
+    broadcast only if a count shows that it is small."""
+    if dropped.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    i, t = free_names(docs, "_gone_id", "_gone_t")
+    gone = dropped.select(F.col("doc_id").alias(i), F.col("t").alias(t))
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (text_hash() == F.col(t)), "left_anti")
+
+
 def without_ids(df: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``dropped`` (staged, distinct ids).
     The id list is broadcast only if a count shows that it is small."""
@@ -106,7 +139,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
                      F.struct("src", F.col("m").alias("dst")),
                      F.struct(F.col("dst").alias("src"), F.col("m").alias("dst")))).alias("e"))
                  .select("e.src", "e.dst").where(F.col("src") != F.col("dst")).distinct())
-        e = stage(small, f"{label}-round")
+        done, e = e, stage(small, f"{label}-round")
+        discard(done)
     roots = e.select(F.col("dst").alias("node")).distinct().withColumn("component", F.col("node"))
     return e.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(roots)
 
