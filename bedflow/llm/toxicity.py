@@ -3,8 +3,10 @@ regression.
 
 The lexicon is learned from the training rows: words, and word beginnings for
 languages that build insults by compounding, that are far commoner in toxic
-texts.  Before the lookup a word is also read with look-alike signs replaced
-("1d10t", "st*pid" lose their disguise where a sign maps to a letter).  Each
+texts.  Before the lookup a word loses its disguise: signs that look like
+letters are replaced ("1d10t"), letters set apart are joined ("s.t.u.p.i.d"),
+and a word with stars is read as the heaviest entry of the same length and
+letters ("st*pid", "f***").  Each
 whole text becomes a row of densities: lexicon hits, hits near second-person
 words, capitals, punctuation, and disguised words.  Spark ML fits the trees on
 a bounded sample of the labelled training rows and the isotonic step function
@@ -26,7 +28,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedflow.llm.common import map_arrow, stage, without_ids
+from bedflow.llm.common import map_arrow, stage, text_hash, without_texts
 
 #: Labelled rows the model is fitted on at most, about; chosen by a hash of doc_id.
 MAX_TRAIN = 24_000
@@ -41,7 +43,9 @@ FEATURES = ["log_words", "hits_per_100", "weight_per_100", "log_hits", "max_weig
             "near_second_person_per_100", "second_person_per_100", "capitals", "shouted_words", "punctuation",
             "exclamations", "disguised_per_100", "stretched_per_100", "digits"]
 
-_WORD = re.compile(r"\w[\w@$*!|]*\w|\w")
+_WORD = re.compile(r"\w[\w@$*!|]*[\w*]|\w")
+#: Letters set apart, four or more, always by the same sign: "i d i o t", "s.t.u.p.i.d".
+_SPACED = re.compile(r"(?<!\w)[^\W\d_]([ .\-_*])[^\W\d_](?:\1[^\W\d_]){2,}(?!\w)")
 _STRETCHED = re.compile(r"(\w)\1{3,}")
 _LOOKALIKE = str.maketrans("013457@$!|", "oieastasil")
 # Second-person words of the four languages (fixed values).
@@ -54,15 +58,40 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 
 
-def _words(text: str) -> tuple[list[str], int]:
-    """Lower-cased words with look-alike signs replaced inside them; how many had any."""
-    out, disguised = [], 0
-    for w in _WORD.findall(text.lower()):
+class Masks:
+    """Words of a lexicon by length, to find what a word with stars hides."""
+
+    def __init__(self, lexicon: dict[str, float]) -> None:
+        self.by_length: dict[int, list[str]] = {}
+        for entry in sorted(lexicon, key=lambda e: (-lexicon[e], e)):
+            if not entry.endswith("-"):
+                self.by_length.setdefault(len(entry), []).append(entry)
+
+    def uncovered(self, word: str) -> str:
+        """The heaviest entry of the same length and letters; else the word itself."""
+        for entry in self.by_length.get(len(word), ()):
+            if all(c in ("*", e) for c, e in zip(word, entry)):
+                return entry
+        return word
+
+
+def _words(text: str, masks: Masks | None = None) -> tuple[list[str], int]:
+    """Lower-cased words, and how many were disguised: signs that look like
+    letters are replaced inside words, letters set apart are joined, and stars
+    inside or at the end of a word (two or more there; one is emphasis) are looked up in ``masks``."""
+    text, disguised = text.lower(), 0
+    joined = _SPACED.sub(lambda m: m.group(0).replace(m.group(1), ""), text)
+    if joined is not text:
+        disguised, text = sum(1 for _ in _SPACED.finditer(text)), joined
+    out = []
+    for w in _WORD.findall(text):
         if not w.isalpha() and not w.isdigit():
+            if w.endswith("*") and not w.endswith("**") and "*" not in w[:-1]:
+                w = w[:-1]
             plain = w.translate(_LOOKALIKE)
-            if any(c.isalpha() for c in w) and plain != w:
+            if any(c.isalpha() for c in w) and (plain != w or "*" in w):
                 disguised += 1
-            w = plain
+            w = masks.uncovered(plain) if masks is not None and "*" in plain else plain
         out.append(w)
     return out, disguised
 
@@ -110,9 +139,9 @@ def learn_lexicon(train: DataFrame, max_entries: int = MAX_LEXICON) -> dict[str,
     return {r["entry"]: float(r["odds"]) for r in top.collect()}
 
 
-def dense_features(text: str, lexicon: dict[str, float]) -> list[float]:
+def dense_features(text: str, lexicon: dict[str, float], masks: Masks | None = None) -> list[float]:
     """One row of FEATURES for a whole text; an empty text gives zeros."""
-    words, disguised = _words(text)
+    words, disguised = _words(text, Masks(lexicon) if masks is None else masks)
     n = len(words)
     per = 100.0 / max(n, 1)
     hits, you = [], []
@@ -139,19 +168,21 @@ def dense_features(text: str, lexicon: dict[str, float]) -> list[float]:
         near = int((np.minimum(h - y[at], y[at + 1] - h) <= NEAR).sum())
     chars = max(len(text), 1)
     upper = sum(map(str.isupper, text))
-    letters = max(sum(map(str.isalpha, text)), 1)
+    letters = sum(map(str.isalpha, text))
     marks = len(text) - letters - text.count(" ") - text.count("\n")
     shouted = sum(1 for w in text.split() if len(w) > 2 and w.isupper())
     digits = sum(map(str.isdigit, text))
     return [math.log1p(n), len(hits) * per, weight * per, math.log1p(len(hits)), top, float(len(seen)), near * per,
-            len(you) * per, upper / letters, shouted * per, marks / chars, text.count("!") / chars,
+            len(you) * per, upper / max(letters, 1), shouted * per, marks / chars, text.count("!") / chars,
             disguised * per, len(_STRETCHED.findall(text)) * per, digits / chars]
 
 
 def featurise(docs: DataFrame, lexicon: dict[str, float], keys: list[str]) -> DataFrame:
     """``keys`` plus one double column per feature, for every row."""
+    masks = Masks(lexicon)
+
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [dense_features(t or "", lexicon) for t in b.column("text").to_pylist()]
+        rows = [dense_features(t or "", lexicon, masks) for t in b.column("text").to_pylist()]
         table = np.array(rows, float).reshape(len(rows), len(FEATURES))
         return pa.record_batch([*[b.column(k) for k in keys], *[pa.array(c) for c in table.T]],
                                names=[*keys, *FEATURES])
@@ -223,8 +254,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """Rows of ``docs``, all columns, that are not predicted toxic.  Rows
-    without a doc_id stay; rows that share a doc_id go if one is toxic."""
-    scored = score_documents(docs, labels, max_train)
-    gone = stage(scored.where("predicted = 1 and doc_id is not null").select("doc_id").distinct(), "toxicity-gone")
-    return without_ids(docs, gone)
+    """Rows of ``docs``, all columns, whose text is not predicted toxic, with a
+    doc_id or without; rows that share a doc_id go each by its own text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash().alias("t"))
+    scored = train(docs, labels, max_train).score(rows, ["doc_id", "t"])
+    gone = stage(scored.where(F.col("score") >= THRESHOLD).select("doc_id", "t").distinct(), "toxicity-gone")
+    return without_texts(docs, gone)
