@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bedflow.llm.common import BROADCAST_IDS, map_arrow, stage, without_ids
+from bedflow.llm.common import BROADCAST_IDS, free_names, map_arrow, stage, without_ids
 
 #: Digests a filter holds on average; sets the number of buckets.
 BUCKET_DIGESTS = 40_000
@@ -241,8 +241,9 @@ def drop_exact_duplicates(docs: DataFrame, in_snapshot=None) -> DataFrame:
 
 
 def _drop_by_text(docs: DataFrame, found: DataFrame) -> DataFrame:
-    stays = found.where("kept").select(F.unhex("text_sha256").alias("digest"), F.col("doc_id").alias("_keep"))
-    named = docs.withColumn("digest", F.unhex(F.sha2(F.translate(
+    own, digest, keep = free_names(docs, "_digest", "_staying", "_keep")
+    stays = found.where("kept").select(F.unhex("text_sha256").alias(digest), F.col("doc_id").alias(keep))
+    rows = docs.withColumn(own, F.unhex(F.sha2(F.translate(
         F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), 256)))
-    rows = named.join(stays, "digest").where(F.col("doc_id").eqNullSafe(F.col("_keep")))
-    return rows.dropDuplicates(["digest"]).select(*[docs[c] for c in docs.columns])
+    rows = rows.join(stays, (F.col(own) == F.col(digest)) & F.col("doc_id").cast("long").eqNullSafe(F.col(keep)))
+    return rows.dropDuplicates([own]).drop(own, digest, keep)

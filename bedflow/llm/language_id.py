@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bedflow.llm.common import map_arrow, stage, without_ids
+from bedflow.llm.common import map_arrow, stage, text_hash, without_texts
 
 LANGUAGES = ("en", "de", "fr", "es")
 #: Rows the trigram models are fitted on, about; chosen by a hash of the text.
@@ -246,11 +246,12 @@ def document_rows(docs: DataFrame) -> DataFrame:
 def keep_known_languages(docs: DataFrame, languages=LANGUAGES, min_confidence: float = 0.5,
                          train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Rows of ``docs``, all columns, whose language is one of ``languages``
-    with ``min_confidence``.  Texts of no known language, and empty texts of
-    rows that declare none, go.  Rows without a doc_id stay."""
-    found = identify(document_rows(docs), ["doc_id"], languages, train_rows)
-    # of rows that repeat a doc_id with other texts, all go only if none is accepted
-    gone = stage(found.groupBy("doc_id").agg(
+    with ``min_confidence``, with a doc_id or without.  Texts of no known
+    language, and empty texts of rows that declare none, go; rows that share a
+    doc_id go each by its own text (equal ones all stay if one is accepted)."""
+    rows = document_rows(docs).withColumn("t", text_hash())
+    found = identify(rows, ["doc_id", "t"], languages, train_rows)
+    gone = stage(found.groupBy("doc_id", "t").agg(
         F.bool_or((F.col("language") != UND) & (F.col("confidence") >= min_confidence)).alias("accepted"))
-        .where("not accepted and doc_id is not null").select("doc_id"), "langid-gone")
-    return without_ids(docs, gone)
+        .where("not accepted").select("doc_id", "t"), "langid-gone")
+    return without_texts(docs, gone)

@@ -109,27 +109,27 @@ class Block:
         return np.bincount(np.concatenate(parts), minlength=len(self.vectors))
 
     def nearest(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the best ``k`` candidates but ``own``."""
+        """Rows' ids and inner products of the best ``k`` candidates but the row ``own``."""
         wanted = max(LEAST, k + 1 + math.ceil(SHARE * len(self.vectors)))
         c = self.candidates(query, wanted)
-        c = c[ids[c] != own]
+        c = c[rows[c] != own]
         score = np.einsum("ij,j->i", self.vectors[c], query)  # one order of addition for every row: copies tie exactly
         best = np.lexsort((ids[c], -score))[:k]
         return ids[c][best], score[best]
 
 
 def dealt(rows: DataFrame, queries: DataFrame, blocks: int, chunks: int) -> tuple[DataFrame, DataFrame]:
-    """Every vector once a chunk (block, chunk, vec_id, embedding) and every
-    query once a block (block, chunk, query_id, query)."""
+    """Every vector once a chunk (block, chunk, vec_id, embedding, row) and every
+    query once a block (block, chunk, query_id, query, row)."""
     def each(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    own = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-                      each(chunks).alias("chunk"), "vec_id", "embedding")
+    own = rows.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"),
+                      each(chunks).alias("chunk"), "vec_id", "embedding", "row")
     # salted: a chunk's queries come from every block
     asked = queries.select(each(blocks).alias("block"),
-                           F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"),
-                           "query_id", "query")
+                           F.pmod(F.xxhash64("row", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"),
+                           "query_id", "query", "row")
     return own, asked
 
 
@@ -139,14 +139,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK
     ``vectors`` has vec_id and embedding; other columns are ignored.  Rows with
     a null id, and vectors that are null, zero or hold null or non-finite
     components, take no part; nor do vectors of another length than the
-    commonest.  Equal scores go to the smaller vec_id.  Repeated rows of one
-    vec_id count once.  Fewer candidates than ``k``: all of them; no rows: no
+    commonest.  Equal scores go to the smaller vec_id.  Rows that repeat a
+    vec_id, or a whole row, are candidates and queries of their own; a query's own row only is left
+    out.  Fewer candidates than ``k``: all of them; no rows: no
     rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.where(F.col("vec_id").isNotNull() & _valid(F.col("embedding"))).groupBy("vec_id").agg(
-        F.max("embedding").alias("embedding"))
+    rows = rows.where(F.col("vec_id").isNotNull() & _valid(F.col("embedding"))).withColumn(
+        "row", F.monotonically_increasing_id())
     rows = stage(rows.withColumn("norm2", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)), "ann-vectors")
     sizes = rows.groupBy(F.size("embedding").alias("dims")).agg(
         F.count(F.lit(1)).alias("n"), F.max("norm2").alias("top")).orderBy(F.desc("n"), "dims").first()
@@ -155,27 +156,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK
         return vectors.sparkSession.createDataFrame([], schema)
     rows = rows.where(F.size("embedding") == sizes["dims"])
     norm, blocks = math.sqrt(sizes["top"]), max(1, math.ceil(sizes["n"] / block))
-    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), "row")
     chunks = max(1, math.ceil(queries.count() / chunk))
     own_rows, asked_rows = dealt(rows, queries, blocks, chunks)
 
     def search(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        asks, ids, scores = [], [], []
+        asks, queried, ids, scores = [], [], [], []
         if len(own) and len(ask):
             index = Block(_matrix(own["embedding"]), norm)
             own_ids = own["vec_id"].to_numpy()
-            for q, vec in zip(ask["query_id"].to_numpy(), _matrix(ask["query"])):
-                got, score = index.nearest(vec, own_ids, q, k)
+            own_rows_ = own["row"].to_numpy()
+            for q, row, vec in zip(ask["query_id"].to_numpy(), ask["row"].to_numpy(), _matrix(ask["query"])):
+                got, score = index.nearest(vec, own_ids, own_rows_, row, k)
                 asks.append(np.full(len(got), q))
+                queried.append(np.full(len(got), row))
                 ids.append(got)
                 scores.append(score)
         return pd.DataFrame({c: np.concatenate(x) if x else [] for c, x in (
-            ("query_id", asks), ("vec_id", ids), ("score", scores))})
+            ("query_id", asks), ("row", queried), ("vec_id", ids), ("score", scores))})
 
     found = own_rows.groupBy("block", "chunk").cogroup(asked_rows.groupBy("block", "chunk")).applyInPandas(
-        search, "query_id long, vec_id long, score double")
+        search, "query_id long, row long, vec_id long, score double")
     # each task passes on its own k best of a query before the shuffle
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bedflow.llm.common import class_ranks, place_ranks, sorted_places, stage
+from bedflow.llm.common import class_ranks, free_names, named, place_ranks, sorted_places, stage
 from bedflow.session import shared_dir
 
 SHARDS = 24
@@ -33,6 +33,9 @@ BLOCKS = 64
 ROW = "_row"
 #: What rows are ranked by inside an old shard.
 ORDER = ["size", "doc_id", "text_crc32"]
+#: Names that the layout's files and steps use.
+OWN = frozenset(["shard", "old_shard", ROW, "_place", "_old", "_new", "_from", "_low", "_high", "_doc_id", "_size",
+                 "_text_crc32", "_id", "slot", "class_rank", "_part", "_k_shard", "_p", "_n", "_first", "_before"])
 
 
 class Network:
@@ -195,11 +198,18 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, shards: int = SHAR
 
 def lay_out(docs: DataFrame, old_shard: Column, path: str) -> DataFrame:
     """Write ``docs``, all columns, to ``path``/shard=N as they lie now, each
-    row with a key, and read them back."""
-    taken = {"shard", "old_shard", ROW, "_place"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns of the layout: {sorted(taken)}")
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id()).withColumn("shard", old_shard.cast("int"))
+    row with a key, and read them back.  Columns called like one of the
+    layout's own (``OWN``, in any case) get underscores behind their name."""
+    lies, = free_names(docs, "_lies")
+    names, taken = [], {c.lower() for c in docs.columns} | OWN
+    for c in docs.columns:
+        new = c
+        while new.lower() in OWN or (new != c and new.lower() in taken):
+            new += "_"
+        taken.add(new.lower())
+        names.append(new)
+    docs = docs.withColumn(lies, old_shard.cast("int")).toDF(*names, lies)
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id()).withColumnRenamed(lies, "shard").select(*map(named, names), ROW, "shard")
     rows.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -217,7 +227,7 @@ def _moved(docs: DataFrame, placed: DataFrame) -> DataFrame:
     rows = rows.join(F.broadcast(ends), (F.col("shard") == F.col("_old")) & (own >= F.col("_low"))
                      & (own <= F.col("_high")))
     rows = sorted_places(rows, ["_new", "_from", *[f"_{c}" for c in ORDER], ROW])
-    return rows.select(*[c for c in docs.columns if c != "shard"], "_place", F.col("_old").alias("old_shard"),
+    return rows.select(*[named(c) for c in docs.columns if c != "shard"], "_place", F.col("_old").alias("old_shard"),
                        F.col("_new").alias("shard"))
 
 
@@ -266,7 +276,10 @@ def reshard_files(docs: DataFrame, old_shard: Column | None = None, shards: int
     """The whole job: lay ``docs`` out in the shared folder by ``old_shard``,
     solve, and rewrite the affected files in place.  The columns of ``reshard``
     for every row, taken from the files as they are then; the slots in shards
-    that keep their files come from the plan."""
+    that keep their files come from the plan.  Null texts stay null in the files
+    (size 8); null and repeated doc_ids are rows like any other; no rows: no
+    rows.  Other columns are laid out too, under longer names where the layout
+    needs theirs."""
     spark: SparkSession = docs.sparkSession
     path = f"{shared_dir(spark)}/reshard-files-{uuid.uuid4().hex}"
     old = lay_out(docs, by_source() if old_shard is None else old_shard, path)

@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bedflow.llm.common import components, map_arrow, stage, without_ids
+from bedflow.llm.common import components, map_arrow, named, stage, without_ids
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -167,13 +168,11 @@ def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     if not groups.where("doc_id = component_id").join(gone, "doc_id", "left_semi").limit(1).count():
         return without_ids(docs, gone.select("doc_id"))
 
-    names = [*docs.columns, "_fp"]
-
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(t) for t in b.column(b.num_columns - 1).to_pylist()], np.uint64).view(np.int64)
-        return pa.record_batch([*b.columns[:-1], pa.array(fps)], names=names)
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in docs.columns]
-    rows = map_arrow(docs.withColumn("_text", F.col("text").cast("binary")), batch, ", ".join([*kinds, "_fp long"]))
-    gone = gone.withColumnsRenamed({"doc_id": "_id", "fingerprint": "_f"})
-    return rows.join(gone, (F.col("doc_id").cast("long") == F.col("_id"))
-                     & (F.lower(F.lpad(F.hex("_fp"), 16, "0")) == F.col("_f")), "left_anti").select(*docs.columns)
+        fps = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
+        return pa.record_batch([b.column(0), pa.array(fps)], names=["row", "fp"])
+    packed = docs.select(F.struct(*map(named, docs.columns)).alias("row"), F.col("text").cast("binary").alias("bytes"))
+    rows = map_arrow(packed, batch, T.StructType([packed.schema["row"], T.StructField("fp", T.LongType())]))
+    kept = rows.join(gone, (F.col("row.doc_id").cast("long") == F.col("doc_id"))
+                     & (F.lower(F.lpad(F.hex("fp"), 16, "0")) == F.col("fingerprint")), "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -1,0 +1,116 @@
+"""Every pipeline stage and resharding with all internal names as extra
+columns, repeated and missing ids; disguised words; repeated vectors."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from bedflow.llm import exact_dedup, neighbours, sharding, simhash, toxicity
+
+NAMES = ["t", "digest", "_keep", "_digest", "_staying", "_row", "_fp", "_bytes", "_gone_id", "_gone_t", "_id", "_t", "fp",
+         "shard", "old_shard", "SHARD", "_place", "slot", "size", "text_crc32", "key", "score", "margin", "features",
+         "a b.c`d", "host", "bucket", "piece", "length", "_new", "_low", "component", "toxic"]
+TEXT = "this is a plain english text about the weather and the sea in the summer and the winter "
+
+
+def table(spark, rows):
+    df = spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 2}") for i, t in rows],
+                               "doc_id long, text string, lang string, source string")
+    for n in NAMES:
+        if n.lower() not in {c.lower() for c in df.columns}:
+            df = df.withColumn(n, F.lit(n))
+    return df
+
+
+ROWS = [(i, TEXT * (1 + i % 3) + f"number {i * 7919} of the list {'word ' * (i % 11)}") for i in range(40)] + [
+    (5, TEXT + "another text of the same id"), (5, TEXT + "another text of the same id"), (None, TEXT + "no id"), (7, None),
+    (None, None), (8, "")]
+
+
+@pytest.mark.parametrize("name,function", corpus_pipeline.STAGES)
+def test_stages_take_columns_of_any_name(spark, tmp_path, name, function):
+    docs = table(spark, ROWS)
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(40)], "doc_id long, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    out = function(spark, docs, str(tmp_path))
+    rows = out.collect()
+    assert rows
+    if name != "packing":
+        assert out.columns == docs.columns and all(r["_keep"] == "_keep" for r in rows)
+
+
+def test_resharding_takes_columns_of_any_name(spark):
+    docs = table(spark, ROWS)
+    got = sharding.reshard_files(docs, shards=5).collect()
+    assert len(got) == len(ROWS)
+    counts = sorted(sum(r["shard"] == s for r in got) for s in range(5))
+    assert counts[-1] - counts[0] <= 1
+
+
+def test_laid_out_columns_keep_their_values(spark, tmp_path):
+    docs = table(spark, ROWS[:6])
+    back = sharding.lay_out(docs, F.lit(0), str(tmp_path / "x"))
+    row = back.first().asDict()
+    assert row["old_shard_"] == "old_shard" and row["_place_"] == "_place" and row["a b.c`d"] == "a b.c`d"
+    assert {row[c] for c in row if c.lower().rstrip("_") == "shard"} == {0, "shard"}
+
+
+def test_rows_of_one_id_go_each_by_their_text(spark):
+    mean = "you are a stupid idiot and a moron, you stupid idiot "
+    rows = [(i, (mean if i % 4 == 0 else TEXT) + f"note {i}") for i in range(1, 200)]
+    rows += [(500, TEXT + "clean"), (500, mean + "note 900"), (None, mean + "note 901"), (None, TEXT + "clean")]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1, 200)], "doc_id long, toxic int")
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    kept = [(r["doc_id"], r["text"]) for r in toxicity.drop_toxic(df, labels).collect()]
+    assert (500, TEXT + "clean") in kept and (None, TEXT + "clean") in kept
+    assert not [x for x in kept if x[0] in (500, None) and x[1].startswith(mean)]
+
+
+def test_exact_dedup_by_text_with_clashing_names(spark):
+    docs = table(spark, [(5, "A"), (5, "B"), (9, "b"), (5, "A"), (None, "c"), (None, "C"), (1, "C")])
+    kept = sorted((str(r["doc_id"]), r["text"].lower()) for r in exact_dedup.drop_exact_duplicates(docs).collect())
+    assert kept == [("1", "c"), ("5", "a"), ("9", "b")]
+    assert simhash.drop_near_duplicates(docs).columns == docs.columns
+
+
+# --- disguised words -----------------------------------------------------------
+
+LEXICON = {"stupid": 3.0, "idiot": 2.5, "moron": 2.0, "fool": 2.0, "idio-": 1.0}
+
+
+@pytest.mark.parametrize("text,words,disguised", [
+    ("st*pid", ["stupid"], 1), ("f***", ["fool"], 1), ("s.t.u.p.i.d", ["stupid"], 1), ("1d10t", ["idiot"], 1),
+    ("i d i o t", ["idiot"], 1), ("*idiot*", ["idiot"], 0), ("M*R*N!", ["moron"], 1), ("a b", ["a", "b"], 0),
+    ("x*y zzz", ["x*y", "zzz"], 1), ("stupid", ["stupid"], 0), ("2 3 4 5 6", ["2", "3", "4", "5", "6"], 0),
+    ("e.g. this", ["e", "g", "this"], 0), ("you i-d-i-o-t you", ["you", "idiot", "you"], 1), ("", [], 0)])
+def test_disguises(text, words, disguised):
+    assert toxicity._words(text, toxicity.Masks(LEXICON)) == (words, disguised)
+
+
+def test_dense_features_equal_a_plain_count():
+    """Each density from its definition, over a text with everything in it."""
+    text = "You st*pid FOOL!! 1d10t, you are SOOOO dumb. i d i o t 42"
+    got = dict(zip(toxicity.FEATURES, toxicity.dense_features(text, LEXICON)))
+    words = ["you", "stupid", "fool", "idiot", "you", "are", "soooo", "dumb", "idiot", "42"]
+    hits = [i for i, w in enumerate(words) if w in ("stupid", "fool", "idiot")]
+    assert got["hits_per_100"] == pytest.approx(100 * len(hits) / 10)
+    assert got["weight_per_100"] == pytest.approx(100 * (3.0 + 2.0 + 2.5 + 2.5) / 10)
+    assert got["max_weight"] == 3.0 and got["distinct_hits"] == 3
+    assert got["second_person_per_100"] == pytest.approx(20) and got["near_second_person_per_100"] == pytest.approx(40)
+    assert got["disguised_per_100"] == pytest.approx(30) and got["stretched_per_100"] == pytest.approx(10)
+    assert got["shouted_words"] == pytest.approx(20) and got["exclamations"] == pytest.approx(2 / len(text))
+    assert got["digits"] == pytest.approx(5 / len(text))
+    assert set(toxicity.dense_features("", LEXICON)) == {0.0}
+
+
+# --- repeated vectors -------------------------------------------------------------
+
+def test_rows_that_repeat_a_vec_id_are_candidates_each(spark):
+    rows = [(20, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.25, 0.0]), (20, [0.1, 0.0])]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, row int, block int")
+    got = neighbours.nearest(df, neighbours.every(), k=3).orderBy("query_id", F.desc("score"), "rank").collect()
+    by_query = {}
+    for r in got:
+        by_query.setdefault(r["rank"], []).append((r["vec_id"], r["score"]))
+    assert sorted(by_query[1]) == [(1, 0.1), (1, 1.0)]  # one for each query row
+    assert len(got) == 6 and (1, 0.5) in by_query[2] and (20, 0.1) not in [x for v in by_query.values() for x in v if x[1] > 0.3]

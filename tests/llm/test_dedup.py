@@ -352,3 +352,89 @@ def test_line_query_keeps_every_distinct_line_once(spark):
     lines = [x.strip(" \t\r").lower() for r in table.select("text").collect() for x in (r[0] or "").split("\n")]
     exact = sum(1 for x in lines if x) - len({x for x in lines if x})
     assert got[1] == len(lines) and exact <= got[2] <= 1.2 * exact + 20
+
+
+def brute_kept(rows):
+    """(doc_id, text) after keeping one line of each component of similar lines, over all pairs."""
+    first, where = {}, {}
+    for i, text in rows:
+        for j, line in enumerate(text.split("\n")):
+            norm = line_dedup.normal(line)
+            if norm:
+                where.setdefault(norm, []).append((i, j))
+                first.setdefault(norm, (i, j))
+    norms = list(where)
+    parent = list(range(len(norms)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a in range(len(norms)):
+        for b in range(a):
+            if jaccard(norms[a], norms[b]) >= 0.8:
+                parent[find(a)] = find(b)
+    stays = {}
+    for x, norm in enumerate(norms):
+        stays[find(x)] = min(stays.get(find(x), first[norm]), first[norm])
+    keep = {i: [] for i, _ in rows}
+    for i, text in rows:
+        for j, line in enumerate(text.split("\n")):
+            norm = line_dedup.normal(line)
+            if not norm or stays[find(norms.index(norm))] == (i, j):
+                keep[i].append(line)
+    return {i: "\n".join(x) for i, x in keep.items()}
+
+
+def test_line_digest_equals_brute_force(spark):
+    import zlib
+    r = random.Random(3)
+    lines = variants(r, 30)
+    rows = [(i, "\n".join(r.choices(lines, k=6)) + "\n" + f"own line {i} of this document, and of no other one {i * 37}") for i in range(40)]
+    want = brute_kept(rows)
+    got = {x["doc_id"]: x for x in line_dedup.digest(docs(spark, rows)).collect()}
+    # banding may leave a few similar lines apart; those kept otherwise must be right
+    wrong = [i for i, text in want.items() if (got[i]["kept_chars"], got[i]["kept_crc32"]) != (len(text), zlib.crc32(text.encode()))]
+    assert len(wrong) <= 1 and {x["n_lines"] for x in got.values()} == {7}
+
+
+def test_a_document_of_very_many_lines(spark):
+    import time
+    text = "\n".join("the same line again" if i % 2 else f"{i} x {i * 7919 % 100003} {hashlib.md5(str(i).encode()).hexdigest()}"
+                     for i in range(80_000))
+    df = docs(spark, [(1, text), (2, text)])
+    start = time.time()
+    out = {x["doc_id"]: (x["n_lines"], x["n_dropped"]) for x in line_dedup.digest(df).collect()}
+    assert out == {1: (80_000, 39_999), 2: (80_000, 80_000)} and time.time() - start < 120
+
+
+def test_line_dedup_with_columns_of_any_name(spark):
+    names = ["id", "t", "_id", "_t", "_w_id", "_text", "_none", "_others", "dropped", "_lines", "_dropped", "_count",
+             "_gone", "0", "a b.c`d", "buckets", "key"]
+    df = docs(spark, [(1, "one line here\nanother"), (2, "one line here"), (3, None)])
+    for n in names:
+        df = df.withColumn(n, F.lit(n))
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*df.columns, "_lines_", "_dropped_"]
+    rows = {x["doc_id"]: x for x in out.collect()}
+    assert rows[2]["text"] == "" and rows[2]["_dropped_"] == 1 and rows[3]["text"] is None
+    assert all(rows[1][n] == n for n in names)
+
+
+def test_profiles_never_rule_out_a_similar_pair():
+    r = random.Random(9)
+    lines = ["a" * 3000, "a" * 10, "ab", "ab", "abab" * 400]
+    for _ in range(300):
+        a = "".join(r.choices("abc " if r.random() < 0.3 else "abcdefghijklmnop é", k=r.choice([3, 20, 100, 400, 3000])))
+        i = r.randrange(len(a))
+        lines += [a, a[:i] + "".join(r.choices("xyz", k=r.randint(0, max(1, len(a) // 25)))) + a[i:]]
+    _, profile, size = line_dedup.sketches(lines)
+    assert size.tolist() == [len(line_dedup.shingles(x)) for x in lines]
+    close = 0
+    for x in range(0, len(lines) - 1):
+        for y in (x + 1, (x * 7) % len(lines)):
+            if jaccard(lines[x], lines[y]) >= 0.8:
+                close += 1
+                assert line_dedup.may_be_similar(profile[x], profile[y], size[x], size[y])
+    far = sum(bool(line_dedup.may_be_similar(profile[x], profile[x + 2], size[x], size[x + 2])) for x in range(5, len(lines) - 2))
+    assert close > 200 and far < 0.3 * len(lines)
