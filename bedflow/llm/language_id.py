@@ -246,12 +246,12 @@ def document_rows(docs: DataFrame) -> DataFrame:
 def keep_known_languages(docs: DataFrame, languages=LANGUAGES, min_confidence: float = 0.5,
                          train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Rows of ``docs``, all columns, whose language is one of ``languages``
-    with ``min_confidence``, with a doc_id or without.  Texts of no known
-    language, and empty texts of rows that declare none, go; rows that share a
-    doc_id go each by its own text (equal ones all stay if one is accepted)."""
+    with ``min_confidence``.  Texts of no known language, and empty texts of
+    rows that declare none, go; rows that share a doc_id go each by its own
+    text (equal ones all stay if one is accepted).  Rows without a doc_id stay."""
     rows = document_rows(docs).withColumn("t", text_hash())
     found = identify(rows, ["doc_id", "t"], languages, train_rows)
     gone = stage(found.groupBy("doc_id", "t").agg(
         F.bool_or((F.col("language") != UND) & (F.col("confidence") >= min_confidence)).alias("accepted"))
-        .where("not accepted").select("doc_id", "t"), "langid-gone")
+        .where("not accepted and doc_id is not null").select("doc_id", "t"), "langid-gone")
     return without_texts(docs, gone)

@@ -108,8 +108,9 @@ class Block:
         parts = [self.order[a:b] for a, b in zip(starts, ends)]
         return np.bincount(np.concatenate(parts), minlength=len(self.vectors))
 
-    def nearest(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows' ids and inner products of the best ``k`` candidates but the row ``own``."""
+    def nearest(self, query: np.ndarray, ids: np.ndarray, rows: np.ndarray, own: int,
+                k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and inner products of the best ``k`` candidates but the row ``own``."""
         wanted = max(LEAST, k + 1 + math.ceil(SHARE * len(self.vectors)))
         c = self.candidates(query, wanted)
         c = c[rows[c] != own]
