@@ -438,3 +438,26 @@ def test_profiles_never_rule_out_a_similar_pair():
                 assert line_dedup.may_be_similar(profile[x], profile[y], size[x], size[y])
     far = sum(bool(line_dedup.may_be_similar(profile[x], profile[x + 2], size[x], size[x + 2])) for x in range(5, len(lines) - 2))
     assert close > 200 and far < 0.3 * len(lines)
+
+
+def test_marks_never_rule_out_a_similar_pair_and_packed_shingles_are_exact():
+    r = random.Random(4)
+    lines = ["a", "ab", "日本語日本語日本", "日本語日本語日本"]
+    for _ in range(300):  # more than one block of rows
+        a = "".join(r.choices("abc " if r.random() < 0.3 else "abcdefghijklmnop é", k=r.choice([4, 30, 400, 3000])))
+        i = r.randrange(len(a))
+        lines += [a, a[:i] + "x" * r.randint(0, max(1, len(a) // 40)) + a[i:]]
+    for line in lines:
+        packed = line_dedup.packed_shingles(line)
+        assert packed is None or len(packed) == len(line_dedup.shingles(line))
+    marks, exact, close = line_dedup.Marks(lines), line_dedup.Shingled(lines), 0
+    assert marks.sizes.tolist() == [len(line_dedup.shingles(x)) for x in lines]
+    allowed = list(marks.rows(1, len(lines), 0.8))  # numbers from the second line on
+    for x in range(2, len(lines)):
+        for y in {x - 1, 1 + (x * 7) % (x - 1)}:
+            similar = jaccard(lines[x], lines[y]) >= 0.8
+            assert exact.similar(x, y, 0.8) == similar
+            if similar:
+                close += 1
+                assert y - 1 in allowed[x - 1] and marks.may_reach(x, np.array([y]), 0.8).all()
+    assert close > 100
