@@ -15,9 +15,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bedflow.operators.forest_table import prepared, score
 from bedflow.operators.survival import past_stays
 from bedflow.sources.sinks import stage
 
@@ -97,11 +98,21 @@ def fit(encounters: DataFrame, n_trees: int = N_TREES, seed: int = SEED
     return los_pipeline(n_trees, seed).fit(_with_los(train)), test
 
 
+def _days(model: PipelineModel) -> Column:
+    classes = F.array(*[F.lit(float(x)) for x in model.stages[0].labelsArray[-1]])
+    return F.try_element_at(classes, (F.col("los_class") + 1).cast("int")).alias("prediction")
+
+
 def predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
     """contact_serial_number, label, prediction (both LOS in days)."""
-    classes = F.array(*[F.lit(float(x)) for x in model.stages[0].labelsArray[-1]])
-    days = F.try_element_at(classes, (F.col("los_class") + 1).cast("int"))
-    return model.transform(_with_los(test)).select("contact_serial_number", "label", days.alias("prediction"))
+    return model.transform(_with_los(test)).select("contact_serial_number", "label", _days(model))
+
+
+def table_predictions(model: PipelineModel, nodes: DataFrame, test: DataFrame) -> DataFrame:
+    """The same from the forest's node table (``operators.forest_table``); of
+    ``model`` only the indexing and scaling are used."""
+    rows = prepared(model, _with_los(test))
+    return score(rows, nodes, prediction="los_class").select("contact_serial_number", "label", _days(model))
 
 
 def classification_report(pred: DataFrame) -> DataFrame:

@@ -293,6 +293,57 @@ def q_ed_reclassification_incremental(spark, sf):
     return state.reclassification_rate(spark, _first_seen_state(spark, sf), P)
 
 
+#: Ranges of days asked of the daily sketches: all, four years, a quarter, one week, one day.
+SKETCH_RANGES = {"all": (dt.date(1990, 1, 1), dt.date(2100, 1, 1)), "years": (dt.date(1994, 1, 1), dt.date(1997, 12, 31)),
+                 "quarter": (dt.date(1995, 4, 1), dt.date(1995, 6, 30)), "week": (dt.date(1996, 2, 26), dt.date(1996, 3, 3)),
+                 "day": (dt.date(1996, 2, 29), dt.date(1996, 2, 29))}
+SKETCH_COLUMNS, SKETCH_NUMERIC = ["contact_serial_number", "service_code", "location"], ["beddeddays"]
+
+
+def _sketch_state(spark, sf):
+    """Daily sketches of the encounters, delivered in three batches that share days."""
+    from bedflow.operators import sketches
+    root, rows = _folder(spark, "sketches"), _enc(spark, sf)
+    admitted = F.col("admit_date")
+    for days in (admitted < F.lit(dt.date(1996, 3, 1)), admitted >= F.lit(dt.date(1996, 2, 1)),
+                 admitted.between(F.lit(dt.date(1995, 5, 1)), F.lit(dt.date(1995, 5, 20)))):
+        sketches.keep_days(spark, root, stage(sketches.daily_sketches(
+            rows.where(days), "admit_date", SKETCH_COLUMNS, SKETCH_NUMERIC), "daily-sketches"))
+    return root
+
+
+def q_sketched_profile(spark, sf):
+    """Per range of days and column: the exact counts, and whether the estimates
+    from merged daily sketches are within their errors of the exact figures."""
+    from bedflow.operators import sketches
+    root, names = _sketch_state(spark, sf), [*SKETCH_COLUMNS, *SKETCH_NUMERIC]
+    asked = [sketches.estimates(sketches.merged(sketches.stored_days(spark, root, a, b))).select(
+        F.lit(k).alias("range"), "column_name", "n_rows", "n_nulls", "approx_distinct", "p25", "p50", "p75")
+        for k, (a, b) in SKETCH_RANGES.items()]
+    estimated = asked[0]
+    for more in asked[1:]:
+        estimated = estimated.unionByName(more)
+    in_range = F.array_compact(F.array(*[F.when(F.col("admit_date").between(F.lit(a), F.lit(b)), F.lit(k))
+                                         for k, (a, b) in SKETCH_RANGES.items()]))
+    exact = (_enc(spark, sf).select(F.explode(in_range).alias("range"), *names)
+             .select("range", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                                                  for c in names])).alias("x")).select("range", "x.*")
+             .groupBy("range", "column_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    # ranks of the estimated quantiles: rows below and up to each value
+    number = F.when(F.col("column_name").isin(SKETCH_NUMERIC), F.col("v").cast("double"))
+    both = exact.join(estimated, ["range", "column_name"])
+    held = F.sum(F.when(number.isNotNull(), F.col("n")))
+    checks = [F.coalesce((F.sum(F.when(number < F.col(p), F.col("n")).otherwise(0)) <= (q + sketches.rank_error()) * held)
+                         & (F.sum(F.when(number <= F.col(p), F.col("n")).otherwise(0)) >= (q - sketches.rank_error()) * held),
+                         held.isNull()).alias(f"{p}_close") for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
+    out = both.groupBy("range", "column_name", "n_rows", "n_nulls", "approx_distinct").agg(
+        F.count("v").alias("n_distinct"), *checks)
+    close = F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= F.ceil(
+        F.col("n_distinct") * sketches.distinct_error())
+    return out.select("range", "column_name", "n_rows", "n_nulls", "n_distinct", close.alias("distinct_close"),
+                      "p25_close", "p50_close", "p75_close")
+
+
 def q_encounter_dense_rank(spark, sf):
     """Days and services in order, over all encounters, without one window over them."""
     from bedflow.operators.ranking import dense_rank
@@ -503,6 +554,22 @@ def q_los_classifier(spark, sf):
     return classify.predictions(model, test)
 
 
+def q_los_forest_rescored(spark, sf):
+    """The saved forest, loaded again and scored twice: by the loaded pipeline and by
+    its table of nodes, published and read back.  ``agrees`` per held-out stay."""
+    from bedflow.operators import classify, forest_table
+    from bedflow.sources import published
+    model, test = classify.fit(_enc(spark, sf))
+    path, root = _folder(spark, "los-model"), _folder(spark, "los-nodes")
+    classify.save(model, path)
+    published.replace(forest_table.node_table(spark, path), root)
+    loaded = classify.load(path)
+    by_model = classify.predictions(loaded, test).withColumnRenamed("prediction", "by_model")
+    by_nodes = classify.table_predictions(loaded, published.read(spark, root), test)
+    return by_nodes.join(by_model.drop("label"), "contact_serial_number").select(
+        "contact_serial_number", "label", F.col("prediction").eqNullSafe(F.col("by_model")).alias("agrees"))
+
+
 def q_classification_report(spark, sf):
     from bedflow.operators import classify
     return classify.classification_report(q_los_classifier(spark, sf))
