@@ -54,6 +54,87 @@ def test_runs_equal_best_fit_decreasing(lengths, capacity):
     assert ranks == counts and len(space) == best_fit_decreasing(lengths, capacity)
 
 
+def runs_of(lengths, gaps):
+    rows = [(packing.PIECE, n, 0, lengths.count(n), None, None, None) for n in set(lengths)]
+    return rows + [(packing.GAP, g, i, 1, None, None, None) for i, g in enumerate(gaps)]
+
+
+@given(st.lists(st.integers(1, 40), max_size=60), st.lists(st.integers(1, 64), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_sweep_gives_each_piece_the_smallest_gap_left(lengths, gaps):
+    """Against a list of gaps, each used once, where the longest pieces choose first."""
+    free, want = sorted(gaps), {}
+    for n in sorted(set(lengths), reverse=True):
+        left = lengths.count(n)
+        while left and free and free[-1] >= n:
+            gap = next(g for g in free if g >= n)
+            free.remove(gap)
+            take = min(left, gap // n)
+            want[gap, n, take] = want.get((gap, n, take), 0) + 1
+            left -= take
+    got, unplaced = {}, 0
+    for kind, size, first, n, seq, per, offset in packing.sweep(runs_of(lengths, gaps), 64):
+        if kind == packing.PLACED:
+            for at in range(0, n, per):
+                key = 64 - offset, size, min(per, n - at)
+                got[key] = got.get(key, 0) + 1
+        elif kind == packing.PIECE:
+            unplaced += n
+    assert got == want
+    assert unplaced == len(lengths) - sum(k[2] * v for k, v in want.items())
+
+
+@given(st.lists(st.integers(1, 64), max_size=60), st.lists(st.integers(1, 64), max_size=60), st.sampled_from([2, 4, 16]))
+@settings(max_examples=100, deadline=None)
+def test_sweeping_ranges_first_gives_the_same_matches(lengths, gaps, ranges):
+    rows, kept, done = runs_of(lengths, gaps), [], []
+    for k in range(ranges):
+        for row in packing.sweep([r for r in rows if (r[1] - 1) * ranges // 64 == k], 64):
+            (kept if row[0] in (packing.GAP, packing.PIECE) else done).append(row)
+    for row in packing.sweep(kept, 64):
+        done.append(row)
+
+    def total(found):
+        out = {}
+        for kind, size, _, n, seq, per, offset in found:
+            if kind == packing.PLACED:
+                out[size, offset] = out.get((size, offset), 0) + n
+            elif kind != packing.SHRUNK:
+                out[kind, size] = out.get((kind, size), 0) + n
+        return out
+    assert total(done) == total(packing.sweep(rows, 64))
+
+
+def sequences(rows):
+    return max((r["first_seq"] + -(-r["n"] // r["per"]) for r in rows), default=0)
+
+
+@pytest.mark.parametrize("name", ["mixed", "short", "one_length", "one_piece"])
+def test_rounds_need_hardly_more_sequences_than_best_fit_decreasing(spark, name):
+    r = random.Random(5)
+    lengths = {"mixed": [r.randint(1, 2048) for _ in range(30_000)], "short": [r.randint(1, 300) for _ in range(30_000)],
+               "one_length": [700] * 30_001, "one_piece": [3]}[name]
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    before = spark.createDataFrame(list(counts.items()), "length long, n long")
+    rows = packing.place_runs(before).collect()
+    ranks, used = {}, {}
+    for row in sorted(rows, key=lambda x: (x["length"], x["first_rank"])):
+        assert row["first_rank"] == ranks.get(row["length"], 0)  # every rank once
+        ranks[row["length"]] = row["first_rank"] + row["n"]
+        for at in range(0, row["n"], row["per"]):
+            here = row["first_seq"] + at // row["per"]
+            used.setdefault(here, []).append((row["offset"], min(row["per"], row["n"] - at) * row["length"]))
+    assert ranks == counts and sorted(used) == list(range(sequences(rows)))
+    for parts in used.values():
+        end = 0
+        for offset, tokens in sorted(parts):
+            assert offset == end
+            end += tokens
+        assert end <= 2048
+    best = max(first + n for _, _, n, first, _ in packing.plan_runs(counts))
+    assert sequences(rows) <= best * 1.002 + 1
+
+
 def test_encoder_equals_the_library():
     from tokenizers import Tokenizer
     path = packing.default_tokenizer()
