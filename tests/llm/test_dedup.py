@@ -461,3 +461,84 @@ def test_marks_never_rule_out_a_similar_pair_and_packed_shingles_are_exact():
                 close += 1
                 assert y - 1 in allowed[x - 1] and marks.may_reach(x, np.array([y]), 0.8).all()
     assert close > 100
+
+
+def test_few_links_are_those_of_all_pairs_in_each_group():
+    r = random.Random(21)
+    lines, group = [], []
+    for g in range(400):
+        signs = r.choice(["abc ", "abcdefghijklmnop é", "日本語文字’ab"])
+        a = "".join(r.choices(signs, k=r.choice([5, 12, 40, 300])))
+        for _ in range(r.randint(1, line_dedup.FEW)):
+            i = r.randrange(len(a))
+            lines.append(a[:i] + "".join(r.choices("xyz", k=r.randint(0, max(1, len(a) // 12)))) + a[i:])
+            group.append(g)
+            a = lines[-1] if r.random() < 0.3 else a
+    got = line_dedup.few_links(lines, np.array(group))
+    assert all(group[x] == group[y] and jaccard(lines[x], lines[y]) >= 0.8 for x, y in got)
+
+    def parts(links):
+        parent = list(range(len(lines)))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+        for x, y in links:
+            parent[find(x)] = find(y)
+        out = {}
+        for x in range(len(lines)):
+            out.setdefault(find(x), set()).add(x)
+        return set(map(frozenset, out.values())), len(lines) - len(out)
+    want = [(x, y) for x in range(len(lines)) for y in range(max(0, x - line_dedup.FEW), x)
+            if group[x] == group[y] and jaccard(lines[x], lines[y]) >= 0.8]
+    assert parts(got)[0] == parts(want)[0] and len(got) == parts(want)[1] > 300
+    # more different signs than a packed shingle can tell apart
+    many = ["".join(map(chr, range(0x4E00, 0x4E00 + 5000))), "".join(map(chr, range(0x4E00, 0x4E00 + 5001)))]
+    assert line_dedup.few_links(many, np.zeros(2, np.int64)) is None
+
+
+def test_lines_of_many_signs_are_linked(spark):
+    many = "".join(map(chr, range(0x4E00, 0x4E00 + 5000)))
+    rows = spark.createDataFrame([(1, 1, many), (1, 2, many + "x"), (1, 3, "ab"), (4, 4, "ab\0\0\0"), (4, 5, "ab")],
+                                 "leader long, id long, norm string")
+    assert [tuple(sorted(x)) for x in line_dedup.compared_whole(rows).collect()] == [(1, 2)]
+
+
+def test_buckets_larger_than_a_task_holds(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HELD", 20)
+    r = random.Random(7)
+    rows = [(i, [r.randrange(60) for _ in range(3)] + [1000 + i]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, buckets array<long>").coalesce(1)
+    by = {}
+    for i, bs in rows:
+        for b in set(bs):
+            by.setdefault(b, set()).add(i)
+    got = {tuple(x) for x in line_dedup.shared_buckets(df).collect()}
+    members, leaders = {}, {}
+    for b, i, lead in got:
+        members.setdefault(b, set()).add(i)
+        leaders.setdefault(b, set()).add(lead)
+    shared = {b: m for b, m in by.items() if len(m) > 1}
+    assert {b: m for b, m in members.items() if b in shared} == shared
+    assert all(len(leaders[b]) == 1 and leaders[b] <= members[b] for b in shared)
+
+
+def test_borrowed_signatures_and_distinct_lines_equal_plain_ones(spark):
+    r = random.Random(5)
+    table = np.where(np.array([[r.random() < 0.1 for _ in range(48)] for _ in range(300)]), 2, line_dedup._EMPTY)
+    table[:, 7] = 2 * np.arange(300)
+    table = table.astype(np.uint32)
+    want = table.copy()
+    while (want == line_dedup._EMPTY).any():
+        right = np.roll(want, -1, axis=1)
+        want = np.where((want == line_dedup._EMPTY) & (right != line_dedup._EMPTY), right * np.uint32(0x85EBCA6B), want)
+    assert (line_dedup.filled(table) == want).all()
+    texts = [(i % 30 if i % 7 else None, "\n".join(f"line {r.randrange(40)}" for _ in range(3))) for i in range(200)]
+    lines = [x for _, text in texts for x in text.split("\n")]
+    found = line_dedup.occurrences(docs(spark, texts).repartition(4))
+    got = {x["key"]: x for x in line_dedup.distinct_lines(found).collect()}
+    plain = found.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "t", "line_no")).alias("first")).collect()
+    assert len(got) == len(plain) == len(set(lines))
+    assert all((got[x["key"]]["n"], got[x["key"]]["first"]) == (x["n"], x["first"]) for x in plain)
+    assert sorted(x["n"] for x in plain) == sorted(lines.count(x) for x in set(lines))
