@@ -542,3 +542,46 @@ def test_borrowed_signatures_and_distinct_lines_equal_plain_ones(spark):
     assert len(got) == len(plain) == len(set(lines))
     assert all((got[x["key"]]["n"], got[x["key"]]["first"]) == (x["n"], x["first"]) for x in plain)
     assert sorted(x["n"] for x in plain) == sorted(lines.count(x) for x in set(lines))
+
+
+@pytest.mark.parametrize("whole", [line_dedup.WHOLE, 8])
+def test_what_a_large_group_writes_follows_its_lines_not_their_pairs(spark, monkeypatch, whole):
+    r, staged, there = random.Random(9), {}, []
+    words = ["".join(r.choices("abcdefghijklmnop", k=r.randint(4, 9))) for _ in range(3000)]
+    lines = []
+    for i in range(180):  # unlike each other but for pairs and a family
+        base = r.choices(words, k=12)
+        lines.append(" ".join(base))
+        if i % 9 == 0:
+            lines.append(" ".join(base) + " x")
+    family = " ".join(r.choices(words, k=30))
+    lines += [f"{family} {i:03d}" for i in range(60)]
+    plain, dropped = line_dedup.stage, line_dedup.discard
+
+    def stage(df, label, *args, **more):
+        out = plain(df, label, *args, **more)
+        there.append(out)
+        staged.setdefault(label, []).append((out.count(), {c for x in there for c in x.columns}))
+        return out
+
+    def discard(*tables):
+        gone = {x.staged_at for x in tables}
+        there[:] = [x for x in there if x.staged_at not in gone]
+        dropped(*tables)
+    monkeypatch.setattr(line_dedup, "stage", stage)
+    monkeypatch.setattr(line_dedup, "discard", discard)
+    # one bucket holds all lines
+    monkeypatch.setattr(line_dedup, "shared_buckets", lambda df: df.select(
+        F.lit(0).alias("bucket"), "id", F.lit(df.agg(F.min("id")).first()[0]).cast("long").alias("leader")))
+    rows = list(enumerate(lines))
+    if whole == 8:
+        df = docs(spark, rows)
+        found = line_dedup.distinct_lines(line_dedup.occurrences(df))
+        sizes = line_dedup.line_components(df, found, whole=whole).groupBy("component").count().select("count").collect()
+        assert sorted(x[0] for x in sizes) == [2] * 20 + [60]
+    else:
+        out = {x["doc_id"]: x["_dropped"] for x in line_dedup.dedup_lines(docs(spark, rows)).collect()}
+        assert sum(out.values()) == 20 + 59
+        # buckets and profiles are gone when texts are moved
+        assert not staged["lines-texts"][0][1] & {"buckets", "sketch"}
+    assert max(n for found in staged.values() for n, _ in found) <= len(lines)
